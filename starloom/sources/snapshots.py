@@ -1,0 +1,148 @@
+"""Tables as folders of immutable Parquet snapshots.
+
+Plain Parquet has no MERGE, and a job that overwrites the folder it reads loses
+the data. So each change is written to a new folder, ``000001-full``,
+``000002-part`` and so on, which counts once Spark has put ``_SUCCESS`` into it.
+A full snapshot replaces all before it. A part holds some partitions of the
+table and replaces only those; the others stay where they are, unread. A lost
+executor only repeats tasks, and a lost driver leaves a folder that is ignored.
+A table has one writer at a time; readers keep the files they have opened.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructType
+
+from starloom.sources.files import on_files
+
+_VERSION = re.compile(r"^(\d{6})-(full|part)$")
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``, on whatever file system holds it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+class SnapshotTable:
+    """One table under ``root``; ``part_name``/``part_of`` name and compute its partition, if any.
+
+    ``part_of`` must give a non-null integer and depend on merge keys only.
+    ``order_in_part`` sorts the rows of each file, which narrows the value range
+    of its row groups and lets scans skip them.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: StructType,
+        part_name: str | None = None,
+        part_of: Column | None = None,
+        order_in_part: str | None = None,
+    ):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.part_name, self.part_of, self.order_in_part = part_name, part_of, order_in_part
+
+    def _versions(self) -> list[str]:
+        return [name for name in _folders(self.spark, self.root) if _VERSION.match(name)]
+
+    def _live(self) -> list[str]:
+        """The newest complete full snapshot and the complete parts after it, oldest first."""
+        live: list[str] = []
+        for name in reversed(self._versions()):
+            if _exists(self.spark, f"{self.root}/{name}/_SUCCESS"):
+                live.insert(0, name)
+                if name.endswith("full"):
+                    return live
+        return []
+
+    def exists(self) -> bool:
+        return bool(self._live())
+
+    def parts(self) -> dict[int, str]:
+        """Newest folder of each partition."""
+        newest: dict[int, str] = {}
+        for version in self._live():
+            for name in _folders(self.spark, f"{self.root}/{version}"):
+                column, _, value = name.partition("=")
+                if column != self.part_name:
+                    raise ValueError(f"{self.root} is partitioned by {column}, not by {self.part_name}")
+                newest[int(value)] = f"{self.root}/{version}/{name}"
+        return newest
+
+    def read(self, parts: set[int] | None = None) -> DataFrame:
+        """The current rows, or those of the given partitions; none if nothing was written."""
+        if self.part_name is None:
+            paths = [f"{self.root}/{name}" for name in self._live()]
+        else:
+            paths = [path for part, path in sorted(self.parts().items()) if parts is None or part in parts]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def write(self, df: DataFrame) -> None:
+        """Replace the whole table."""
+        self._write(df, "full")
+
+    def write_parts(self, df: DataFrame) -> None:
+        """Replace the partitions that occur in ``df``."""
+        if self.part_name is None:
+            raise ValueError("the table has no partitions")
+        self._write(df, "part")
+
+    def _write(self, df: DataFrame, kind: str) -> None:
+        versions = self._versions()
+        number = int(_VERSION.match(versions[-1]).group(1)) + 1 if versions else 1
+        df = df.select(self.schema.fieldNames())
+        if self.part_name:
+            # Rebalancing brings a partition's rows together, so that few files are
+            # written, and splits a partition that is too large for one task.
+            df = df.withColumn(self.part_name, self.part_of).hint("rebalance", self.part_name)
+            df = df.sortWithinPartitions(*[c for c in (self.part_name, self.order_in_part) if c])
+        writer = df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+        if self.part_name:
+            writer = writer.partitionBy(self.part_name)
+        writer.parquet(f"{self.root}/{number:06d}-{kind}")
+
+    def register(self, name: str) -> None:
+        """Point the catalog view ``name`` to the current snapshot.
+
+        The view is replaced in one step. Below a partitioned table's view lies
+        an external table whose partitions name their folders.
+        """
+        columns = ", ".join(f"`{c}`" for c in self.schema.fieldNames())
+        version = self._live()[-1]
+        source = on_files(f"{self.root}/{version}")
+        parts = self.parts() if self.part_name else {}
+        if parts:
+            source = f"{name}_at_{version[:6]}"
+            fields = [*self.schema.fields, *StructType().add(self.part_name, IntegerType()).fields]
+            ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            self.spark.sql(f"DROP TABLE IF EXISTS {source}")
+            self.spark.sql(
+                f"CREATE TABLE {source} ({ddl}) USING parquet PARTITIONED BY ({self.part_name}) LOCATION '{self.root}'"
+            )
+            places = " ".join(f"PARTITION ({self.part_name}={p}) LOCATION '{path}'" for p, path in parts.items())
+            self.spark.sql(f"ALTER TABLE {source} ADD {places}")
+        elif self.part_name:
+            # No rows at all: a view over no folder would not resolve.
+            nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in self.schema)
+            source = f"(SELECT {nulls}) WHERE false"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {source}")
+
+
+def range_bucket(key: str, width: int) -> Column:
+    """Number of the ``width``-wide range that a key (1, 2, ...) falls into; -1 for NULL."""
+    return F.coalesce(F.floor((F.col(key) - 1) / width), F.lit(-1)).cast("int")
