@@ -46,22 +46,28 @@ def measure(lookups: list[Lookup]) -> list[Size]:
     other column is counted as text too, so that long attributes are noticed.
     """
 
-    def summary(number: int, lookup: Lookup) -> DataFrame:
+    def rows(number: int, lookup: Lookup) -> DataFrame:
         narrow = lookup.narrow
-        width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in narrow.columns), F.lit(0))
-        by_id = narrow.groupBy("looked_up_id").agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
-        return by_id.agg(
+        texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in narrow.columns]
+        return narrow.select(
             F.lit(number).alias("number"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"),
-            F.max(F.when(F.col("n") > 1, F.col("looked_up_id").cast("string"))).alias("repeated"),
+            F.col("looked_up_id").cast("string").alias("id"),
+            sum(texts, F.lit(0)).cast("bigint").alias("width"),
         )
 
-    found = reduce(DataFrame.unionByName, [summary(i, x) for i, x in enumerate(lookups)]).collect()
-    for row in found:
-        if row["repeated"] is not None:
-            raise ValueError(f"{lookups[row['number']].table_id} is not unique, e.g. {row['repeated']!r}")
-    return [Size(r["rows"], r["bytes"]) for r in sorted(found, key=lambda r: r["number"])]
+    together = reduce(DataFrame.unionByName, [rows(i, x) for i, x in enumerate(lookups)])
+    by_id = together.groupBy("number", "id").agg(F.count(F.lit(1)).alias("n"), F.sum("width").alias("b"))
+    found = (
+        by_id.groupBy("number")
+        .agg(F.sum("n"), F.sum("b"), F.max(F.when(F.col("n") > 1, F.coalesce("id", F.lit("NULL")))))
+        .collect()
+    )
+    sizes = [Size(0, 0)] * len(lookups)
+    for number, count, width, repeated in found:
+        if repeated is not None:
+            raise ValueError(f"{lookups[number].table_id} is not unique, e.g. {repeated!r}")
+        sizes[number] = Size(count, width)
+    return sizes
 
 
 def frequent_ids(facts: DataFrame, column: str, partitions: int) -> DataFrame:

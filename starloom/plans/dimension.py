@@ -7,12 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from starloom.functions import day_number
 from starloom.operators.keys import highest_key, number_new, stage_in_key_order
 from starloom.operators.members import latest_members
-from starloom.schemas import DimSpec, same
-
-
-def empty_dimension(df: DataFrame, spec: DimSpec) -> DataFrame:
-    """No rows in the dimension's layout: the first run then is like any other, and the joins to it fold away."""
-    return df.sparkSession.createDataFrame([], spec.schema)
+from starloom.schemas import DimSpec, no_rows, same
 
 
 def members_of(spec: DimSpec, silver: DataFrame) -> DataFrame:
@@ -63,7 +58,7 @@ def apply_members(spec: DimSpec, staged: DataFrame, existing: DataFrame) -> Data
 
 
 def build_dimension(spec: DimSpec, silver: DataFrame, path: str, existing: DataFrame | None = None) -> DataFrame:
-    """Build a dimension from silver, or refresh ``existing`` with it."""
+    """Build a dimension from silver, or refresh ``existing`` with it; the first run is like any other."""
     if existing is None:
-        existing = empty_dimension(silver, spec)
+        existing = no_rows(silver.sparkSession, spec.schema)
     return apply_members(spec, stage_members(spec, silver, existing, path), existing)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import DataFrame, SparkSession
 
 from starloom.operators.upsert import require_unique, upsert
 from starloom.plans.dimension import apply_members, stage_members
@@ -15,7 +15,7 @@ from starloom.plans.silver import to_silver
 from starloom.schemas import DIMENSIONS, FACT, FACT_KEYS, SILVER, DimSpec
 from starloom.session import new_folder
 from starloom.sources.files import on_files, read_parquet
-from starloom.sources.snapshots import SnapshotTable, range_bucket
+from starloom.sources.snapshots import SnapshotTable, drop_folder, range_bucket
 
 ON_DUPLICATE = ("raise", "aggregate", "keep")
 
@@ -57,19 +57,20 @@ class Lakehouse:
     def write_silver(self, bronze: DataFrame, batch: str | None = None) -> DataFrame:
         """Rebuild silver from all of bronze, or write one batch of it, and read back what was written.
 
-        Writing a batch again replaces that batch alone.
+        Writing a batch again replaces that batch alone. The write has no shuffle and no sort.
         """
-        mode = "static" if batch is None else "dynamic"
-        rows = to_silver(bronze).withColumn("batch", F.lit(batch or "all"))
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode)
-        writer.partitionBy("batch").parquet(self.silver_path)
+        if batch is None:
+            drop_folder(self.spark, self.silver_path)
+            batch = "all"
+        elif not re.fullmatch(r"[\w-]+", batch):
+            raise ValueError(f"batch names a folder; use letters, digits, _ and - instead of {batch!r}")
+        to_silver(bronze).write.mode("overwrite").parquet(f"{self.silver_path}/batch={batch}")
         return self.silver(batch)
 
     def silver(self, batch: str | None = None) -> DataFrame:
-        rows = read_parquet(self.spark, self.silver_path, StructType([*SILVER.fields, StructField("batch", StringType())]))
-        if batch is not None:
-            rows = rows.where(F.col("batch") == batch)
-        return rows.select(SILVER.fieldNames())
+        """All of silver, or one batch, of which only its own folder is listed."""
+        path = self.silver_path if batch is None else f"{self.silver_path}/batch={batch}"
+        return read_parquet(self.spark, path, SILVER).select(SILVER.fieldNames())
 
     # -- gold -----------------------------------------------------------------
 
@@ -77,17 +78,17 @@ class Lakehouse:
         """Build the dimension or refresh it; nothing is written if the batch changes nothing."""
         table = self.dims[spec.name]
         existing = table.read()
-        staged = stage_members(spec, silver, existing, new_folder(self.spark, f"members-{spec.name}"))
+        path = new_folder(self.spark, f"members-{spec.name}")
+        staged = stage_members(spec, silver, existing, path)
         if not table.exists() or not staged.where("changed").isEmpty():
             table.write(apply_members(spec, staged, existing))
+        drop_folder(self.spark, path)
 
     def refresh_dimensions(self, silver: DataFrame) -> None:
         """Refresh all dimensions; they do not depend on each other, so their jobs run side by side."""
         inherit = inheritable_thread_target(self.spark)
         with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-            runs = [
-                pool.submit(inherit(self.refresh_dimension), spec, silver) for spec in DIMENSIONS
-            ]
+            runs = [pool.submit(inherit(self.refresh_dimension), spec, silver) for spec in DIMENSIONS]
             for run in runs:
                 run.result()
 
@@ -129,6 +130,7 @@ class Lakehouse:
         touched = {r[0] for r in rows.select(self.fact.part_of.alias("part")).distinct().collect()}
         if touched:
             self.fact.write_parts(upsert(self.fact.read(touched), rows, FACT_KEYS))
+        drop_folder(self.spark, path)
 
     # -- runs -----------------------------------------------------------------
 

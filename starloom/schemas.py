@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 
@@ -114,6 +114,12 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty relation that the optimizer knows to be empty, so that joins to it fold away."""
+    nothing = spark.range(1).where(F.lit(False))
+    return nothing.select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def same(left: str, right: str) -> Column:
     """Equality that also holds between two NULLs."""
     return F.col(left).eqNullSafe(F.col(right))

@@ -14,25 +14,37 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import StructType
 
+from starloom.schemas import no_rows
 from starloom.sources.files import on_files
 
 _VERSION = re.compile(r"^(\d{6})-(full|part)$")
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders directly under ``path``, on whatever file system holds it."""
+def _file_system(spark: SparkSession, path: str):
+    """``path`` as the JVM's object, and whatever file system holds it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, fs = _file_system(spark, path)
+    return fs.exists(hadoop_path)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``."""
+    hadoop_path, fs = _file_system(spark, path)
     if not fs.exists(hadoop_path):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a working folder once no table depends on it."""
+    hadoop_path, fs = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
 
 
 class SnapshotTable:
@@ -89,7 +101,7 @@ class SnapshotTable:
         else:
             paths = [path for part, path in sorted(self.parts().items()) if parts is None or part in parts]
         if not paths:
-            return self.spark.createDataFrame([], self.schema)
+            return no_rows(self.spark, self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
     def write(self, df: DataFrame) -> None:
@@ -117,27 +129,19 @@ class SnapshotTable:
         writer.parquet(f"{self.root}/{number:06d}-{kind}")
 
     def register(self, name: str) -> None:
-        """Point the catalog view ``name`` to the current snapshot.
+        """Point the catalog view ``name`` to the current snapshot, in one step.
 
-        The view is replaced in one step. Below a partitioned table's view lies
-        an external table whose partitions name their folders.
+        The view of a partitioned table names the newest folder of each partition
+        as alternatives of one path pattern, so it stays a single scan.
         """
         columns = ", ".join(f"`{c}`" for c in self.schema.fieldNames())
-        version = self._live()[-1]
-        source = on_files(f"{self.root}/{version}")
-        parts = self.parts() if self.part_name else {}
-        if parts:
-            source = f"{name}_at_{version[:6]}"
-            fields = [*self.schema.fields, *StructType().add(self.part_name, IntegerType()).fields]
-            ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-            self.spark.sql(f"DROP TABLE IF EXISTS {source}")
-            self.spark.sql(
-                f"CREATE TABLE {source} ({ddl}) USING parquet PARTITIONED BY ({self.part_name}) LOCATION '{self.root}'"
-            )
-            places = " ".join(f"PARTITION ({self.part_name}={p}) LOCATION '{path}'" for p, path in parts.items())
-            self.spark.sql(f"ALTER TABLE {source} ADD {places}")
-        elif self.part_name:
-            # No rows at all: a view over no folder would not resolve.
+        if self.part_name is None:
+            source = on_files(f"{self.root}/{self._live()[-1]}")
+        elif parts := self.parts():
+            folders = ",".join(path.removeprefix(f"{self.root}/") for _, path in sorted(parts.items()))
+            source = on_files(f"{self.root}/{{{folders}}}")
+        else:
+            # A table without rows has no folder to name.
             nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in self.schema)
             source = f"(SELECT {nulls}) WHERE false"
         self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {source}")

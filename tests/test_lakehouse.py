@@ -1,0 +1,366 @@
+"""Whole runs: first load, increments, corrections, late members, catalog, streaming."""
+
+import os
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SMALL
+from fixtures import DEFAULTS, bronze, plan, rows
+from starloom.catalogue import rollup_groups
+from starloom.operators.upsert import DuplicateKeys
+from starloom.plans.dimension import build_dimension, look_up_members, members_of
+from starloom.plans.fact import build_fact, to_grain
+from starloom.plans.lakehouse import Lakehouse
+from starloom.plans.marts import star_rollup
+from starloom.plans.silver import to_silver
+from starloom.schemas import BRANCH, DATE, DEALER, DIMENSIONS, FACT, FACT_KEYS, MODEL, no_rows
+from starloom.sources.order_lines import bronze_batch, bronze_sales
+from starloom.sources.snapshots import SnapshotTable, range_bucket
+from starloom.streaming import load_new_files
+
+
+@pytest.fixture
+def lake(spark, folder):
+    name = re.sub(r"\W", "_", folder.strip("/"))
+    yield Lakehouse(spark, f"{folder}/lake", f"silver_{name}", f"gold_{name}", dates_per_part=2)
+
+
+def state(lake):
+    return {**{n: rows(t.read()) for n, t in lake.dims.items()}, "fact": rows(lake.fact.read())}
+
+
+# -- dimensions ---------------------------------------------------------------
+
+
+def test_dimension_has_its_attribute_and_dense_bigint_keys(spark, folder):
+    silver = to_silver(bronze(spark, {"Branch_ID": "b"}, {"Branch_ID": "a", "BranchName": "South"}, {"Branch_ID": "b"}))
+    dim = build_dimension(BRANCH, silver, f"{folder}/staged")
+    assert rows(dim) == [("a", "South", 1), ("b", "North", 2)]
+    assert dict(dim.dtypes)["dim_branch_key"] == "bigint"
+
+
+def test_increment_starts_after_the_highest_key(spark, folder):
+    first = build_dimension(DEALER, to_silver(bronze(spark, {"Dealer_ID": "m"}, {"Dealer_ID": "z"})), f"{folder}/1")
+    batch = to_silver(bronze(spark, {"Dealer_ID": "a"}, {"Dealer_ID": "z", "DealerName": "Renamed"}))
+    second = build_dimension(DEALER, batch, f"{folder}/2", first)
+    # z is overwritten under its old key, m is untouched, a comes last although it sorts first.
+    assert rows(second) == [("a", "Dealer One", 3), ("m", "Dealer One", 1), ("z", "Renamed", 2)]
+
+
+def test_two_names_in_one_batch_give_one_member(spark, folder):
+    lines = bronze(
+        spark, {"DealerName": "Early", "Day": 1}, {"DealerName": "Late", "Day": 3}, {"DealerName": "Middle", "Day": 2}
+    )
+    assert rows(build_dimension(DEALER, to_silver(lines), f"{folder}/s")) == [("DLR000001", "Late", 1)]
+
+
+def test_null_id_is_no_member_and_empty_id_is_one(spark, folder):
+    lines = bronze(spark, {"Branch_ID": None}, {"Branch_ID": ""}, {"Branch_ID": "x"})
+    assert rows(build_dimension(BRANCH, to_silver(lines), f"{folder}/s"), "branch_id") == [("",), ("x",)]
+
+
+def test_empty_dimension_and_empty_batch(spark, folder):
+    empty = no_rows(spark, MODEL.schema)
+    silver = to_silver(bronze(spark, {"Model_ID": "A-1"}))
+    full = build_dimension(MODEL, silver, f"{folder}/1", empty)
+    assert rows(full) == [("A-1", "A", 1)]
+    assert rows(build_dimension(MODEL, silver.where("false"), f"{folder}/2", full)) == [("A-1", "A", 1)]
+    assert rows(build_dimension(MODEL, silver.where("false"), f"{folder}/3")) == []
+
+
+def test_shared_date_id_gives_one_member(spark, folder):
+    lines = bronze(spark, {"Day": 28}, {"Day": 30})
+    assert rows(build_dimension(DATE, to_silver(lines), f"{folder}/s")) == [("DT1", 1)]
+
+
+def test_first_run_joins_fold_away(spark):
+    silver = to_silver(bronze(spark, {}))
+    looked_up = look_up_members(DEALER, members_of(DEALER, silver), no_rows(spark, DEALER.schema))
+    assert "Join" not in plan(looked_up).split("== Physical Plan ==")[1]
+
+
+def test_lookup_tells_what_changes(spark, folder):
+    existing = build_dimension(DEALER, to_silver(bronze(spark, {"Dealer_ID": "a"}, {"Dealer_ID": "b"})), f"{folder}/1")
+    batch = to_silver(bronze(spark, {"Dealer_ID": "a"}, {"Dealer_ID": "b", "DealerName": None}, {"Dealer_ID": "c"}))
+    found = look_up_members(DEALER, members_of(DEALER, batch), existing)
+    assert rows(found, "dealer_id", "dim_dealer_key", "changed") == [("a", 1, False), ("b", 2, True), ("c", None, True)]
+
+
+def test_refresh_writes_nothing_if_nothing_changes(spark, lake):
+    silver = to_silver(bronze(spark, {}))
+    for _ in range(2):
+        lake.refresh_dimensions(silver)
+    assert [f for f in sorted(os.listdir(lake.dims["branch"].root)) if "-" in f] == ["000001-full"]
+
+
+# -- fact ---------------------------------------------------------------------
+
+
+def test_fact_keeps_every_line_and_total(spark, lake):
+    silver = lake.write_silver(bronze_sales(spark, SMALL))
+    lake.refresh_dimensions(silver)
+    fact = build_fact(silver, lake.dimensions())
+    assert fact.columns == FACT.fieldNames()
+    sums = [F.count(F.lit(1)), F.sum("Revenue"), F.sum("Units_Sold")]
+    assert fact.agg(*sums).first() == silver.agg(*sums).first()
+    assert fact.where(" or ".join(f"{k} is null" for k in FACT_KEYS)).isEmpty()
+
+
+def test_fact_is_the_same_by_shuffle(spark, lake):
+    silver = lake.write_silver(bronze_sales(spark, SMALL))
+    lake.refresh_dimensions(silver)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = build_fact(silver, lake.dimensions(), max_rows=20)
+        assert rows(shuffled) == rows(build_fact(silver, lake.dimensions()))
+        assert "SortMergeJoin" in plan(shuffled)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_null_id_keeps_the_line_with_a_null_key(spark, lake):
+    lake.load_batch(bronze(spark, {"Branch_ID": None}, {}), "0")
+    assert rows(lake.fact.read(), "dim_branch_key") == [(None,), (1,)]
+
+
+def test_grain_sums_and_recomputes_the_ratio(spark, lake):
+    lake.load_batch(bronze(spark, {"Revenue": 10, "Units_Sold": 1}, {"Revenue": 20, "Units_Sold": 3}), "0", "aggregate")
+    assert rows(lake.fact.read(), "Revenue", "Units_Sold", "revenuePerUnit") == [(30, 4, 7.5)]
+
+
+def test_duplicate_grain_raises_by_default_in_both_modes(spark, lake):
+    twice = bronze(spark, {}, {"Revenue": 7})
+    with pytest.raises(DuplicateKeys, match="dim_branch_key=1"):
+        lake.load_batch(twice, "0")
+    assert not lake.fact.exists()
+    lake.load_batch(bronze(spark, {}), "0")
+    with pytest.raises(DuplicateKeys):
+        lake.load_batch(twice, "1")
+    with pytest.raises(ValueError, match="on_duplicate"):
+        lake.load_batch(twice, "1", "ignore")
+
+
+def test_keep_leaves_lines_as_they_are(spark, lake):
+    lake.load_batch(bronze(spark, {}, {}), "0", "keep")
+    assert lake.fact.read().count() == 2
+    lake.load_batch(bronze(spark, {"Revenue": 1}), "1", "keep")
+    assert rows(lake.fact.read(), "Revenue") == [(1,)]
+
+
+def test_same_batch_twice_equals_once(spark, lake):
+    lines = [{"Date_ID": f"DT{i}", "Model_ID": f"M-{i}", "Branch_ID": None if i == 3 else "b"} for i in range(6)]
+    lake.load_batch(bronze(spark, *lines), "0")
+    lake.load_batch(bronze(spark, *lines[3:], {"Date_ID": None}), "1")
+    once = state(lake)
+    lake.load_batch(bronze(spark, *lines[3:], {"Date_ID": None}), "1")
+    assert state(lake) == once
+    assert len(once["fact"]) == 7
+    assert lake.silver().count() == 10
+
+
+def test_empty_batch_changes_nothing(spark, lake):
+    lake.load_batch(bronze(spark, {}), "0")
+    before = state(lake)
+    lake.load_batch(bronze(spark, {}).where("false"), "1")
+    assert state(lake) == before
+
+
+def test_empty_first_batch(spark, lake):
+    lake.load_batch(bronze(spark, {}).where("false"), "0")
+    assert spark.table(f"{lake.gold_schema}.fact_sales").columns == FACT.fieldNames()
+    assert spark.table(f"{lake.gold_schema}.fact_sales").count() == 0
+    lake.load_batch(bronze(spark, {}), "1")
+    assert lake.fact.read().count() == 1
+
+
+def test_increment_rewrites_only_its_own_partitions(spark, lake):
+    lake.load_batch(bronze(spark, *[{"Date_ID": f"DT{i}"} for i in range(6)]), "0")
+    before = lake.fact.parts()
+    assert sorted(before) == [0, 1, 2]
+    lake.load_batch(bronze(spark, {"Date_ID": "DT2", "Revenue": 1}, {"Date_ID": "DT9"}), "1")
+    after = lake.fact.parts()
+    assert sorted(after) == [0, 1, 2, 3]
+    assert [p for p in before if after[p] == before[p]] == [0, 2]
+    assert rows(lake.fact.read(), "dim_date_key", "Revenue") == [
+        (k, 1 if k == 3 else DEFAULTS["Revenue"]) for k in range(1, 8)
+    ]
+
+
+def test_late_member_needs_a_rebuild(spark, lake):
+    lake.load_batch(bronze(spark, {}), "0")
+    late = lake.write_silver(bronze(spark, {"Date_ID": "DT2"}), "1")
+    lake.load_fact(late)
+    assert rows(lake.fact.read(), "dim_date_key") == [(None,), (1,)]
+    lake.refresh_dimensions(late)
+    lake.load_fact(lake.silver(), rebuild=True)
+    assert rows(lake.fact.read(), "dim_date_key") == [(1,), (2,)]
+    assert sorted(lake.fact.parts()) == [0]
+
+
+def test_three_batches_equal_one_load_but_for_the_order_of_keys(spark, lake, folder):
+    for n in range(3):
+        lake.load_batch(bronze_batch(spark, SMALL, n), str(n), "aggregate")
+    whole = Lakehouse(spark, f"{folder}/whole", f"{lake.silver_schema}_w", f"{lake.gold_schema}_w")
+    whole.reload(bronze_batch(spark, SMALL, 0, 2), "aggregate")
+
+    def natural(house):
+        fact = house.fact.read()
+        for spec in DIMENSIONS:
+            fact = fact.join(house.dims[spec.name].read().select(spec.key, spec.id), spec.key)
+        return rows(fact, *[s.id for s in DIMENSIONS], "Revenue", "Units_Sold", "revenuePerUnit")
+
+    assert natural(lake) == natural(whole)
+    for spec in DIMENSIONS:
+        assert rows(lake.dims[spec.name].read(), spec.id, *spec.attr_names) == rows(
+            whole.dims[spec.name].read(), spec.id, *spec.attr_names
+        )
+        keys = [k for k, in rows(lake.dims[spec.name].read(), spec.key)]
+        assert keys == list(range(1, len(keys) + 1))
+
+
+def test_reload_keeps_member_keys(spark, lake):
+    lake.load_batch(bronze(spark, {"Dealer_ID": "z"}), "0")
+    lake.reload(bronze(spark, {"Dealer_ID": "a"}, {"Dealer_ID": "z"}))
+    assert rows(lake.dims["dealer"].read(), "dealer_id", "dim_dealer_key") == [("a", 2), ("z", 1)]
+    assert lake.silver().count() == 2
+
+
+@pytest.mark.parametrize("max_rows", [10**6, 30, 0])
+def test_rollup_by_broadcast_and_by_shuffle(spark, lake, max_rows):
+    lake.reload(bronze_sales(spark, SMALL), "keep")
+    dims = lake.dimensions()
+    found = star_rollup(
+        lake.fact.read(), {s: dims[s.name] for s in DIMENSIONS}, rollup_groups(), max_rows=max_rows
+    )
+    wanted = lake.silver().groupBy("Year", "Model_Category").agg(F.sum("Revenue"), F.sum("Units_Sold"))
+    assert rows(found) == rows(wanted)
+
+
+def test_fact_of_repeated_members_is_refused(spark, lake):
+    silver = lake.write_silver(bronze(spark, {}))
+    lake.refresh_dimensions(silver)
+    dims = lake.dimensions()
+    dims["model"] = dims["model"].union(dims["model"])
+    with pytest.raises(ValueError, match="model_id is not unique"):
+        build_fact(silver, dims)
+
+
+def test_grain_of_nothing(spark):
+    assert rows(to_grain(no_rows(spark, FACT))) == []
+
+
+# -- snapshots and catalog ----------------------------------------------------
+
+
+def test_table_can_be_rebuilt_from_itself(spark, folder):
+    table = SnapshotTable(spark, f"{folder}/t", no_rows(spark, BRANCH.schema).schema)
+    table.write(spark.createDataFrame([("a", "A", 1)], BRANCH.schema))
+    old = table.read()
+    table.write(old.withColumn("BranchName", F.lit("B")))
+    assert rows(old) == [("a", "A", 1)]
+    assert rows(table.read()) == [("a", "B", 1)]
+
+
+def test_unfinished_snapshot_is_ignored(spark, folder):
+    table = SnapshotTable(spark, f"{folder}/t", DATE.schema)
+    assert not table.exists() and rows(table.read()) == []
+    table.write(spark.createDataFrame([("d", 1)], DATE.schema))
+    table.write(spark.createDataFrame([("d", 2)], DATE.schema))
+    os.remove(f"{folder}/t/000002-full/_SUCCESS")
+    assert rows(table.read()) == [("d", 1)]
+    table.write(spark.createDataFrame([("d", 3)], DATE.schema))
+    assert sorted(os.listdir(f"{folder}/t")) == ["000001-full", "000002-full", "000003-full"]
+    assert rows(table.read()) == [("d", 3)]
+
+
+def test_partition_width_cannot_change_silently(spark, lake):
+    lake.load_batch(bronze(spark, {}), "0")
+    other = Lakehouse(spark, lake.root, lake.silver_schema, lake.gold_schema, dates_per_part=5)
+    with pytest.raises(ValueError, match="date_keys_by_2"):
+        other.fact.read()
+
+
+def test_large_partition_is_spread_over_tasks(spark, folder):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        schema = no_rows(spark, DATE.schema).schema
+        table = SnapshotTable(spark, f"{folder}/t", schema, "p", range_bucket("dim_date_key", 10**9))
+        table.write(spark.range(40000).select(F.sha2(F.col("id").cast("string"), 256).alias("date_id"), (F.col("id") + 1).alias("dim_date_key")))
+        assert list(table.parts()) == [0]
+        assert len([f for f in os.listdir(table.parts()[0]) if f.endswith(".parquet")]) > 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_range_bucket(spark):
+    keys = spark.createDataFrame([(None,), (1,), (4,), (5,)], "k bigint")
+    assert rows(keys.select(range_bucket("k", 4).alias("p"))) == [(-1,), (0,), (0,), (1,)]
+
+
+def test_catalog_views_follow_the_tables(spark, lake):
+    lake.create_schemas()
+    lake.create_schemas()
+    lake.load_batch(bronze(spark, {}), "0")
+    fact = f"{lake.gold_schema}.fact_sales"
+    opened = spark.table(fact)
+    for name in ("dim_branch", "dim_dealer", "dim_model", "dim_date", "fact_sales"):
+        assert spark.catalog.tableExists(f"{lake.gold_schema}.{name}")
+    lake.load_batch(bronze(spark, {"Date_ID": "DT2"}, {"Revenue": 5}), "1")
+    assert rows(opened, "Revenue") == [(100,)]
+    assert rows(spark.table(fact), "Revenue") == [(5,), (100,)]
+    assert rows(spark.table(fact)) == rows(lake.fact.read())
+    assert spark.sql(f"SELECT count(*) FROM {lake.silver_schema}.sales").first()[0] == 3
+    assert rows(spark.table(f"{lake.gold_schema}.dim_date")) == [("DT1", 1), ("DT2", 2)]
+
+
+def test_new_session_continues_from_the_folder(spark, lake):
+    lake.load_batch(bronze(spark, {}), "0")
+    again = Lakehouse(spark, lake.root, f"{lake.silver_schema}_2", f"{lake.gold_schema}_2", dates_per_part=2)
+    again.register()
+    assert spark.table(f"{again.gold_schema}.fact_sales").count() == 1
+    again.load_batch(bronze(spark, {"Dealer_ID": "next"}), "1")
+    assert rows(again.dims["dealer"].read(), "dim_dealer_key") == [(1,), (2,)]
+
+
+def test_batch_names_are_checked(spark, lake):
+    with pytest.raises(ValueError, match="batch"):
+        lake.write_silver(bronze(spark, {}), "../x")
+
+
+def test_working_folders_are_removed(spark, lake):
+    from starloom.session import shared_folder
+
+    before = set(os.listdir(shared_folder(spark))) if os.path.exists(shared_folder(spark)) else set()
+    lake.load_batch(bronze(spark, {}), "0")
+    lake.load_batch(bronze(spark, {"Revenue": 2}), "1")
+    assert set(os.listdir(shared_folder(spark))) == before
+
+
+# -- streaming ----------------------------------------------------------------
+
+
+def test_stream_takes_only_new_files_and_equals_the_batches(spark, lake, folder):
+    landing, checkpoint = f"{folder}/landing", f"{folder}/checkpoint"
+    taken = []
+    for n in range(3):
+        bronze_batch(spark, SMALL, n).write.parquet(f"{landing}/{n}")
+        taken.append(sum(load_new_files(lake, landing, checkpoint, "aggregate")))
+    assert taken == [bronze_batch(spark, SMALL, n).count() for n in range(3)]
+    assert load_new_files(lake, landing, checkpoint, "aggregate") == []
+    batches = Lakehouse(spark, f"{folder}/batches", f"{lake.silver_schema}_b", f"{lake.gold_schema}_b")
+    for n in range(3):
+        batches.load_batch(bronze_batch(spark, SMALL, n), str(n), "aggregate")
+    assert state(lake) == state(batches)
+
+
+def test_stream_in_several_batches_and_after_a_lost_checkpoint(spark, lake, folder):
+    landing = f"{folder}/landing"
+    for n in range(3):
+        bronze(spark, {"Date_ID": f"DT{n}"}, {"Date_ID": f"DT{n}", "Model_ID": "B-2"}).coalesce(1).write.parquet(f"{landing}/{n}")
+    assert load_new_files(lake, landing, f"{folder}/c1", files_per_batch=1) == [2, 2, 2]
+    before = {name: len(found) for name, found in state(lake).items()}
+    assert before == {"branch": 1, "dealer": 1, "model": 2, "date": 3, "fact": 6}
+    load_new_files(lake, landing, f"{folder}/c2", files_per_batch=1)
+    assert {name: len(found) for name, found in state(lake).items()} == before
