@@ -10,7 +10,7 @@ position. Members are distinct, so no range can be hot.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from starloom.sources.files import read_parquet
 
@@ -39,8 +39,8 @@ def stage_in_key_order(members: DataFrame, id_col: str, key_col: str, path: str)
         )
     )
     staged.write.parquet(path)
-    schema = StructType(members.schema.fields).add(RANGE, IntegerType()).add(POSITION, LongType())
-    return read_parquet(members.sparkSession, path, schema)
+    added = [StructField(RANGE, IntegerType()), StructField(POSITION, LongType())]
+    return read_parquet(members.sparkSession, path, StructType([*members.schema.fields, *added]))
 
 
 def number_new(staged: DataFrame, key_col: str, highest: Column) -> DataFrame:

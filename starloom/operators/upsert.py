@@ -52,7 +52,8 @@ def upsert_columns(
 
     Other columns keep the target's value, or are NULL in a new row. A NULL in
     the source does overwrite: presence of the row decides, not of the value.
-    Keys are never changed.
+    Keys are never changed. They are expected to be unique on both sides, so that
+    no key is hot in the full join.
     """
     insert = list(target.columns if insert is None else insert)
     old = target.withColumn("in_target", F.lit(True)).alias("target")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -110,9 +111,8 @@ class Lakehouse:
         if on_duplicate == "aggregate":
             rows = to_grain(rows)
         if rebuild or not self.fact.exists():
-            if on_duplicate == "raise":
-                require_unique(rows, FACT_KEYS)
-            self.fact.write(rows)
+            audit = partial(require_unique, keys=FACT_KEYS) if on_duplicate == "raise" else None
+            self.fact.write(rows, audit)
             return
         self.merge_fact(rows, unique=on_duplicate != "raise")
 

@@ -2,7 +2,7 @@
 
 Plain Parquet has no MERGE, and a job that overwrites the folder it reads loses
 the data. So each change is written to a new folder, ``000001-full``,
-``000002-part`` and so on, which counts once Spark has put ``_SUCCESS`` into it.
+``000002-part`` and so on, which counts once it holds ``_SUCCESS``.
 A full snapshot replaces all before it. A part holds some partitions of the
 table and replaces only those; the others stay where they are, unread. A lost
 executor only repeats tasks, and a lost driver leaves a folder that is ignored.
@@ -12,6 +12,7 @@ A table has one writer at a time; readers keep the files they have opened.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -19,6 +20,8 @@ from pyspark.sql.types import StructType
 from starloom.schemas import no_rows
 from starloom.sources.files import on_files
 
+# Spark's own marker is put off until the rows are checked.
+_MARK = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 _VERSION = re.compile(r"^(\d{6})-(full|part)$")
 
 
@@ -104,9 +107,14 @@ class SnapshotTable:
             return no_rows(self.spark, self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def write(self, df: DataFrame) -> None:
-        """Replace the whole table."""
-        self._write(df, "full")
+    def write(self, df: DataFrame, audit: Callable[[DataFrame], None] | None = None) -> None:
+        """Replace the whole table.
+
+        ``audit`` sees the written rows before anyone else does; if it raises,
+        the table stays as it was. That costs a read of the columns it looks at,
+        instead of computing ``df`` once more.
+        """
+        self._write(df, "full", audit)
 
     def write_parts(self, df: DataFrame) -> None:
         """Replace the partitions that occur in ``df``."""
@@ -114,19 +122,24 @@ class SnapshotTable:
             raise ValueError("the table has no partitions")
         self._write(df, "part")
 
-    def _write(self, df: DataFrame, kind: str) -> None:
+    def _write(self, df: DataFrame, kind: str, audit: Callable[[DataFrame], None] | None = None) -> None:
         versions = self._versions()
         number = int(_VERSION.match(versions[-1]).group(1)) + 1 if versions else 1
+        path = f"{self.root}/{number:06d}-{kind}"
         df = df.select(self.schema.fieldNames())
         if self.part_name:
             # Rebalancing brings a partition's rows together, so that few files are
             # written, and splits a partition that is too large for one task.
             df = df.withColumn(self.part_name, self.part_of).hint("rebalance", self.part_name)
             df = df.sortWithinPartitions(*[c for c in (self.part_name, self.order_in_part) if c])
-        writer = df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+        writer = df.write.option(_MARK, "false")
         if self.part_name:
             writer = writer.partitionBy(self.part_name)
-        writer.parquet(f"{self.root}/{number:06d}-{kind}")
+        writer.parquet(path)
+        if audit is not None:
+            audit(self.spark.read.schema(self.schema).parquet(path))
+        hadoop_path, fs = _file_system(self.spark, f"{path}/_SUCCESS")
+        fs.create(hadoop_path, False).close()
 
     def register(self, name: str) -> None:
         """Point the catalog view ``name`` to the current snapshot, in one step.

@@ -27,6 +27,14 @@ def lake(spark, folder):
     yield Lakehouse(spark, f"{folder}/lake", f"silver_{name}", f"gold_{name}", dates_per_part=2)
 
 
+@pytest.fixture(scope="module")
+def loaded(spark, tmp_path_factory):
+    """All small sales, loaded once for the tests that only read."""
+    house = Lakehouse(spark, str(tmp_path_factory.mktemp("loaded")), "silver_loaded", "gold_loaded")
+    house.reload(bronze_sales(spark, SMALL), "keep")
+    return house
+
+
 def state(lake):
     return {**{n: rows(t.read()) for n, t in lake.dims.items()}, "fact": rows(lake.fact.read())}
 
@@ -98,23 +106,20 @@ def test_refresh_writes_nothing_if_nothing_changes(spark, lake):
 # -- fact ---------------------------------------------------------------------
 
 
-def test_fact_keeps_every_line_and_total(spark, lake):
-    silver = lake.write_silver(bronze_sales(spark, SMALL))
-    lake.refresh_dimensions(silver)
-    fact = build_fact(silver, lake.dimensions())
+def test_fact_keeps_every_line_and_total(loaded):
+    silver = loaded.silver()
+    fact = build_fact(silver, loaded.dimensions())
     assert fact.columns == FACT.fieldNames()
     sums = [F.count(F.lit(1)), F.sum("Revenue"), F.sum("Units_Sold")]
     assert fact.agg(*sums).first() == silver.agg(*sums).first()
     assert fact.where(" or ".join(f"{k} is null" for k in FACT_KEYS)).isEmpty()
 
 
-def test_fact_is_the_same_by_shuffle(spark, lake):
-    silver = lake.write_silver(bronze_sales(spark, SMALL))
-    lake.refresh_dimensions(silver)
+def test_fact_is_the_same_by_shuffle(spark, loaded):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        shuffled = build_fact(silver, lake.dimensions(), max_rows=20)
-        assert rows(shuffled) == rows(build_fact(silver, lake.dimensions()))
+        shuffled = build_fact(loaded.silver(), loaded.dimensions(), max_rows=20)
+        assert rows(shuffled) == rows(loaded.fact.read())
         assert "SortMergeJoin" in plan(shuffled)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -228,13 +233,10 @@ def test_reload_keeps_member_keys(spark, lake):
 
 
 @pytest.mark.parametrize("max_rows", [10**6, 30, 0])
-def test_rollup_by_broadcast_and_by_shuffle(spark, lake, max_rows):
-    lake.reload(bronze_sales(spark, SMALL), "keep")
-    dims = lake.dimensions()
-    found = star_rollup(
-        lake.fact.read(), {s: dims[s.name] for s in DIMENSIONS}, rollup_groups(), max_rows=max_rows
-    )
-    wanted = lake.silver().groupBy("Year", "Model_Category").agg(F.sum("Revenue"), F.sum("Units_Sold"))
+def test_rollup_by_broadcast_and_by_shuffle(loaded, max_rows):
+    dims = {spec: loaded.dims[spec.name].read() for spec in DIMENSIONS}
+    found = star_rollup(loaded.fact.read(), dims, rollup_groups(), max_rows=max_rows)
+    wanted = loaded.silver().groupBy("Year", "Model_Category").agg(F.sum("Revenue"), F.sum("Units_Sold"))
     assert rows(found) == rows(wanted)
 
 
@@ -275,6 +277,15 @@ def test_unfinished_snapshot_is_ignored(spark, folder):
     assert rows(table.read()) == [("d", 3)]
 
 
+def test_refused_rows_leave_the_table_as_it_was(spark, lake):
+    lake.load_batch(bronze(spark, {}), "0")
+    with pytest.raises(DuplicateKeys):
+        lake.reload(bronze(spark, {}, {}, {"Revenue": 3}))
+    assert rows(lake.fact.read(), "Revenue") == [(100,)]
+    lake.reload(bronze(spark, {"Revenue": 9}))
+    assert rows(lake.fact.read(), "Revenue") == [(9,)]
+
+
 def test_partition_width_cannot_change_silently(spark, lake):
     lake.load_batch(bronze(spark, {}), "0")
     other = Lakehouse(spark, lake.root, lake.silver_schema, lake.gold_schema, dates_per_part=5)

@@ -83,6 +83,13 @@ def test_keys_stay_when_the_result_is_computed_again(spark, folder):
     assert rows(found, "id", "k") == rows(found, "id", "k")
 
 
+def test_staging_leaves_the_members_as_they_are(spark, folder):
+    members = spark.createDataFrame([("a", None)], "id string, k bigint")
+    for n in range(2):
+        assert rows(numbered(members, f"{folder}/{n}"), "id", "k") == [("a", 1)]
+    assert members.columns == members.schema.fieldNames()
+
+
 def test_highest_key_of_an_empty_table_is_zero(spark):
     empty = spark.createDataFrame([], "k bigint")
     assert spark.range(1).select(highest_key(empty, "k")).first()[0] == 0
