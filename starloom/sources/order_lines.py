@@ -47,7 +47,7 @@ def _sale_lines(spark: SparkSession, folder: str, orders: DataFrame) -> DataFram
     )
 
 
-def _bronze_columns() -> list[Column]:
+def _bronze_columns(dealer_name: Column) -> list[Column]:
     date = F.col("o_orderdate")
     day_digits = F.year(date) * 10000 + F.month(date) * 100 + F.dayofmonth(date)
     return [
@@ -61,14 +61,14 @@ def _bronze_columns() -> list[Column]:
         F.month(date).alias("Month"),
         F.year(date).alias("Year"),
         F.col("n_name").alias("BranchName"),
-        F.col("s_name").alias("DealerName"),
+        dealer_name.alias("DealerName"),
         F.col("p_name").alias("Product_Name"),
     ]
 
 
 def bronze_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Every line item as one bronze sale line."""
-    return _sale_lines(spark, folder, table(spark, folder, "orders")).select(_bronze_columns())
+    return _sale_lines(spark, folder, table(spark, folder, "orders")).select(_bronze_columns(F.col("s_name")))
 
 
 def bronze_batch(spark: SparkSession, folder: str, first: int, last: int | None = None) -> DataFrame:
@@ -87,6 +87,4 @@ def bronze_batch(spark: SparkSession, folder: str, first: int, last: int | None
     batch = F.when(date < _day(BATCH_STARTS[0]), 0).when(date < _day(BATCH_STARTS[1]), 1).otherwise(2)
     renamed = (batch > 0) & (F.col("l_suppkey") % 7 == 0)
     name = F.when(renamed, F.concat(F.col("s_name"), F.lit(" r"), batch.cast("string"))).otherwise(F.col("s_name"))
-    columns = _bronze_columns()
-    columns[10] = name.alias("DealerName")
-    return _sale_lines(spark, folder, orders).select(columns)
+    return _sale_lines(spark, folder, orders).select(_bronze_columns(name))

@@ -204,7 +204,9 @@ def test_upsert_against_a_dictionary(spark):
 def test_null_keys_match(spark):
     target = spark.createDataFrame([(None, "n"), (1, "x")], "k int, v string")
     source = spark.createDataFrame([(None, "N")], "k int, v string")
-    assert rows(upsert(target, source, ["k"])) == [(None, "N"), (1, "x")]
+    found = upsert(target, source, ["k"])
+    assert rows(found) == [(None, "N"), (1, "x")]
+    assert "NestedLoop" not in plan(found)
 
 
 def test_partial_columns(spark):
