@@ -23,13 +23,14 @@ def on_files(path: str) -> str:
 def read_csv(
     spark: SparkSession, path: str, schema: StructType, keep_bad_rows: bool = False, multi_line: bool = False
 ) -> DataFrame:
-    """A CSV batch with header; quoted commas and either kind of line end.
+    """A CSV batch; quoted commas and either kind of line end. The header must name the schema's columns in order.
 
     A row that does not fit the schema fails the read, or is kept with its text
     in ``_corrupt_record``. ``multi_line`` admits line ends inside quotes, at the
     price that a file is no longer split among tasks.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    reader = reader.option("escape", '"').option("multiLine", multi_line)
     if keep_bad_rows:
         schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
         return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(path)

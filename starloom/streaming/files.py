@@ -15,7 +15,7 @@ def load_new_files(
     on_duplicate: str = "raise",
     files_per_batch: int | None = None,
 ) -> list[int]:
-    """Load the Parquet files in ``landing`` that no earlier run has loaded; return the rows of each batch.
+    """Load the Parquet files in ``landing`` that no earlier run has loaded; return the rows of each batch (the last 100).
 
     The checkpoint remembers which files were taken. Spark repeats a batch that
     was cut off, under the same number: its silver rows are replaced, its members

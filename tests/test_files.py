@@ -34,6 +34,20 @@ def test_bad_csv_row_fails_or_is_kept(spark, tmp_path):
     assert sum(r[CORRUPT] is not None for r in kept.collect()) == 1
 
 
+def test_csv_columns_in_another_order_are_refused(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text(HEADER.replace("Branch_ID,Dealer_ID", "Dealer_ID,Branch_ID") + "\n" + LINE + "\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_csv(spark, str(path), BRONZE).collect()
+
+
+def test_csv_columns_can_be_pruned(spark, tmp_path):
+    found = read_csv(spark, write(tmp_path / "a.csv", LINE), BRONZE)
+    assert rows(found, "DealerName") == [('One, Two "Motors"',)]
+    assert found.agg(F.sum("Revenue")).first()[0] == 7
+    assert found.count() == 1
+
+
 def test_csv_line_end_inside_quotes(spark, tmp_path):
     path = write(tmp_path / "a.csv", LINE.replace("One, Two", "One\nTwo"))
     found = read_csv(spark, path, BRONZE, multi_line=True).collect()
