@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
 # Limits up to which a dimension's id and key columns are broadcast.
-BROADCAST_ROWS = 2_000_000
-BROADCAST_BYTES = 128 << 20
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 _ROW, _SALT, _COPIES = "row_number_in_scan", "salt", "copies"
 
@@ -126,15 +126,13 @@ def star_lookup(
     sizes = measure(lookups)
     small = [x for x, size in zip(lookups, sizes) if size.fits(max_rows, max_bytes)]
     large = [x for x, size in zip(lookups, sizes) if not size.fits(max_rows, max_bytes)]
-    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    frequent = {x.fact_id: frequent_ids(facts, x.fact_id, partitions) for x in large}
 
-    joined = facts
-    if large:
-        joined = joined.withColumn(_ROW, F.monotonically_increasing_id())
+    joined = facts.withColumn(_ROW, F.monotonically_increasing_id()) if large else facts
     for lookup in small:
         match = F.col(lookup.fact_id) == F.col("looked_up_id")
         joined = joined.join(F.broadcast(lookup.narrow), match, "left").drop("looked_up_id", lookup.fact_id)
     for lookup in large:
-        joined = _salted_join(joined, lookup, frequent[lookup.fact_id], partitions).drop(lookup.fact_id)
+        partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        frequent = frequent_ids(facts, lookup.fact_id, partitions)
+        joined = _salted_join(joined, lookup, frequent, partitions).drop(lookup.fact_id)
     return joined.drop(_ROW)
