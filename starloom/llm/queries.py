@@ -11,6 +11,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 import starloom
+from starloom.llm.packing import packed
 from starloom.llm.token_counts import token_counts
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -56,6 +57,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@registered
+def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(read(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
+
+
 @registered
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
