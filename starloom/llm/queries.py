@@ -8,11 +8,13 @@ import zipfile
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import starloom
+from starloom.llm.huffman import read_ids, write_ids
 from starloom.llm.packing import packed
 from starloom.llm.token_counts import token_counts
+from starloom.session import new_folder
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -57,6 +59,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@registered
+def op2_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "huffman")
+    write_ids(read(spark, sf_dir, "documents"), path, vocabulary(BYTE_BPE))
+    return read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @registered
 def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(read(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
