@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import starloom
 from starloom.llm.huffman import read_ids, write_ids
 from starloom.llm.packing import packed
+from starloom.llm.simhash import near_classes
 from starloom.llm.token_counts import token_counts
 from starloom.session import new_folder
 
@@ -74,3 +75,9 @@ def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
+
+
+@registered
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_classes(read(spark, sf_dir, "documents"))
+    return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
