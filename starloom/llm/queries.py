@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import starloom
 from starloom.llm.huffman import read_ids, write_ids
 from starloom.llm.packing import packed
+from starloom.llm.quality import quality
 from starloom.llm.simhash import near_classes
 from starloom.llm.token_counts import token_counts
+from starloom.llm.toxicity import toxicity
 from starloom.session import new_folder
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -77,6 +79,16 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
 
 
+@registered
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@registered
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @registered
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_classes(read(spark, sf_dir, "documents"))

@@ -1,0 +1,83 @@
+import re
+from collections import Counter
+
+import numpy as np
+from cases import SMALL, bag, make_docs
+
+from starloom.llm.quality import calibrate, keep_good, quality
+from starloom.llm.queries import QUERIES
+
+MIDDLE = "/root/testdata/sf0.1"
+
+
+def counts(text):
+    words = re.findall("[^\\x20\\x09-\\x0D]+", text or "")
+    lines = [x for x in (text or "").split("\n") if re.search("[^\\x20\\x09-\\x0D]", x)]
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    often = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(8)}
+    n = len(words)
+    symbols = sum((text or "").count(c) for c in "#*$%&|<>")
+    return n, sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered), n < 20 or 100 * len(covered) > 30 * n
+
+
+def made_texts(n):
+    rng = np.random.default_rng(1)
+    plain = [f"word{chr(97 + i % 26)}{i}" for i in range(300)]
+    rows, labels = [], []
+    for i in range(n):
+        words = rng.choice(plain, 60).tolist()
+        good = i % 3 > 0
+        rows.append((i, " ".join(words if good else [w.upper() + "!!" for w in words])))
+        labels.append((i, int(good)))
+    return rows, labels
+
+
+EDGE = [
+    None, "", " \n\t", "a b", "x\x1cy é 日本 #*$%&|<> <b>", "line one\nline one\n\n \nline one\nline two", "a b c d e f g h " * 9,
+    " ".join(f"u{i}" for i in range(40)), "w " * 30_000, "x" * 50_000, " ".join(f"u{i % 9}" for i in range(30)), "é b c " * 9,
+]
+
+
+def test_counts_of_edge_texts(spark):
+    rows = [(i, t) for i, t in enumerate(EDGE)] + [(None, "a b"), (3, "a b"), (3, "a b")]
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    found = bag(quality(make_docs(spark, rows), none).drop("probability"))
+    assert found == sorted(((i, *counts(t), not counts(t)[-1]) for i, t in rows), key=str)
+
+
+def test_counts_of_the_whole_table(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    found = QUERIES["op8_quality"](spark, SMALL).collect()
+    assert {r.doc_id: tuple(r)[1:7] for r in found} == {i: counts(t) for i, t in texts.items()}
+    assert all(r.kept == (not r.base_failed and r.probability >= 0.5) for r in found)
+
+
+def test_model_tells_good_from_bad(spark):
+    rows, labels = made_texts(300)
+    docs, table = make_docs(spark, rows), spark.createDataFrame([*labels, (None, 0), (5, None)], "doc_id long, quality int")
+    found = {r.doc_id: r.kept for r in quality(docs, table).collect()}
+    assert sum(found[i] == bool(y) for i, y in labels) >= 0.99 * len(labels)
+    kept = keep_good(docs, table)
+    assert kept.columns == docs.columns
+    assert bag(kept) == sorted((tuple(r) for r in docs.collect() if found[r.doc_id]), key=str)
+
+
+def test_given_labels(spark):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{MIDDLE}/labels.parquet").collect()}
+    found = [r for r in QUERIES["op8_quality"](spark, MIDDLE).collect() if r.doc_id in labels and not r.base_failed]
+    assert sum(r.kept == bool(labels[r.doc_id]) for r in found) >= 0.98 * len(found)
+
+
+def test_calibrated_chances_match_rates():
+    rng = np.random.default_rng(4)
+    odds = rng.normal(0, 3, 4000)
+    labels = (rng.random(4000) < 1 / (1 + np.exp(-(0.5 * odds + 1)))).astype(float)
+    slope, shift = calibrate(odds, labels)
+    assert abs(slope - 0.5) < 0.1 and abs(shift - 1) < 0.2
+
+
+def test_empty_table(spark):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality(make_docs(spark, []), none).count() == 0
+    assert keep_good(make_docs(spark, []), none).count() == 0
