@@ -14,6 +14,7 @@ import starloom
 from starloom.llm.huffman import read_ids, write_ids
 from starloom.llm.packing import packed
 from starloom.llm.quality import quality
+from starloom.llm.secret_scan import secret_digest
 from starloom.llm.simhash import near_classes
 from starloom.llm.token_counts import token_counts
 from starloom.llm.toxicity import toxicity
@@ -74,6 +75,11 @@ def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(read(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
 
 
+@registered
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(read(spark, sf_dir, "documents"))
+
+
 @registered
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
