@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import starloom
 from starloom.llm.huffman import read_ids, write_ids
+from starloom.llm.mixing import mixed
+from starloom.llm.oracle import ORACLE  # noqa: F401
 from starloom.llm.packing import packed
 from starloom.llm.quality import quality
 from starloom.llm.secret_scan import secret_digest
@@ -23,7 +25,6 @@ from starloom.session import new_folder
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def vocabulary(name: str) -> str:
@@ -80,6 +81,11 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(read(spark, sf_dir, "documents"))
 
 
+@registered
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(read(spark, sf_dir, "documents"))
+
+
 @registered
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
