@@ -18,6 +18,8 @@ from starloom.llm.tables import spread
 
 END_ID = 0
 
+# White space in Python's sense, other than the space and the line feed.
+_OTHER_SPACE = re.compile(r"[\t\v\f\r\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]")
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _TAILED = re.compile(r"(\x20?[A-Za-z]+)([.,!?;:]+)")
 _LETTERS = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
@@ -39,6 +41,14 @@ def byte_signs(text: str) -> str:
     return text.encode().decode("latin-1").translate(_SIGNS)
 
 
+def _pieces(text: str) -> list[str]:
+    """``text`` cut at each space that stands between two characters other than white space."""
+    own = text.split(" ")
+    if "" in own or "\n " in text or " \n" in text or _OTHER_SPACE.search(text):
+        return _SINGLE_SPACE.split(text)
+    return own
+
+
 class _Numbers(dict):
     """Numbers keys in the order of their first use."""
 
@@ -48,9 +58,9 @@ class _Numbers(dict):
 
 
 class PieceEncoder:
-    """Encodes lists of texts; remembers up to ``keep`` pieces, then starts afresh."""
+    """Encodes lists of texts; remembers about ``keep`` pieces. Beyond that, pieces that came up only once are forgotten."""
 
-    def __init__(self, path: str, keep: int = 500_000):
+    def __init__(self, path: str, keep: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -62,6 +72,21 @@ class PieceEncoder:
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.uses = np.zeros(0, np.int64)
+
+    def _keep_repeated(self) -> None:
+        """Keep the pieces used twice or more, or nothing if those are too many as well."""
+        often = np.flatnonzero(self.uses > 1)
+        if len(often) > self.keep * 3 // 4:
+            self.forget()
+            return
+        keys = list(self.numbers)
+        self.numbers = _Numbers(zip([keys[i] for i in often.tolist()], range(len(often))))
+        self.ids = self.ids[spread(self.starts[often], self.lengths[often])]
+        self.lengths = self.lengths[often]
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        # From here on a piece has to come up again to be kept the next time.
+        self.uses = np.ones(len(often), np.int64)
 
     def _plain(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces one after the other and their numbers. A key with a space in front is a piece without one."""
@@ -110,16 +135,19 @@ class PieceEncoder:
     def encode(self, texts: list[str], end: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, each text's followed by ``end``, and the number of ids of each text."""
         if len(self.numbers) > self.keep:
-            self.forget()
+            self._keep_repeated()
         known, pieces, counts = len(self.numbers), [], []
         for text in texts:
-            own = _SINGLE_SPACE.split(text)
+            own = _pieces(text)
             own[0] = " " + own[0]
             pieces += own
             counts.append(len(own))
         codes = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
         if len(self.numbers) > known:
             self._learn(known)
+        uses = np.bincount(codes, minlength=len(self.numbers))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         size = self.lengths[codes]
         ids = self.ids[spread(self.starts[codes], size)]
         first = np.cumsum(counts) - counts
