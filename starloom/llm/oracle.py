@@ -37,4 +37,16 @@ SELECT d.doc_id, d.size, x.source_size, x.target, d.size * (x.repeats + x.extra)
 FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.hash = x.hash
 """
 
-ORACLE = {"op5_mixing": _MIXING}
+_TOP_K = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+ORACLE = {"op5_mixing": _MIXING, "op9_top_k": _TOP_K}

@@ -19,6 +19,7 @@ from starloom.llm.quality import quality
 from starloom.llm.secret_scan import secret_digest
 from starloom.llm.simhash import near_classes
 from starloom.llm.token_counts import token_counts
+from starloom.llm.topk import top_k
 from starloom.llm.toxicity import toxicity
 from starloom.session import new_folder
 
@@ -101,6 +102,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@registered
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
 @registered
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_classes(read(spark, sf_dir, "documents"))
