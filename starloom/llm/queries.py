@@ -15,6 +15,7 @@ from starloom.llm.huffman import read_ids, write_ids
 from starloom.llm.mixing import mixed
 from starloom.llm.oracle import ORACLE  # noqa: F401
 from starloom.llm.packing import packed
+from starloom.llm.pseudonyms import pseudonymised
 from starloom.llm.quality import quality
 from starloom.llm.secret_scan import secret_digest
 from starloom.llm.simhash import near_classes
@@ -65,6 +66,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@registered
+def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymised(read(spark, sf_dir, "documents"), key="a key for tests; real ones come from a vault")
+
+
 @registered
 def op2_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "huffman")
