@@ -81,7 +81,7 @@ def table_places(texts: list[str], hashes: np.ndarray, starts: np.ndarray) -> li
             own = len(hashes)
             grams, of = grams[own:], of[own:]
         kinds.append(((grams >> np.uint64(64 - BITS)).astype(np.uint32), np.bincount(of, minlength=len(starts) - 1)))
-    return [(place.astype(np.int64) + (k << BITS), counts) for k, (place, counts) in enumerate(kinds)]
+    return [(place.astype(np.int32) + np.int32(k << BITS), counts) for k, (place, counts) in enumerate(kinds)]
 
 
 KINDS = CHARS + 2
@@ -137,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, settings: Settings) -> t
             for place, counts in table_places([text], hashes.view(np.uint64), np.array([0, len(hashes)])):
                 own, n = np.unique(place, return_counts=True)
                 at.append(own)
-                x.append(n / max(int(counts.sum()), 1))
+                x.append((n / max(int(counts.sum()), 1)).astype(np.float32))
             rows.append((np.concatenate(at), np.concatenate(x)))
         # Every fifth row calibrates.
         apart = np.arange(len(y)) % 5 == 0
@@ -175,7 +175,7 @@ def _judged(docs: DataFrame, model: tuple[np.ndarray, float] | None, settings: S
     """Verdicts, or with ``filtered`` the kept rows with all their columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 4 << 20):
+        for part in slices(batches, "text", 1 << 20):
             flat, starts = list_parts(part.column("hashes"))
             flat, n = flat.view(np.uint64), np.diff(starts)
             repeated = repeated_words(flat, starts)
