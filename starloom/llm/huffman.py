@@ -61,62 +61,62 @@ def code_lengths(counts: np.ndarray, max_bits: int) -> np.ndarray:
 
 
 def canonical_codes(lengths: np.ndarray) -> np.ndarray:
-    """Codes that ascend by length and then by id."""
+    """Codes that ascend by length and then by id, moved up to the highest bit of 64."""
     codes = np.zeros(len(lengths), np.uint64)
     code, last = 0, 0
     for i in sorted(np.flatnonzero(lengths).tolist(), key=lambda i: (lengths[i], i)):
         code <<= int(lengths[i]) - last
         last = int(lengths[i])
-        codes[i] = code
+        codes[i] = code << (64 - last)
         code += 1
     return codes
 
 
-def decoding_table(lengths: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every window of ``max_bits`` bits the id at its front and that id's code length."""
+def decoding_table(lengths: np.ndarray, max_bits: int) -> np.ndarray:
+    """For every window of ``max_bits`` bits the id at its front, and in the lower eight bits that id's code length."""
     ids = np.flatnonzero(lengths)
     ids = ids[np.argsort(lengths[ids], kind="stable")]
     each = 1 << (max_bits - lengths[ids].astype(np.int64))
-    symbols, sizes = np.zeros(1 << max_bits, np.uint32), np.ones(1 << max_bits, np.int64)
+    table = np.ones(1 << max_bits, np.uint32)
     used = int(each.sum())
-    symbols[:used], sizes[:used] = np.repeat(ids, each), np.repeat(lengths[ids], each)
-    return symbols, sizes
+    table[:used] = np.repeat(ids.astype(np.uint32) << 8 | lengths[ids], each)
+    return table
 
 
 def pack_bits(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The code stream of ``ids`` and the bit offset of every ``BLOCK``-th of them."""
-    size = lengths[ids].astype(np.int64)
-    ends = np.cumsum(size)
-    starts = ends - size
+    """The code stream of ``ids`` and the bit offset of every ``BLOCK``-th of them. ``codes`` start at the highest bit."""
+    ends = np.cumsum(lengths[ids], dtype=np.int64)
     total = int(ends[-1]) if len(ends) else 0
     out = np.zeros(total // 64 + 2, np.uint64)
+    starts = np.concatenate([[0], ends[:-1]])
     if len(ids):
-        word, room = starts >> 6, 64 - (starts & 63) - size
-        code = codes[ids]
+        word, code = starts >> 6, codes[ids]
         # Bits of one word are disjoint, so adding them up is joining them.
-        whole = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64), code >> np.maximum(-room, 0).astype(np.uint64))
         first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-        out[word[first]] = np.add.reduceat(whole, first)
-        over = np.flatnonzero(room < 0)
-        out[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
-    return out.astype(">u8").tobytes()[: (total + 7) // 8], starts[::BLOCK]
+        shift = (starts & 63).astype(np.uint64)
+        out[word[first]] = np.add.reduceat(code >> shift, first)
+        # The last code of a word may go on in the next one.
+        over = np.flatnonzero((ends - 1) >> 6 != word)
+        out[word[over] + 1] |= code[over] << (np.uint64(64) - shift[over])
+    return out.astype(">u8").tobytes()[: (total + 7) // 8], starts[: len(ids) : BLOCK]
 
 
-def unpack_bits(stream: bytes, checkpoints: np.ndarray, n: int, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def unpack_bits(stream: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray) -> np.ndarray:
     """The ``n`` ids of a code stream; all blocks advance together, one id each in a step."""
-    max_bits = (len(symbols) - 1).bit_length()
+    max_bits = (len(table) - 1).bit_length()
     raw = np.frombuffer(stream + bytes(8), np.uint8).astype(np.uint32)
     window = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
-    at, mask = checkpoints.astype(np.int64), (1 << max_bits) - 1
+    at, mask = checkpoints.astype(np.uint32), np.uint32((1 << max_bits) - 1)
+    seven, up, low = np.uint32(7), np.uint32(32 - max_bits), np.uint32(255)
     out = np.zeros((BLOCK, len(at)), np.uint32)
     last = n - BLOCK * (len(at) - 1) if len(at) else 0
     for step in range(min(BLOCK, n)):
         if step == last:
             at = at[:-1]
-        front = window[at >> 3] >> (32 - max_bits - (at & 7)).astype(np.uint32) & mask
-        out[step, : len(at)] = symbols[front]
-        at = at + sizes[front]
-    return out.T.ravel()[:n]
+        found = table[window[at >> np.uint32(3)] >> (up - (at & seven)) & mask]
+        out[step, : len(at)] = found
+        at = at + (found & low)
+    return (out >> np.uint32(8)).T.ravel()[:n]
 
 
 def _ranges(docs: DataFrame, n: int) -> np.ndarray:
@@ -125,25 +125,35 @@ def _ranges(docs: DataFrame, n: int) -> np.ndarray:
     return np.unique(np.array(cuts or [], np.int64))
 
 
-def _encode_texts(tokenizer_path: str, cuts: np.ndarray):
+def _id_type(tokenizer_path: str) -> str:
+    """The narrower of two and four bytes that holds all ids of the vocabulary."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(tokenizer_path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
+def _binary(data: bytes, sizes: np.ndarray) -> pa.Array:
+    """Consecutive parts of ``data`` as a binary column."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _encode_texts(tokenizer_path: str, cuts: np.ndarray, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, press = encoder(tokenizer_path), zstandard.ZstdCompressor(level=1)
+        own = encoder(tokenizer_path)
         for part in slices(batches, "text"):
-            ids, lengths = own.encode(part.column("text").to_pylist())
-            raw = ids.astype("<u4").view(np.uint8).reshape(-1, 4)
-            ends = np.cumsum(lengths)
-            # Low bytes first, then the higher ones: bytes of a kind compress better together.
-            packed = [
-                press.compress(np.ascontiguousarray(raw[e - n : e].T).tobytes())
-                for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)
-            ]
+            ids, lengths = own.encode(part.column("text"))
+            raw = ids.astype(kind)
             ids_of = part.column("doc_id")
             known = np.asarray(ids_of.is_valid())
             ranges = np.where(known, np.searchsorted(cuts, np.asarray(ids_of.fill_null(0)), "right"), 0)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ranges, pa.int32()), ids_of, pa.array(lengths, pa.int32()), pa.array(packed, pa.binary())],
+                [
+                    pa.array(ranges, pa.int32()), ids_of, pa.array(lengths, pa.int32()),
+                    _binary(raw.tobytes(), lengths * raw.itemsize),
+                ],
                 ["range", "doc_id", "n_tokens", "ids"],
-            )
+            )
 
     return run
 
@@ -153,23 +163,25 @@ def _gather(segment_tokens: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, begin, docs, counts, ids, size = None, 0, [], [], [], 0
-        press, unpress = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        press = zstandard.ZstdCompressor(level=1)
 
         def flush() -> pa.RecordBatch:
-            flat = np.concatenate(ids).T
+            # Low bytes first, then the higher ones: bytes of a kind compress better together.
+            flat = b"".join(ids)
+            planes = np.frombuffer(flat, np.uint8).reshape(size, -1).T
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([current], pa.int32()),
                     pa.array([begin], pa.int64()),
                     pa.array([docs], pa.list_(pa.int64())),
                     pa.array([counts], pa.list_(pa.int32())),
-                    pa.array([press.compress(np.ascontiguousarray(flat).tobytes())], pa.binary()),
+                    pa.array([press.compress(planes.tobytes())], pa.binary()),
                 ],
                 ["range", "start", "doc_ids", "n_tokens", "payload"],
             )
 
         for batch in batches:
-            for number, doc, n, packed in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for number, doc, n, own in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if docs and (number != current or size + n > segment_tokens):
                     yield flush()
                     begin, docs, counts, ids, size = begin + size if number == current else 0, [], [], [], 0
@@ -178,7 +190,7 @@ def _gather(segment_tokens: int):
                 current = number
                 docs.append(doc)
                 counts.append(n)
-                ids.append(np.frombuffer(unpress.decompress(packed), np.uint8).reshape(4, -1).T)
+                ids.append(own)
                 size += n
         if docs:
             yield flush()
@@ -186,29 +198,31 @@ def _gather(segment_tokens: int):
     return run
 
 
-def _plain_ids(payload: bytes) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(raw.T).view("<u4").ravel()
+def _plain_ids(payload: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        for payload in batch.column("payload"):
-            own = np.bincount(_plain_ids(payload.as_py()), minlength=len(total))
-            own[: len(total)] += total
-            total = own
-    ids = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["token", "n"])
+def _histogram(kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for payload in batch.column("payload"):
+                own = np.bincount(_plain_ids(payload.as_py(), kind), minlength=len(total))
+                own[: len(total)] += total
+                total = own
+        ids = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["token", "n"])
+
+    return run
 
 
-def _encode_segments(lengths: np.ndarray):
+def _encode_segments(lengths: np.ndarray, codes: np.ndarray, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = canonical_codes(lengths)
         for batch in batches:
             streams, points = [], []
             for payload in batch.column("payload"):
-                stream, at = pack_bits(_plain_ids(payload.as_py()), codes, lengths)
+                stream, at = pack_bits(_plain_ids(payload.as_py(), kind), codes, lengths)
                 streams.append(stream)
                 points.append(at.astype(np.int32))
             kept = [batch.column(n) for n in ("range", "start", "doc_ids", "n_tokens")]
@@ -233,11 +247,11 @@ def write_ids(
     The driver sees one number per id of the vocabulary and one per range.
     """
     spark, docs = docs.sparkSession, documents(docs)
-    n = shuffle_partitions(spark)
+    n, kind = shuffle_partitions(spark), _id_type(tokenizer_path)
     plain_path = new_folder(spark, "token-ids")
     try:
         encoded = docs.mapInArrow(
-            _encode_texts(tokenizer_path, _ranges(docs, n)), "range int, doc_id long, n_tokens int, ids binary"
+            _encode_texts(tokenizer_path, _ranges(docs, n), kind), "range int, doc_id long, n_tokens int, ids binary"
         )
         (
             encoded.repartitionById(n, F.col("range"))
@@ -247,7 +261,7 @@ def write_ids(
             .parquet(plain_path)
         )
         plain = read_parquet(spark, plain_path, spark.createDataFrame([], SEGMENT).schema)
-        found = plain.mapInArrow(_histogram, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+        found = plain.mapInArrow(_histogram(kind), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
         counts = np.zeros(max((r["token"] for r in found), default=0) + 1, np.int64)
         for r in found:
             counts[r["token"]] = r["n"]
@@ -260,7 +274,7 @@ def write_ids(
             ranges.append((r["range"], before, max_bits))
             before += r["n"]
         spark.createDataFrame(ranges, "range int, tokens_before long, max_bits int").coalesce(1).write.parquet(f"{path}/ranges")
-        coded = plain.mapInArrow(_encode_segments(lengths), FILES)
+        coded = plain.mapInArrow(_encode_segments(lengths, canonical_codes(lengths), kind), FILES)
         coded.write.option("compression", "uncompressed").parquet(f"{path}/segments")
     finally:
         drop_folder(spark, plain_path)
@@ -278,22 +292,20 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
         lengths[r["token"]] = r["bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, sizes = decoding_table(lengths, max_bits)
+        symbols = decoding_table(lengths, max_bits)
         for part in slices(batches, "stream", 1 << 20):
             rows = zip(*(part.column(i) for i in range(6)), strict=True)
             for number, start, doc_ids, n_tokens, stream, points in rows:
                 counts = np.asarray(n_tokens.values, np.int64)
-                ids = unpack_bits(stream.as_py(), np.asarray(points.values), int(counts.sum()), symbols, sizes)
+                ids = unpack_bits(stream.as_py(), np.asarray(points.values), int(counts.sum()), symbols)
                 ends = np.cumsum(counts)
                 begin = before[number.as_py()] + start.as_py()
-                data = ids.astype("<u4").tobytes()
-                offsets = np.concatenate([[0], 4 * ends]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         doc_ids.values,
                         pa.array(begin + ends - counts),
                         pa.array(counts),
-                        pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]),
+                        _binary(ids.astype("<u4").tobytes(), 4 * counts),
                     ],
                     ["doc_id", "start", "n_tokens", "ids"],
                 )

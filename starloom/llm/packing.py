@@ -97,7 +97,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, limit: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer_path)
         for part in slices(batches, "text"):
-            ids, lengths = own.encode(part.column("text").to_pylist())
+            ids, lengths = own.encode(part.column("text"))
             raw = ids.astype("<u4").tobytes()
             doc_row, piece, start, length, crc = [], [], [], [], []
             begin = 0

@@ -3,7 +3,7 @@
 White space between words goes to the word behind it, so a text falls apart at
 each single space between two words into pieces that have the same ids alone as
 within it. A task encodes each distinct piece once and puts texts together from
-them, which needs a third of the time that whole texts take.
+them, which needs a fraction of the time that whole texts take.
 """
 
 from __future__ import annotations
@@ -13,13 +13,15 @@ import re
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from starloom.llm.tables import spread
 
 END_ID = 0
 
-# White space in Python's sense, other than the space and the line feed.
-_OTHER_SPACE = re.compile(r"[\t\v\f\r\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]")
+# White space, in Python's sense, that is not a space or line feed by itself between two other characters.
+_UNEVEN = "^ | $|  |\n |\\A\\n| \n|[\t\v\f\r\x1C-\x1F\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _TAILED = re.compile(r"(\x20?[A-Za-z]+)([.,!?;:]+)")
 _LETTERS = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
@@ -41,14 +43,6 @@ def byte_signs(text: str) -> str:
     return text.encode().decode("latin-1").translate(_SIGNS)
 
 
-def _pieces(text: str) -> list[str]:
-    """``text`` cut at each space that stands between two characters other than white space."""
-    own = text.split(" ")
-    if "" in own or "\n " in text or " \n" in text or _OTHER_SPACE.search(text):
-        return _SINGLE_SPACE.split(text)
-    return own
-
-
 class _Numbers(dict):
     """Numbers keys in the order of their first use."""
 
@@ -60,7 +54,7 @@ class _Numbers(dict):
 class PieceEncoder:
     """Encodes lists of texts; remembers about ``keep`` pieces. Beyond that, pieces that came up only once are forgotten."""
 
-    def __init__(self, path: str, keep: int = 700_000):
+    def __init__(self, path: str, keep: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -132,17 +126,49 @@ class PieceEncoder:
             self.starts[here] = len(self.ids) + np.cumsum(self.lengths[here]) - self.lengths[here]
             self.ids = np.concatenate([self.ids, new])
 
-    def encode(self, texts: list[str], end: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, each text's followed by ``end``, and the number of ids of each text."""
-        if len(self.numbers) > self.keep:
-            self._keep_repeated()
-        known, pieces, counts = len(self.numbers), [], []
-        for text in texts:
-            own = _pieces(text)
+    def _numbers_of(self, keys: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.numbers.__getitem__, keys), np.int64, len(keys))
+
+    def _even(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of texts whose spaces all stand between two words; cut and made distinct outside of Python."""
+        lists = pc.split_pattern(texts, " ")
+        offsets = np.asarray(lists.offsets, np.int64)
+        coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        offsets = offsets - offsets[0]
+        codes = self._numbers_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[np.asarray(coded.indices)]
+        first = coded.dictionary.take(coded.indices.take(pa.array(offsets[:-1]))).to_pylist()
+        codes[offsets[:-1]] = self._numbers_of([" " + p for p in first])
+        return codes, np.diff(offsets)
+
+    def _uneven(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of any texts."""
+        pieces, counts = [], []
+        for text in texts.to_pylist():
+            own = _SINGLE_SPACE.split(text)
             own[0] = " " + own[0]
             pieces += own
             counts.append(len(own))
-        codes = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
+        return self._numbers_of(pieces), np.array(counts, np.int64)
+
+    def encode(self, texts: pa.Array, end: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, each text's followed by ``end``, and the number of ids of each text."""
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if len(self.numbers) > self.keep:
+            self._keep_repeated()
+        known = len(self.numbers)
+        uneven = np.asarray(pc.match_substring_regex(texts, _UNEVEN))
+        if not uneven.any():
+            codes, counts = self._even(texts)
+        elif uneven.all():
+            codes, counts = self._uneven(texts)
+        else:
+            parts = self._even(texts.filter(pa.array(~uneven))), self._uneven(texts.filter(pa.array(uneven)))
+            rows = np.concatenate([np.flatnonzero(~uneven), np.flatnonzero(uneven)])
+            both, counts = (np.concatenate(x) for x in zip(*parts))
+            back = np.argsort(rows)
+            codes = both[spread((np.cumsum(counts) - counts)[back], counts[back])]
+            counts = counts[back]
         if len(self.numbers) > known:
             self._learn(known)
         uses = np.bincount(codes, minlength=len(self.numbers))
@@ -150,9 +176,8 @@ class PieceEncoder:
         self.uses = uses
         size = self.lengths[codes]
         ids = self.ids[spread(self.starts[codes], size)]
-        first = np.cumsum(counts) - counts
-        lengths = np.add.reduceat(size, first) if len(texts) else np.zeros(0, np.int64)
-        if end is not None and len(texts):
+        lengths = np.add.reduceat(size, np.cumsum(counts) - counts)
+        if end is not None:
             ids = np.insert(ids, np.cumsum(lengths), end)
             lengths = lengths + 1
         return ids, lengths

@@ -53,7 +53,7 @@ def test_round_trip_of_a_stream(n, kinds, bits):
     lengths = code_lengths(np.bincount(ids, minlength=kinds), bits)
     stream, points = pack_bits(ids, canonical_codes(lengths), lengths)
     assert len(points) == -(-n // 128)
-    assert (unpack_bits(stream, points, n, *decoding_table(lengths, bits)) == ids).all()
+    assert (unpack_bits(stream, points, n, decoding_table(lengths, bits)) == ids).all()
 
 
 def test_edge_documents(spark, folder):
