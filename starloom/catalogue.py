@@ -34,6 +34,10 @@ BATCHES = range(LAST_BATCH + 1)
 LOADED_UNTIL = "2024-01-15"
 # Sales before this year form the target of the partial merge, later ones its source.
 MERGE_YEAR = 1998
+# Parts into which the lines of the same ids are split.
+SPLIT_BATCHES = 3
+# First and last date id of the report on some dates.
+DATE_RANGE = ("DT19980101", "DT19980331")
 
 
 def _lakehouse(spark: SparkSession, label: str) -> Lakehouse:
@@ -233,6 +237,53 @@ def incremental_hwm(spark: SparkSession, folder: str) -> DataFrame:
     return rows_after(events, "ts", high_water_mark(loaded, "ts"))
 
 
+def _by_natural_ids(lakehouse: Lakehouse) -> DataFrame:
+    """The fact from the catalog, with natural ids in place of keys."""
+    rows = lakehouse.spark.table(f"{lakehouse.gold_schema}.fact_sales")
+    for spec in DIMENSIONS:
+        rows = rows.join(lakehouse.dims[spec.name].read().select(spec.key, spec.id), spec.key, "left")
+    return rows.select(*[spec.id for spec in DIMENSIONS], "Revenue", "Units_Sold")
+
+
+def fact_split_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the same ids in three batches: the fact sums all of them."""
+    lakehouse = _lakehouse(spark, "split")
+    for batch in range(SPLIT_BATCHES):
+        bronze = order_lines.coarse_batch(spark, folder, batch, SPLIT_BATCHES)
+        lakehouse.load_batch(bronze, str(batch), on_duplicate="aggregate")
+    return _by_natural_ids(lakehouse)
+
+
+def csv_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same lines land as CSV files, and a stream takes a few files at a time."""
+    lakehouse = _lakehouse(spark, "csv-stream")
+    landing = f"{lakehouse.root}/landing"
+    for batch in range(SPLIT_BATCHES):
+        bronze = order_lines.coarse_batch(spark, folder, batch, SPLIT_BATCHES)
+        bronze.write.option("header", True).option("escape", '"').csv(f"{landing}/{batch}")
+    load_new_files(lakehouse, landing, f"{lakehouse.root}/checkpoint", "aggregate", files_per_batch=8, file_format="csv")
+    return _by_natural_ids(lakehouse)
+
+
+def fact_by_date_range(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums per date over some months, from the partitions of the catalog's fact table that hold them."""
+    lakehouse = _lakehouse(spark, "date-range")
+    lakehouse.reload(order_lines.bronze_sales(spark, folder), on_duplicate="keep")
+    fact = spark.table(f"{lakehouse.gold_schema}.fact_sales")
+    return marts.fact_by_date_range(
+        fact, lakehouse.dims[DATE.name].read(), *DATE_RANGE, lakehouse.fact.part_name, lakehouse.fact.part_of
+    )
+
+
+def rollup_late_members(spark: SparkSession, folder: str) -> DataFrame:
+    """The roll-up of all lines over the dimensions of batch 0: later members are one group of NULLs."""
+    lakehouse = _lakehouse(spark, "rollup-late")
+    lakehouse.refresh_dimensions(lakehouse.write_silver(order_lines.bronze_batch(spark, folder, 0), "0"))
+    lakehouse.load_fact(lakehouse.write_silver(order_lines.bronze_sales(spark, folder)), on_duplicate="keep")
+    dims = lakehouse.dimensions()
+    return marts.star_rollup(lakehouse.fact.read(), {spec: dims[spec.name] for spec in DIMENSIONS}, rollup_groups())
+
+
 def incremental_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Three batches arrive as files one after the other; each run takes the new ones."""
     lakehouse = _lakehouse(spark, "stream")
@@ -285,5 +336,9 @@ QUERIES: dict[str, Query] = {
     "star_rollup": star_rollup,
     "incremental_hwm": incremental_hwm,
     "incremental_stream": incremental_stream,
+    "fact_split_batches": fact_split_batches,
+    "csv_stream": csv_stream,
+    "fact_by_date_range": fact_by_date_range,
+    "rollup_late_members": rollup_late_members,
     "lakehouse_chain": lakehouse_chain,
 }

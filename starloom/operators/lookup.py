@@ -114,6 +114,7 @@ def star_lookup(
     lookups: list[Lookup],
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    sizes: list[Size] | None = None,
 ) -> DataFrame:
     """Left join to every lookup; each fact row appears exactly once in the result.
 
@@ -121,9 +122,10 @@ def star_lookup(
     id text by what it stands for, which narrows the rows before the shuffles
     that the large tables need. Fact ids are dropped once used. ``facts`` should
     be a scan of written files: rows of frequent ids are spread by their place in
-    the scan, which is the same again when a lost task is repeated.
+    the scan, which is the same again when a lost task is repeated. ``sizes`` is
+    for callers that know them, and that no id occurs twice.
     """
-    sizes = measure(lookups)
+    sizes = measure(lookups) if sizes is None else sizes
     small = [x for x, size in zip(lookups, sizes) if size.fits(max_rows, max_bytes)]
     large = [x for x, size in zip(lookups, sizes) if not size.fits(max_rows, max_bytes)]
 

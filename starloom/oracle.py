@@ -6,7 +6,7 @@ and shares nothing with the Spark code but the names of columns and batches.
 
 from __future__ import annotations
 
-from starloom.catalogue import LAST_BATCH, LOADED_UNTIL, MERGE_YEAR
+from starloom.catalogue import DATE_RANGE, LAST_BATCH, LOADED_UNTIL, MERGE_YEAR
 from starloom.schemas import BRONZE, DIMENSIONS, FACT, SILVER, DimSpec
 from starloom.sources.order_lines import BATCH_STARTS
 
@@ -155,6 +155,14 @@ def _chain() -> str:
     return f"{_fact(CHAIN_CTE, _dim_keys(by_batch=True))},\ngrain AS ({_GRAIN} FROM fact GROUP BY {KEYS})\n{body}"
 
 
+# Sums over all lines, whatever batch they came in.
+_COARSE = f"""WITH {LINES}
+SELECT Branch_ID AS branch_id, Dealer_ID AS dealer_id, split_part(Model_ID, '-', 1) || '-M' AS model_id,
+       substr(Date_ID, 1, 8) AS date_id, CAST(sum(Revenue) AS BIGINT) AS Revenue,
+       CAST(sum(Units_Sold) AS BIGINT) AS Units_Sold
+FROM lines GROUP BY ALL"""
+
+
 ORACLE: dict[str, str] = {
     "bronze_sales": f"WITH {LINES}\nSELECT {BRONZE_COLUMNS} FROM lines",
     "silver_sales": f"WITH {SILVER_CTE}\nSELECT {SILVER_COLUMNS} FROM silver",
@@ -208,4 +216,16 @@ FROM silver GROUP BY Year, Model_Category""",
 SELECT * FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '{LOADED_UNTIL}')""",
     "incremental_stream": _scd1(DIMENSIONS[1]),
     "lakehouse_chain": _chain(),
+    "fact_split_batches": _COARSE,
+    "csv_stream": _COARSE,
+    "fact_by_date_range": f"""WITH {LINES}
+SELECT Date_ID AS date_id, CAST(sum(Revenue) AS BIGINT) AS Revenue, CAST(sum(Units_Sold) AS BIGINT) AS Units_Sold
+FROM lines WHERE Date_ID BETWEEN '{DATE_RANGE[0]}' AND '{DATE_RANGE[1]}' GROUP BY Date_ID""",
+    "rollup_late_members": f"""WITH {SILVER_CTE},
+early AS (SELECT DISTINCT Model_ID, Model_Category FROM silver WHERE batch = 0),
+days AS (SELECT DISTINCT Date_ID, Year FROM silver WHERE batch = 0)
+SELECT days.Year, early.Model_Category, CAST(sum(Revenue) AS BIGINT) AS Revenue,
+       CAST(sum(Units_Sold) AS BIGINT) AS Units_Sold
+FROM silver LEFT JOIN days USING (Date_ID) LEFT JOIN early USING (Model_ID)
+GROUP BY days.Year, early.Model_Category""",
 }

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from starloom.functions import revenue_per_unit
-from starloom.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS, Lookup, star_lookup
+from starloom.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS, Lookup, Size, star_lookup
 from starloom.schemas import DIMENSIONS, FACT, FACT_KEYS
 
 
@@ -16,12 +16,20 @@ def build_fact(
     dims: Mapping[str, DataFrame],
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    sizes: list[Size] | None = None,
 ) -> DataFrame:
-    """Silver left-joined to the dimensions; a row with an unknown member keeps a NULL key."""
+    """Silver left-joined to the dimensions; a row with an unknown member keeps a NULL key.
+
+    Without ``sizes`` the dimensions are measured and checked for repeated ids first.
+    """
     measures = ["Revenue", "Units_Sold", "revenuePerUnit"]
     facts = silver.select(*measures, *[spec.source_id for spec in DIMENSIONS])
-    lookups = [Lookup(dims[spec.name], spec.id, spec.source_id, (spec.key,)) for spec in DIMENSIONS]
-    return star_lookup(facts, lookups, max_rows, max_bytes).select(FACT.fieldNames())
+    return star_lookup(facts, key_lookups(dims), max_rows, max_bytes, sizes).select(FACT.fieldNames())
+
+
+def key_lookups(dims: Mapping[str, DataFrame]) -> list[Lookup]:
+    """From natural ids to surrogate keys, for every dimension."""
+    return [Lookup(dims[spec.name], spec.id, spec.source_id, (spec.key,)) for spec in DIMENSIONS]
 
 
 def to_grain(fact: DataFrame) -> DataFrame:

@@ -3,20 +3,26 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from contextlib import contextmanager
+from functools import partial, reduce
+from operator import and_
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from starloom.operators.lookup import Size, measure, star_lookup
 from starloom.operators.upsert import require_unique, upsert
 from starloom.plans.dimension import apply_members, stage_members
-from starloom.plans.fact import build_fact, to_grain
+from starloom.plans.fact import build_fact, key_lookups, to_grain
 from starloom.plans.silver import to_silver
-from starloom.schemas import DIMENSIONS, FACT, FACT_KEYS, SILVER, DimSpec
+from starloom.schemas import DATE, DIMENSIONS, FACT, FACT_KEYS, SILVER, DimSpec, no_rows, same
 from starloom.session import new_folder
 from starloom.sources.files import on_files, read_parquet
-from starloom.sources.snapshots import SnapshotTable, drop_folder, range_bucket
+from starloom.sources.snapshots import SnapshotTable, drop_folder, folders, range_bucket, replace_folder, restore_folders
 
 ON_DUPLICATE = ("raise", "aggregate", "keep")
 
@@ -43,6 +49,7 @@ class Lakehouse:
         self.silver_schema, self.gold_schema = silver_schema, gold_schema
         self.silver_path = f"{self.root}/silver/sales"
         self.dates_per_part = dates_per_part
+        self._measured: dict[str, tuple[str, Size]] = {}
         self.dims = {s.name: SnapshotTable(spark, f"{self.root}/gold/{s.table}", s.schema) for s in DIMENSIONS}
         self.fact = SnapshotTable(
             spark,
@@ -58,15 +65,48 @@ class Lakehouse:
     def write_silver(self, bronze: DataFrame, batch: str | None = None) -> DataFrame:
         """Rebuild silver from all of bronze, or write one batch of it, and read back what was written.
 
-        Writing a batch again replaces that batch alone. The write has no shuffle and no sort.
+        Writing a batch again replaces that batch alone. The rows are written to a
+        folder of their own first; the old ones go once that has succeeded. The
+        write has no shuffle and no sort.
         """
-        if batch is None:
-            drop_folder(self.spark, self.silver_path)
-            batch = "all"
-        elif not re.fullmatch(r"[\w-]+", batch):
-            raise ValueError(f"batch names a folder; use letters, digits, _ and - instead of {batch!r}")
-        to_silver(bronze).write.mode("overwrite").parquet(f"{self.silver_path}/batch={batch}")
-        return self.silver(batch)
+        with self._incoming() as incoming:
+            self._write_incoming(bronze, incoming, batch)
+            self._switch(incoming, whole=batch is None)
+        return self.silver(batch or "all")
+
+    @contextmanager
+    def _incoming(self) -> Iterator[str]:
+        """A hidden folder next to silver for rows that do not count yet; gone afterwards, also after an error."""
+        restore_folders(self.spark, f"{self.root}/silver")
+        restore_folders(self.spark, self.silver_path)
+        path = f"{self.root}/silver/_incoming-{uuid.uuid4().hex[:12]}"
+        try:
+            yield path
+        finally:
+            drop_folder(self.spark, path)
+
+    def _write_incoming(self, bronze: DataFrame, incoming: str, batch: str | None) -> None:
+        """Write silver rows as one batch, or with ``batch`` as a column of ``bronze`` each to its own."""
+        name = "all" if batch is None else batch
+        if not re.fullmatch(r"[\w-]+", name):
+            raise ValueError(f"batch names a folder; use letters, digits, _ and - instead of {name!r}")
+        to_silver(bronze).write.parquet(f"{incoming}/batch={name}")
+
+    def _switch(self, incoming: str, whole: bool) -> None:
+        """Let the incoming batches take the place of those of the same name, or of all of silver."""
+        if whole:
+            replace_folder(self.spark, incoming, self.silver_path)
+            return
+        for name in folders(self.spark, incoming):
+            if name.startswith("batch="):
+                replace_folder(self.spark, f"{incoming}/{name}", f"{self.silver_path}/{name}")
+
+    def _batches(self, path: str) -> DataFrame:
+        """Silver rows below ``path`` with the batch that each is from; none if there is no such folder."""
+        schema = StructType([*SILVER.fields, StructField("batch", StringType())])
+        if not any(n.startswith("batch=") for n in folders(self.spark, path)):
+            return no_rows(self.spark, schema)
+        return read_parquet(self.spark, path, schema)
 
     def silver(self, batch: str | None = None) -> DataFrame:
         """All of silver, or one batch, of which only its own folder is listed."""
@@ -80,10 +120,12 @@ class Lakehouse:
         table = self.dims[spec.name]
         existing = table.read()
         path = new_folder(self.spark, f"members-{spec.name}")
-        staged = stage_members(spec, silver, existing, path)
-        if not table.exists() or not staged.where("changed").isEmpty():
-            table.write(apply_members(spec, staged, existing))
-        drop_folder(self.spark, path)
+        try:
+            staged = stage_members(spec, silver, existing, path)
+            if not table.exists() or not staged.where("changed").isEmpty():
+                table.write(apply_members(spec, staged, existing))
+        finally:
+            drop_folder(self.spark, path)
 
     def refresh_dimensions(self, silver: DataFrame) -> None:
         """Refresh all dimensions; they do not depend on each other, so their jobs run side by side."""
@@ -96,10 +138,20 @@ class Lakehouse:
     def dimensions(self) -> dict[str, DataFrame]:
         return {name: table.read() for name, table in self.dims.items()}
 
+    def _sizes(self) -> list[Size]:
+        """Sizes of the dimensions, whose ids are checked to be unique; measured once per snapshot, in one job for all."""
+        lookups = dict(zip(self.dims, key_lookups(self.dimensions())))
+        stale = [n for n, t in self.dims.items() if self._measured.get(n, ("",))[0] != t.version()]
+        if stale:
+            found = measure([lookups[n] for n in stale])
+            self._measured |= {n: (self.dims[n].version(), size) for n, size in zip(stale, found)}
+        return [self._measured[n][1] for n in self.dims]
+
     def load_fact(self, silver: DataFrame, on_duplicate: str = "raise", rebuild: bool = False) -> None:
-        """Build the fact from ``silver``, or merge it in as an increment.
+        """Build the fact from ``silver``, or merge it in as an increment that replaces what it matches.
 
-        Several lines for one combination of keys raise, are summed
+        ``load_batch`` is the way for lines of one combination that may come in
+        several batches; here an increment holds all lines of its combinations. Several lines for one combination of keys raise, are summed
         (``aggregate``) or stay as they are (``keep``; a merge then replaces all
         rows of the combination). A line whose member was not known yet sits
         under a NULL key that no later merge can find again: pass all of silver
@@ -107,7 +159,7 @@ class Lakehouse:
         """
         if on_duplicate not in ON_DUPLICATE:
             raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}")
-        rows = build_fact(silver, self.dimensions())
+        rows = build_fact(silver, self.dimensions(), sizes=self._sizes())
         if on_duplicate == "aggregate":
             rows = to_grain(rows)
         if rebuild or not self.fact.exists():
@@ -116,51 +168,122 @@ class Lakehouse:
             return
         self.merge_fact(rows, unique=on_duplicate != "raise")
 
-    def merge_fact(self, rows: DataFrame, unique: bool = False) -> None:
+    def merge_fact(self, rows: DataFrame, unique: bool = False, touched: DataFrame | None = None) -> None:
         """Upsert fact rows on the four keys, within the partitions that they fall into.
 
-        The rows are written down first, since they are needed several times. The
+        The rows are written down first, since they are needed several times. ``touched``
+        holds all keys to replace, if some of them may have no row any more. The
         partition numbers that reach the driver are as few as folders of the table.
         """
         path = new_folder(self.spark, "fact-increment")
-        rows.write.parquet(path)
-        rows = read_parquet(self.spark, path, FACT)
-        if not unique:
-            require_unique(rows, FACT_KEYS)
-        touched = {r[0] for r in rows.select(self.fact.part_of.alias("part")).distinct().collect()}
-        if touched:
-            self.fact.write_parts(upsert(self.fact.read(touched), rows, FACT_KEYS))
-        drop_folder(self.spark, path)
+        try:
+            rows.write.parquet(path)
+            rows = read_parquet(self.spark, path, FACT)
+            if not unique:
+                require_unique(rows, FACT_KEYS)
+            keys = rows if touched is None else touched
+            parts = {r[0] for r in keys.select(self.fact.part_of.alias("part")).distinct().collect()}
+            if parts:
+                merged = upsert(self.fact.read(parts), rows, FACT_KEYS, unique=True, touched=touched)
+                self.fact.write_parts(merged, parts)
+        finally:
+            drop_folder(self.spark, path)
 
     # -- runs -----------------------------------------------------------------
 
     def load_batch(self, bronze: DataFrame, batch: str, on_duplicate: str = "raise") -> None:
-        """Take one bronze batch through all layers; loading it twice equals loading it once."""
-        silver = self.write_silver(bronze, batch)
-        self.refresh_dimensions(silver)
-        self.load_fact(silver, on_duplicate)
+        """Take one bronze batch through all layers; loading it twice equals loading it once.
+
+        The fact then is what all of silver gives, however its lines came in batches:
+        every combination of keys that the batch touches is computed anew from all of
+        its lines. Silver changes last, so a refused batch leaves silver and fact as they were.
+        """
+        with self._incoming() as incoming:
+            self._write_incoming(bronze, incoming, batch)
+            self._load(incoming, on_duplicate)
+
+    def load_files(self, bronze: DataFrame, on_duplicate: str = "raise") -> None:
+        """Like ``load_batch`` for rows of many files, whose paths are in the column ``file_path``.
+
+        Each file is a batch of its own, named by a digest of its path, so it makes no
+        difference which files come together, nor whether some come again.
+        """
+        with self._incoming() as incoming:
+            named = bronze.withColumn("batch", F.md5(F.col("file_path").cast("binary")))
+            to_silver(named, "batch").write.partitionBy("batch").parquet(incoming)
+            self._load(incoming, on_duplicate)
+
+    def _load(self, incoming: str, on_duplicate: str) -> None:
+        if on_duplicate not in ON_DUPLICATE:
+            raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}")
+        # As many names as batches that come in now.
+        names = [n.partition("=")[2] for n in folders(self.spark, incoming) if n.startswith("batch=")]
+        new, present = self._batches(incoming), self._batches(self.silver_path)
+        here = F.col("batch").isin(names) if names else F.lit(False)
+        silver = present.where(~here).unionByName(new).drop("batch")
+        refresh = self.fact.exists()
+        self.refresh_dimensions(new.drop("batch") if refresh else silver)
+        if refresh:
+            self._refresh_grains(new.unionByName(present.where(here)), silver, on_duplicate)
+        else:
+            self.load_fact(silver, on_duplicate, rebuild=True)
+        self._switch(incoming, whole=False)
         self.register()
 
+    def _refresh_grains(self, lines: DataFrame, silver: DataFrame, on_duplicate: str) -> None:
+        """Compute the fact rows of all combinations of ids in ``lines`` anew from all of ``silver``.
+
+        Silver is read within the bounds of the lines' date ids only.
+        """
+        ids = [spec.source_id for spec in DIMENSIONS]
+        path = new_folder(self.spark, "touched-ids")
+        try:
+            lines.select(ids).distinct().write.parquet(path)
+            touched = read_parquet(self.spark, path, StructType([SILVER[c] for c in ids]))
+            day = F.col(DATE.source_id)
+            low, high, missing = touched.agg(F.min(day), F.max(day), F.count_if(day.isNull())).first()
+            within = day.between(low, high) if low is not None else F.lit(False)
+            silver = silver.where(within | day.isNull() if missing else within)
+            match = reduce(and_, [same(f"silver.{c}", f"touched.{c}") for c in ids])
+            lines = silver.alias("silver").join(touched.alias("touched"), match, "left_semi")
+            rows = build_fact(lines, self.dimensions(), sizes=self._sizes())
+            if on_duplicate == "aggregate":
+                rows = to_grain(rows)
+            keys = star_lookup(touched, key_lookups(self.dimensions()), sizes=self._sizes()).select(FACT_KEYS)
+            self.merge_fact(rows, on_duplicate != "raise", keys)
+        finally:
+            drop_folder(self.spark, path)
+
     def reload(self, bronze: DataFrame, on_duplicate: str = "raise") -> None:
-        """Rebuild silver and the fact from all of bronze; members keep their keys."""
-        silver = self.write_silver(bronze)
-        self.refresh_dimensions(silver)
-        self.load_fact(silver, on_duplicate, rebuild=True)
+        """Rebuild silver and the fact from all of bronze; members keep their keys. Silver changes last."""
+        with self._incoming() as incoming:
+            self._write_incoming(bronze, incoming, None)
+            silver = self._batches(incoming).drop("batch")
+            self.refresh_dimensions(silver)
+            self.load_fact(silver, on_duplicate, rebuild=True)
+            self._switch(incoming, whole=True)
         self.register()
 
+    def drop_superseded(self) -> None:
+        """Delete the folders that the current tables do not need; when no reader has older ones open."""
+        for table in (*self.dims.values(), self.fact):
+            table.drop_superseded()
+
     # -- catalog --------------------------------------------------------------
 
     def create_schemas(self) -> None:
-        for name, layer in ((self.silver_schema, "silver"), (self.gold_schema, "gold")):
-            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{self.root}/{layer}'")
+        """The schemas have no location, so that dropping one cannot take the data with it."""
+        for name in (self.silver_schema, self.gold_schema):
+            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
 
     def register(self) -> None:
-        """Publish the current tables as catalog views; also what a new session calls first."""
+        """Publish the current tables in the catalog; also what a new session calls first. What is not there yet is left out."""
         self.create_schemas()
-        columns = ", ".join(SILVER.fieldNames())
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.silver_schema}.sales AS SELECT {columns} FROM {on_files(self.silver_path)}"
-        )
+        if any(n.startswith("batch=") for n in folders(self.spark, self.silver_path)):
+            columns = ", ".join(SILVER.fieldNames())
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW {self.silver_schema}.sales AS SELECT {columns} FROM {on_files(self.silver_path)}"
+            )
         for spec in DIMENSIONS:
             if self.dims[spec.name].exists():
                 self.dims[spec.name].register(f"{self.gold_schema}.{spec.table}")

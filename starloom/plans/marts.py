@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS, Lookup, measure
-from starloom.schemas import DimSpec
+from starloom.schemas import DATE, DimSpec
 
 
 def units_by_year_branch(silver: DataFrame) -> DataFrame:
@@ -27,7 +27,7 @@ def star_rollup(
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Sums per group of dimension attributes; facts without the member are left out.
+    """Sums per group of dimension attributes; facts without the member form a group of NULLs, so the sums add up to the fact.
 
     ``group`` names each output column and gives its dimension and expression.
     A small dimension is joined by broadcast ahead of the only aggregation. For a
@@ -52,7 +52,22 @@ def star_rollup(
 
     rows = fact.select(*[spec.key for spec in used], *sums)
     for spec in small:
-        rows = rows.join(F.broadcast(named[spec]), spec.key).drop(spec.key)
+        rows = rows.join(F.broadcast(named[spec]), spec.key, "left").drop(spec.key)
     for spec in large:
-        rows = totals(rows, [c for c in rows.columns if c not in sums]).join(named[spec], spec.key).drop(spec.key)
+        rows = totals(rows, [c for c in rows.columns if c not in sums]).join(named[spec], spec.key, "left").drop(spec.key)
     return totals(rows, list(group)).select(*group, *sums)
+
+
+def fact_by_date_range(
+    fact: DataFrame, dates: DataFrame, first: str, last: str, part_name: str, part_of: Column, sums: Sequence[str] = ("Revenue", "Units_Sold")
+) -> DataFrame:
+    """Sums per date id from ``first`` to ``last``, over the fact's partitions that hold those dates only.
+
+    ``fact`` is the catalog table with its partition column. Date keys grow with
+    arrival, not by the calendar, so the dates' keys say which partitions to read;
+    there are at most as many as days in the range.
+    """
+    wanted = dates.where(F.col(DATE.id).between(first, last)).select(DATE.id, DATE.key)
+    parts = [r[0] for r in wanted.select(part_of.alias("part")).distinct().collect()]
+    rows = fact.where(F.col(part_name).isin(parts) if parts else F.lit(False)).join(wanted, DATE.key)
+    return rows.groupBy(DATE.id).agg(*[F.sum(c).alias(c) for c in sums])

@@ -101,8 +101,8 @@ DIMENSIONS = (BRANCH, DEALER, MODEL, DATE)
 FACT_KEYS = [spec.key for spec in DIMENSIONS]
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select ``schema``'s columns in order and with its types.
+def conform(df: DataFrame, schema: StructType, *kept: str) -> DataFrame:
+    """Select ``schema``'s columns in order and with its types, then those of ``kept`` as they are.
 
     Names match without regard to case. A missing column fails here, before any
     job runs; a value that does not fit its type fails the job (ANSI cast).
@@ -111,7 +111,7 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     missing = [f.name for f in schema if f.name.lower() not in present]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema] + list(kept))
 
 
 def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:

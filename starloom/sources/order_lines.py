@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom.functions import padded
+from starloom.schemas import BRONZE
 
 # First order day of batch 1 and of batch 2; batch 0 lies before, batch 2 is open-ended.
 BATCH_STARTS = ("1995-01-15", "1995-02-01")
@@ -88,3 +89,15 @@ def bronze_batch(spark: SparkSession, folder: str, first: int, last: int | None
     renamed = (batch > 0) & (F.col("l_suppkey") % 7 == 0)
     name = F.when(renamed, F.concat(F.col("s_name"), F.lit(" r"), batch.cast("string"))).otherwise(F.col("s_name"))
     return _sale_lines(spark, folder, orders).select(_bronze_columns(name))
+
+
+def coarse_batch(spark: SparkSession, folder: str, batch: int, batches: int) -> DataFrame:
+    """Every ``batches``-th line of each order, with product types as models and months as dates.
+
+    Combinations of ids then repeat, within a batch and among batches.
+    """
+    lines = _sale_lines(spark, folder, table(spark, folder, "orders")).where(F.col("l_linenumber") % batches == batch)
+    month = F.concat(F.lit("DT"), F.date_format("o_orderdate", "yyyyMM"))
+    changed = {"Model_ID": F.concat(F.col("p_type"), F.lit("-M")), "Date_ID": month, "Day": F.lit(1)}
+    columns = _bronze_columns(F.col("s_name"))
+    return lines.select([changed[n].alias(n) if n in changed else c for n, c in zip(BRONZE.fieldNames(), columns, strict=True)])

@@ -12,7 +12,7 @@ A table has one writer at a time; readers keep the files they have opened.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -22,7 +22,7 @@ from starloom.sources.files import on_files
 
 # Spark's own marker is put off until the rows are checked.
 _MARK = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-_VERSION = re.compile(r"^(\d{6})-(full|part)$")
+_VERSION = re.compile(r"^(\d{6,})-(full|part)$")
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -36,7 +36,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
+def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path``."""
     hadoop_path, fs = _file_system(spark, path)
     if not fs.exists(hadoop_path):
@@ -50,6 +50,38 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def replace_folder(spark: SparkSession, new: str, target: str) -> None:
+    """Put ``new`` in the place of ``target`` by renaming; what was there is deleted last.
+
+    The old folder waits under a hidden name. ``restore_folders`` brings it back if
+    a crash left the place empty.
+    """
+    parent, _, name = target.rpartition("/")
+    aside = f"{parent}/_old.{name}"
+    new_path, fs = _file_system(spark, new)
+    target_path, aside_path = (_file_system(spark, p)[0] for p in (target, aside))
+    fs.mkdirs(target_path.getParent())
+    if fs.exists(target_path):
+        fs.delete(aside_path, True)
+        if not fs.rename(target_path, aside_path):
+            raise OSError(f"cannot move {target} aside")
+    if not fs.rename(new_path, target_path):
+        fs.rename(aside_path, target_path)
+        raise OSError(f"cannot move {new} to {target}")
+    fs.delete(aside_path, True)
+
+
+def restore_folders(spark: SparkSession, parent: str) -> None:
+    """Finish what a crash within ``replace_folder`` left: an old folder comes back if its place is empty, else goes."""
+    for aside in (n for n in folders(spark, parent) if n.startswith("_old.")):
+        old_path, fs = _file_system(spark, f"{parent}/{aside}")
+        place = _file_system(spark, f"{parent}/{aside.removeprefix('_old.')}")[0]
+        if fs.exists(place):
+            fs.delete(old_path, True)
+        else:
+            fs.rename(old_path, place)
+
+
 class SnapshotTable:
     """One table under ``root``; ``part_name``/``part_of`` name and compute its partition, if any.
 
@@ -69,28 +101,45 @@ class SnapshotTable:
     ):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.part_name, self.part_of, self.order_in_part = part_name, part_of, order_in_part
+        # A complete version never changes, so it is looked into once: its partition folders.
+        self._complete: dict[str, list[str]] = {}
+        # Where the catalog's partitions were last pointed to, by table name.
+        self._published: dict[str, dict[int, str]] = {}
 
     def _versions(self) -> list[str]:
-        return [name for name in _folders(self.spark, self.root) if _VERSION.match(name)]
+        """Version folders, oldest first."""
+        found = [m for m in map(_VERSION.match, folders(self.spark, self.root)) if m]
+        return [m[0] for m in sorted(found, key=lambda m: int(m[1]))]
+
+    def _is_complete(self, name: str) -> bool:
+        if name not in self._complete:
+            if not _exists(self.spark, f"{self.root}/{name}/_SUCCESS"):
+                return False
+            self._complete[name] = folders(self.spark, f"{self.root}/{name}") if self.part_name else []
+        return True
 
     def _live(self) -> list[str]:
         """The newest complete full snapshot and the complete parts after it, oldest first."""
         live: list[str] = []
         for name in reversed(self._versions()):
-            if _exists(self.spark, f"{self.root}/{name}/_SUCCESS"):
-                live.insert(0, name)
+            if self._is_complete(name):
+                live.append(name)
                 if name.endswith("full"):
-                    return live
+                    return live[::-1]
         return []
 
     def exists(self) -> bool:
         return bool(self._live())
 
+    def version(self) -> str | None:
+        """Name of the newest complete snapshot."""
+        return (self._live() or [None])[-1]
+
     def parts(self) -> dict[int, str]:
         """Newest folder of each partition."""
         newest: dict[int, str] = {}
         for version in self._live():
-            for name in _folders(self.spark, f"{self.root}/{version}"):
+            for name in self._complete[version]:
                 column, _, value = name.partition("=")
                 if column != self.part_name:
                     raise ValueError(f"{self.root} is partitioned by {column}, not by {self.part_name}")
@@ -116,13 +165,41 @@ class SnapshotTable:
         """
         self._write(df, "full", audit)
 
-    def write_parts(self, df: DataFrame) -> None:
-        """Replace the partitions that occur in ``df``."""
+    def write_parts(self, df: DataFrame, parts: Iterable[int] = ()) -> None:
+        """Replace the partitions that occur in ``df``; those of ``parts`` without rows become empty."""
         if self.part_name is None:
             raise ValueError("the table has no partitions")
-        self._write(df, "part")
+        self._write(df, "part", parts=parts)
 
-    def _write(self, df: DataFrame, kind: str, audit: Callable[[DataFrame], None] | None = None) -> None:
+    def drop_superseded(self) -> None:
+        """Delete all that no reader of the current rows needs: older snapshots, unfinished ones, replaced partitions.
+
+        For the table's one writer, when no reader has an older state open.
+        """
+        live = self._live()
+        for version in self._versions():
+            if version not in live:
+                drop_folder(self.spark, f"{self.root}/{version}")
+                self._complete.pop(version, None)
+        if self.part_name is None:
+            return
+        newest = set(self.parts().values())
+        for version in live:
+            kept = [n for n in self._complete[version] if f"{self.root}/{version}/{n}" in newest]
+            for name in set(self._complete[version]) - set(kept):
+                drop_folder(self.spark, f"{self.root}/{version}/{name}")
+            self._complete[version] = kept
+            if not kept and version.endswith("part"):
+                drop_folder(self.spark, f"{self.root}/{version}")
+                del self._complete[version]
+
+    def _write(
+        self,
+        df: DataFrame,
+        kind: str,
+        audit: Callable[[DataFrame], None] | None = None,
+        parts: Iterable[int] = (),
+    ) -> None:
         versions = self._versions()
         number = int(_VERSION.match(versions[-1]).group(1)) + 1 if versions else 1
         path = f"{self.root}/{number:06d}-{kind}"
@@ -136,28 +213,49 @@ class SnapshotTable:
         if self.part_name:
             writer = writer.partitionBy(self.part_name)
         writer.parquet(path)
+        for part in parts:
+            part_path, fs = _file_system(self.spark, f"{path}/{self.part_name}={part}")
+            fs.mkdirs(part_path)
         if audit is not None:
             audit(self.spark.read.schema(self.schema).parquet(path))
         hadoop_path, fs = _file_system(self.spark, f"{path}/_SUCCESS")
         fs.create(hadoop_path, False).close()
 
     def register(self, name: str) -> None:
-        """Point the catalog view ``name`` to the current snapshot, in one step.
+        """Publish the current snapshot under the catalog name ``name``.
 
-        The view of a partitioned table names the newest folder of each partition
-        as alternatives of one path pattern, so it stays a single scan.
+        Without partitions that is a view. A partitioned table becomes an external
+        table whose partitions the catalog knows by folder, so that a filter on the
+        partition column lists no other folder and dropping the table keeps the files.
         """
-        columns = ", ".join(f"`{c}`" for c in self.schema.fieldNames())
         if self.part_name is None:
+            columns = ", ".join(f"`{c}`" for c in self.schema.fieldNames())
             source = on_files(f"{self.root}/{self._live()[-1]}")
-        elif parts := self.parts():
-            folders = ",".join(path.removeprefix(f"{self.root}/") for _, path in sorted(parts.items()))
-            source = on_files(f"{self.root}/{{{folders}}}")
-        else:
-            # A table without rows has no folder to name.
-            nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in self.schema)
-            source = f"(SELECT {nulls}) WHERE false"
-        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {source}")
+            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {source}")
+            return
+        parts = self.parts()
+        known = self._published.get(name)
+        if known is None or not self.spark.catalog.tableExists(name) or known.keys() - parts.keys():
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}, `{self.part_name}` INT) USING parquet "
+                f"PARTITIONED BY (`{self.part_name}`) LOCATION {_literal(f'{self.root}/_catalog')}"
+            )
+            known = {}
+        spec = lambda part: f"PARTITION (`{self.part_name}`={part})"
+        new = sorted(parts.keys() - known.keys())
+        for at in range(0, len(new), 500):
+            added = " ".join(f"{spec(p)} LOCATION {_literal(parts[p])}" for p in new[at : at + 500])
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+        for part in sorted(p for p in known if known[p] != parts[p]):
+            self.spark.sql(f"ALTER TABLE {name} {spec(part)} SET LOCATION {_literal(parts[part])}")
+        self._published[name] = parts
+
+
+def _literal(text: str) -> str:
+    """``text`` as a string in SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def range_bucket(key: str, width: int) -> Column:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from starloom.plans.lakehouse import Lakehouse
 from starloom.schemas import BRONZE
+from starloom.sources.files import csv_options
+
+
+FORMATS = ("parquet", "csv")
 
 
 def load_new_files(
@@ -14,26 +18,38 @@ def load_new_files(
     checkpoint: str,
     on_duplicate: str = "raise",
     files_per_batch: int | None = None,
+    file_format: str = "parquet",
 ) -> list[int]:
-    """Load the Parquet files in ``landing`` that no earlier run has loaded; return the rows of each batch (the last 100).
+    """Load the files in ``landing`` that no earlier run has loaded; return the rows of each micro-batch.
 
-    The checkpoint remembers which files were taken. Spark repeats a batch that
-    was cut off, under the same number: its silver rows are replaced, its members
-    already have keys and its facts are merged again, so the repeat is harmless.
+    The checkpoint remembers which files were taken. Each file is a batch of silver
+    by its path, and the fact is what silver gives, so neither the cut into
+    micro-batches nor a file that comes again (after a crash, or with a new checkpoint)
+    changes the result. CSV files have a header that names the bronze columns in order; a
+    row that does not fit fails the run.
     """
+    if file_format not in FORMATS:
+        raise ValueError(f"file_format must be one of {FORMATS}")
+    counts: list[int] = []
 
     def load(batch: DataFrame, number: int) -> None:
-        lakehouse.load_batch(batch, f"stream-{number:08d}", on_duplicate)
+        seen = Observation()
+        lakehouse.load_files(batch.observe(seen, F.count(F.lit(1)).alias("rows")), on_duplicate)
+        counts.append(seen.get["rows"])
 
     reader = lakehouse.spark.readStream.schema(BRONZE).option("recursiveFileLookup", "true")
+    if file_format == "csv":
+        reader = csv_options(reader).option("mode", "FAILFAST")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     query = (
-        reader.parquet(landing)
+        reader.format(file_format)
+        .load(landing)
+        .select("*", F.col("_metadata.file_path").alias("file_path"))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return [int(p["numInputRows"]) for p in query.recentProgress if p["numInputRows"]]
+    return [n for n in counts if n]

@@ -77,6 +77,17 @@ def test_without_mark_all_rows_are_new(spark):
     assert rows_after(events, "ts", None).count() == events.count()
 
 
+def test_ties_and_missing_marks_are_not_lost(spark):
+    loaded = spark.createDataFrame([(1, 5), (2, 6)], "k int, m int")
+    now = loaded.union(spark.createDataFrame([(3, 6), (4, 7)], "k int, m int"))
+    mark = high_water_mark(loaded, "m")
+    assert rows(rows_after(now, "m", mark, ["k"], loaded)) == [(3, 6), (4, 7)]
+    missing = now.union(spark.createDataFrame([(9, None)], "k int, m int"))
+    assert rows(rows_after(missing, "m", mark, ["k"], loaded)) == [(3, 6), (4, 7), (9, None)]
+    with pytest.raises(ValueError, match="1 rows have no m"):
+        high_water_mark(missing, "m")
+
+
 def test_marks_of_other_types(spark):
     numbers = spark.range(5)
     assert rows(rows_after(numbers, "id", 2)) == [(3,), (4,)]

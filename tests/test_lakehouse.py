@@ -13,7 +13,7 @@ from starloom.operators.upsert import DuplicateKeys
 from starloom.plans.dimension import build_dimension, look_up_members, members_of
 from starloom.plans.fact import build_fact, to_grain
 from starloom.plans.lakehouse import Lakehouse
-from starloom.plans.marts import star_rollup
+from starloom.plans.marts import fact_by_date_range, star_rollup
 from starloom.plans.silver import to_silver
 from starloom.schemas import BRANCH, DATE, DEALER, DIMENSIONS, FACT, FACT_KEYS, MODEL, no_rows
 from starloom.sources.order_lines import bronze_batch, bronze_sales
@@ -151,17 +151,17 @@ def test_keep_leaves_lines_as_they_are(spark, lake):
     lake.load_batch(bronze(spark, {}, {}), "0", "keep")
     assert lake.fact.read().count() == 2
     lake.load_batch(bronze(spark, {"Revenue": 1}), "1", "keep")
-    assert rows(lake.fact.read(), "Revenue") == [(1,)]
+    assert rows(lake.fact.read(), "Revenue") == [(1,), (100,), (100,)]
 
 
 def test_same_batch_twice_equals_once(spark, lake):
     lines = [{"Date_ID": f"DT{i}", "Model_ID": f"M-{i}", "Branch_ID": None if i == 3 else "b"} for i in range(6)]
-    lake.load_batch(bronze(spark, *lines), "0")
-    lake.load_batch(bronze(spark, *lines[3:], {"Date_ID": None}), "1")
+    lake.load_batch(bronze(spark, *lines), "0", "keep")
+    lake.load_batch(bronze(spark, *lines[3:], {"Date_ID": None}), "1", "keep")
     once = state(lake)
-    lake.load_batch(bronze(spark, *lines[3:], {"Date_ID": None}), "1")
+    lake.load_batch(bronze(spark, *lines[3:], {"Date_ID": None}), "1", "keep")
     assert state(lake) == once
-    assert len(once["fact"]) == 7
+    assert len(once["fact"]) == 10
     assert lake.silver().count() == 10
 
 
@@ -174,7 +174,7 @@ def test_empty_batch_changes_nothing(spark, lake):
 
 def test_empty_first_batch(spark, lake):
     lake.load_batch(bronze(spark, {}).where("false"), "0")
-    assert spark.table(f"{lake.gold_schema}.fact_sales").columns == FACT.fieldNames()
+    assert spark.table(f"{lake.gold_schema}.fact_sales").columns == [*FACT.fieldNames(), lake.fact.part_name]
     assert spark.table(f"{lake.gold_schema}.fact_sales").count() == 0
     lake.load_batch(bronze(spark, {}), "1")
     assert lake.fact.read().count() == 1
@@ -184,12 +184,12 @@ def test_increment_rewrites_only_its_own_partitions(spark, lake):
     lake.load_batch(bronze(spark, *[{"Date_ID": f"DT{i}"} for i in range(6)]), "0")
     before = lake.fact.parts()
     assert sorted(before) == [0, 1, 2]
-    lake.load_batch(bronze(spark, {"Date_ID": "DT2", "Revenue": 1}, {"Date_ID": "DT9"}), "1")
+    lake.load_batch(bronze(spark, {"Date_ID": "DT2", "Revenue": 1}, {"Date_ID": "DT9"}), "1", "aggregate")
     after = lake.fact.parts()
     assert sorted(after) == [0, 1, 2, 3]
     assert [p for p in before if after[p] == before[p]] == [0, 2]
     assert rows(lake.fact.read(), "dim_date_key", "Revenue") == [
-        (k, 1 if k == 3 else DEFAULTS["Revenue"]) for k in range(1, 8)
+        (k, DEFAULTS["Revenue"] + (k == 3)) for k in range(1, 8)
     ]
 
 
@@ -253,6 +253,137 @@ def test_grain_of_nothing(spark):
     assert rows(to_grain(no_rows(spark, FACT))) == []
 
 
+# -- increments and what they leave ---------------------------------------------
+
+
+SPLIT = [
+    [{"Revenue": 100}, {"Branch_ID": None, "Revenue": 1}, {"Date_ID": "DT2", "Revenue": 3}],
+    [{"Revenue": 7}, {"Branch_ID": None, "Revenue": 2}, {"Date_ID": None, "Revenue": 4}],
+    [{"Date_ID": None, "Revenue": 5}, {"Date_ID": "DT3", "Revenue": 6}],
+]
+
+
+def revenues(house):
+    """Revenue of each line by natural ids, so that the order of keys does not matter."""
+    fact = house.fact.read()
+    for spec in DIMENSIONS:
+        fact = fact.join(house.dims[spec.name].read().select(spec.key, spec.id), spec.key, "left")
+    return rows(fact, *[s.id for s in DIMENSIONS], "Revenue")
+
+
+@pytest.mark.parametrize("mode", ["aggregate", "keep"])
+def test_increments_equal_a_rebuild_however_they_are_cut(spark, lake, folder, mode):
+    lines = [line for batch in SPLIT for line in batch]
+    whole = Lakehouse(spark, f"{folder}/whole", f"{lake.silver_schema}_w", f"{lake.gold_schema}_w")
+    whole.reload(bronze(spark, *lines), mode)
+    for n, batch in enumerate(SPLIT):
+        lake.load_batch(bronze(spark, *batch), str(n), mode)
+    assert revenues(lake) == revenues(whole)
+    for n, batch in enumerate(SPLIT):
+        bronze(spark, *batch).coalesce(1).write.parquet(f"{folder}/landing/{n}")
+    for files in (None, 1, 2):
+        name = f"{lake.silver_schema}_{files}"
+        house = Lakehouse(spark, f"{folder}/stream-{files}", name, f"{name}_gold", dates_per_part=2)
+        load_new_files(house, f"{folder}/landing", f"{folder}/checkpoint-{files}", mode, files)
+        assert revenues(house) == revenues(whole)
+
+
+def test_repeats_in_two_batches_raise(spark, lake, folder):
+    for n in range(2):
+        bronze(spark, {"Revenue": n}).coalesce(1).write.parquet(f"{folder}/landing/{n}")
+    with pytest.raises(Exception, match="several source rows for one key"):
+        load_new_files(lake, f"{folder}/landing", f"{folder}/checkpoint", "raise", 1)
+    assert lake.silver().count() == lake.fact.read().count() == 1
+
+
+def test_two_landing_folders_and_a_new_checkpoint_lose_nothing(spark, lake, folder):
+    for n in range(2):
+        for k in range(2):
+            bronze(spark, {"Date_ID": f"DT{n}{k}"}).coalesce(1).write.parquet(f"{folder}/landing{n}/{k}")
+        load_new_files(lake, f"{folder}/landing{n}", f"{folder}/c{n}", files_per_batch=1)
+    load_new_files(lake, f"{folder}/landing0", f"{folder}/c2")
+    assert lake.silver().count() == lake.fact.read().count() == 4
+    lake.load_fact(lake.silver(), rebuild=True)
+    assert lake.fact.read().count() == 4
+
+
+def test_a_batch_that_comes_again_takes_back_its_old_lines(spark, lake):
+    lake.load_batch(bronze(spark, {}, {"Date_ID": "DT9", "Revenue": 1}), "0", "aggregate")
+    lake.load_batch(bronze(spark, {"Revenue": 5}), "1", "aggregate")
+    lake.load_batch(bronze(spark, {"Revenue": 40}), "0", "aggregate")
+    assert rows(lake.fact.read(), "Revenue") == [(45,)]
+    lake.load_batch(bronze(spark, {}).where("false"), "0", "aggregate")
+    assert rows(lake.fact.read(), "Revenue") == [(5,)]
+    assert rows(spark.table(f"{lake.gold_schema}.fact_sales"), "Revenue") == [(5,)]
+
+
+def test_crash_between_fact_and_silver(spark, lake, monkeypatch):
+    lake.load_batch(bronze(spark, {}), "0")
+
+    def crash(*_, **__):
+        raise OSError("crash")
+
+    with monkeypatch.context() as m:
+        m.setattr("starloom.plans.lakehouse.replace_folder", crash)
+        with pytest.raises(OSError, match="crash"):
+            lake.load_batch(bronze(spark, {"Revenue": 7}), "0")
+    assert rows(lake.silver(), "Revenue") == [(100,)]
+    lake.load_batch(bronze(spark, {"Revenue": 7}), "0")
+    assert rows(lake.silver(), "Revenue") == rows(lake.fact.read(), "Revenue") == [(7,)]
+
+
+def test_crash_between_the_two_renames(spark, lake):
+    lake.load_batch(bronze(spark, {}), "0")
+    os.rename(f"{lake.silver_path}/batch=0", f"{lake.silver_path}/_old.batch=0")
+    lake.load_batch(bronze(spark, {"Date_ID": "DT2"}), "1")
+    assert rows(lake.silver(), "Date_ID") == [("DT1",), ("DT2",)]
+
+
+def test_reload_of_rows_derived_from_silver(spark, lake):
+    lake.load_batch(bronze(spark, {}, {"Date_ID": "DT2"}), "0")
+    lake.reload(lake.silver().where("Date_ID = 'DT2'"))
+    assert rows(lake.silver(), "Date_ID") == [("DT2",)] and lake.fact.read().count() == 1
+
+
+def test_versions_beyond_six_digits(spark, folder):
+    table = SnapshotTable(spark, f"{folder}/t", DATE.schema)
+    table.write(spark.createDataFrame([("d", 1)], DATE.schema))
+    os.rename(f"{folder}/t/000001-full", f"{folder}/t/999999-full")
+    table = SnapshotTable(spark, f"{folder}/t", DATE.schema)
+    for key in (2, 3):
+        table.write(spark.createDataFrame([("d", key)], DATE.schema))
+        assert rows(table.read()) == [("d", key)]
+    assert table.version() == "1000001-full"
+
+
+def test_looking_up_folders_does_not_grow_with_the_increments(spark, lake, monkeypatch):
+    from starloom.sources import snapshots
+
+    calls = []
+    for name in ("folders", "_exists"):
+        own = getattr(snapshots, name)
+        monkeypatch.setattr(snapshots, name, lambda *a, own=own: calls.append(a) or own(*a))
+    seen = []
+    for n in range(6):
+        before = len(calls)
+        lake.load_batch(bronze(spark, {"Date_ID": f"DT{n}"}), str(n))
+        seen.append(len(calls) - before)
+    assert len(set(seen[1:])) <= 2 and max(seen[3:]) <= max(seen[1:3])
+
+
+def test_superseded_folders_go(spark, lake):
+    for n in range(3):
+        lake.load_batch(bronze(spark, {"Date_ID": f"DT{n}"}, {"Date_ID": "DT0", "Dealer_ID": str(n)}), str(n), "aggregate")
+    before = state(lake)
+    lake.drop_superseded()
+    assert state(lake) == before
+    assert [len(os.listdir(f"{lake.root}/gold/{t}")) for t in ("dim_dealer", "dim_date")] == [1, 1]
+    again = Lakehouse(spark, lake.root, lake.silver_schema, lake.gold_schema, dates_per_part=2)
+    assert state(again) == before
+    lake.load_batch(bronze(spark, {"Date_ID": "DT9"}), "9")
+    assert lake.fact.read().count() == len(before["fact"]) + 1
+
+
 # -- snapshots and catalog ----------------------------------------------------
 
 
@@ -281,7 +412,11 @@ def test_refused_rows_leave_the_table_as_it_was(spark, lake):
     lake.load_batch(bronze(spark, {}), "0")
     with pytest.raises(DuplicateKeys):
         lake.reload(bronze(spark, {}, {}, {"Revenue": 3}))
+    with pytest.raises(DuplicateKeys):
+        lake.load_batch(bronze(spark, {"Revenue": 7}), "1")
     assert rows(lake.fact.read(), "Revenue") == [(100,)]
+    assert rows(lake.silver(), "Revenue") == [(100,)]
+    assert os.listdir(f"{lake.root}/silver") == ["sales"]
     lake.reload(bronze(spark, {"Revenue": 9}))
     assert rows(lake.fact.read(), "Revenue") == [(9,)]
 
@@ -315,13 +450,11 @@ def test_catalog_views_follow_the_tables(spark, lake):
     lake.create_schemas()
     lake.load_batch(bronze(spark, {}), "0")
     fact = f"{lake.gold_schema}.fact_sales"
-    opened = spark.table(fact)
     for name in ("dim_branch", "dim_dealer", "dim_model", "dim_date", "fact_sales"):
         assert spark.catalog.tableExists(f"{lake.gold_schema}.{name}")
-    lake.load_batch(bronze(spark, {"Date_ID": "DT2"}, {"Revenue": 5}), "1")
-    assert rows(opened, "Revenue") == [(100,)]
-    assert rows(spark.table(fact), "Revenue") == [(5,), (100,)]
-    assert rows(spark.table(fact)) == rows(lake.fact.read())
+    lake.load_batch(bronze(spark, {"Date_ID": "DT2"}, {"Dealer_ID": "other", "Revenue": 5}), "1")
+    assert rows(spark.table(fact), "Revenue") == [(5,), (100,), (100,)]
+    assert rows(spark.table(fact).drop(lake.fact.part_name)) == rows(lake.fact.read())
     assert spark.sql(f"SELECT count(*) FROM {lake.silver_schema}.sales").first()[0] == 3
     assert rows(spark.table(f"{lake.gold_schema}.dim_date")) == [("DT1", 1), ("DT2", 2)]
 
@@ -335,6 +468,40 @@ def test_new_session_continues_from_the_folder(spark, lake):
     assert rows(again.dims["dealer"].read(), "dim_dealer_key") == [(1,), (2,)]
 
 
+def test_an_empty_lakehouse_can_be_registered(spark, lake):
+    lake.register()
+    assert spark.catalog.databaseExists(lake.gold_schema)
+
+
+def test_data_outlives_the_schemas(spark, lake):
+    lake.load_batch(bronze(spark, {}), "0")
+    for name in (lake.gold_schema, lake.silver_schema):
+        spark.sql(f"DROP SCHEMA {name} CASCADE")
+    again = Lakehouse(spark, lake.root, lake.silver_schema, lake.gold_schema, dates_per_part=2)
+    again.register()
+    assert spark.table(f"{lake.gold_schema}.fact_sales").count() == 1
+    assert spark.table(f"{lake.silver_schema}.sales").count() == 1
+
+
+def test_a_date_range_reads_its_own_partitions(spark, lake):
+    lake.load_batch(bronze(spark, *[{"Date_ID": f"DT{i}", "Revenue": i} for i in range(1, 9)]), "0")
+    fact = spark.table(f"{lake.gold_schema}.fact_sales")
+    found = fact_by_date_range(fact, lake.dims["date"].read(), "DT3", "DT4", lake.fact.part_name, lake.fact.part_of)
+    assert rows(found, "date_id", "Revenue") == [("DT3", 3), ("DT4", 4)]
+    part = fact.where(f"{lake.fact.part_name} = 1")
+    assert "PartitionFilters: [isnotnull" in plan(part)
+    assert [os.path.dirname(f) for f in part.inputFiles()] == ["file://" + lake.fact.parts()[1]] * len(part.inputFiles())
+
+
+def test_rollup_adds_up_to_the_fact(spark, lake):
+    lake.load_batch(bronze(spark, {}, {"Date_ID": None, "Revenue": 5}, {"Model_ID": None, "Revenue": 7}), "0")
+    dims = {spec: lake.dims[spec.name].read() for spec in DIMENSIONS}
+    groups = {"d": (DATE, F.col("date_id")), "m": (MODEL, F.col("model_category"))}
+    for limit in (10**6, 0):
+        found = star_rollup(lake.fact.read(), dims, groups, max_rows=limit)
+        assert rows(found, "d", "m", "Revenue") == [(None, "Alpha", 5), ("DT1", None, 7), ("DT1", "Alpha", 100)]
+
+
 def test_batch_names_are_checked(spark, lake):
     with pytest.raises(ValueError, match="batch"):
         lake.write_silver(bronze(spark, {}), "../x")
@@ -345,7 +512,9 @@ def test_working_folders_are_removed(spark, lake):
 
     before = set(os.listdir(shared_folder(spark))) if os.path.exists(shared_folder(spark)) else set()
     lake.load_batch(bronze(spark, {}), "0")
-    lake.load_batch(bronze(spark, {"Revenue": 2}), "1")
+    lake.load_batch(bronze(spark, {"Revenue": 2}), "1", "aggregate")
+    with pytest.raises(DuplicateKeys):
+        lake.load_batch(bronze(spark, {}, {}), "2")
     assert set(os.listdir(shared_folder(spark))) == before
 
 
@@ -373,5 +542,20 @@ def test_stream_in_several_batches_and_after_a_lost_checkpoint(spark, lake, fold
     assert load_new_files(lake, landing, f"{folder}/c1", files_per_batch=1) == [2, 2, 2]
     before = {name: len(found) for name, found in state(lake).items()}
     assert before == {"branch": 1, "dealer": 1, "model": 2, "date": 3, "fact": 6}
-    load_new_files(lake, landing, f"{folder}/c2", files_per_batch=1)
-    assert {name: len(found) for name, found in state(lake).items()} == before
+    for files in (1, 2):
+        load_new_files(lake, landing, f"{folder}/c2-{files}", files_per_batch=files)
+        assert {name: len(found) for name, found in state(lake).items()} == before
+
+
+def test_csv_files_with_a_bad_row_are_refused(spark, lake, folder):
+    landing = f"{folder}/landing"
+    bronze(spark, {"DealerName": 'One, "Two"'}).write.option("header", True).option("escape", '"').csv(landing)
+    assert load_new_files(lake, landing, f"{folder}/c", file_format="csv") == [1]
+    assert rows(lake.silver(), "DealerName") == [('One, "Two"',)]
+    bad = bronze(spark, {"Date_ID": "DT7"}).withColumn("Revenue", F.lit("seven"))
+    bad.write.mode("append").option("header", True).csv(landing)
+    with pytest.raises(Exception, match="MALFORMED|Malformed|FAILED_READ"):
+        load_new_files(lake, landing, f"{folder}/c", file_format="csv")
+    assert lake.silver().count() == 1
+    with pytest.raises(ValueError, match="file_format"):
+        load_new_files(lake, landing, f"{folder}/c", file_format="xml")

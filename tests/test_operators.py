@@ -225,6 +225,29 @@ def test_partial_columns_never_change_keys_and_need_not_be_in_the_source(spark):
     assert rows(found) == [(1, "a", 11), (4, None, 44)]
 
 
+def test_merges_mind_names_and_repeats(spark):
+    target = spark.createDataFrame([(1, 10, "a")], "k int, v int, note string")
+    source = spark.createDataFrame([(1, 11)], "K int, V int")
+    assert rows(upsert_columns(target, source, ["k"], update=["v"])) == [(1, 11, "a")]
+    assert rows(upsert(target.drop("note"), source, ["K"])) == [(1, 11)]
+    for update, insert in ((["vv"], None), (["note"], None), (["v"], ["w"])):
+        with pytest.raises(ValueError, match="no such column"):
+            upsert_columns(target, source, ["k"], update=update, insert=insert)
+    with pytest.raises(ValueError, match="no such column"):
+        upsert_columns(target, source.drop("V"), ["k"], update=["v"])
+    with pytest.raises(ValueError, match="no such column"):
+        upsert(target, source, ["k"])
+    for merge in (lambda s: upsert(target.drop("note"), s, ["k"]), lambda s: upsert_columns(target, s, ["k"], ["v"])):
+        with pytest.raises(DuplicateKeys):
+            merge(source.union(source))
+
+
+def test_touched_keys_without_a_source_row_go(spark):
+    target = spark.createDataFrame([(1, 10), (2, 20), (None, 30)], "k int, v int")
+    touched = spark.createDataFrame([(1,), (None,)], "k int")
+    assert rows(upsert(target, target.where("k = 1"), ["k"], touched=touched)) == [(1, 10), (2, 20)]
+
+
 def test_duplicate_source_keys_are_named(spark):
     source = spark.createDataFrame([(1, None), (1, None), (2, "x")], "a int, b string")
     assert rows(duplicate_keys(source, ["a", "b"])) == [(1, None, 2)]
