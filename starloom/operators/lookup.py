@@ -77,9 +77,10 @@ def frequent_ids(facts: DataFrame, column: str, partitions: int) -> DataFrame:
     can exceed an even share, and their copies add up to less than twice that,
     so the rows collected here and broadcast later are bounded by the setting.
     """
-    counts = facts.where(F.col(column).isNotNull()).groupBy(column).count()
-    share = facts.count() / partitions
-    rows = counts.where(F.col("count") > share).select(
+    counts = facts.groupBy(column).count()
+    # The total comes from the same counts, whose shuffle is made once.
+    share = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("total")).scalar() / partitions
+    rows = counts.where(F.col(column).isNotNull() & (F.col("count") > share)).select(
         F.col(column).cast("string"), F.ceil(F.col("count") / share).cast("bigint")
     )
     schema = StructType().add("frequent_id", StringType()).add(_COPIES, LongType())

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from starloom.schemas import no_rows
-from starloom.sources.files import on_files
 
 # Spark's own marker is put off until the rows are checked.
 _MARK = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
@@ -222,27 +221,26 @@ class SnapshotTable:
         fs.create(hadoop_path, False).close()
 
     def register(self, name: str) -> None:
-        """Publish the current snapshot under the catalog name ``name``.
+        """Publish the current snapshot as the external table ``name``; dropping that keeps the files.
 
-        Without partitions that is a view. A partitioned table becomes an external
-        table whose partitions the catalog knows by folder, so that a filter on the
-        partition column lists no other folder and dropping the table keeps the files.
+        The schema is declared, so no file is opened for it. Of a partitioned table
+        the catalog knows each partition's folder, so a filter on the partition column
+        lists no other folder.
         """
-        if self.part_name is None:
-            columns = ", ".join(f"`{c}`" for c in self.schema.fieldNames())
-            source = on_files(f"{self.root}/{self._live()[-1]}")
-            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {source}")
-            return
-        parts = self.parts()
+        parts = self.parts() if self.part_name else {}
         known = self._published.get(name)
         if known is None or not self.spark.catalog.tableExists(name) or known.keys() - parts.keys():
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
+            partitioned = ""
+            if self.part_name:
+                columns += f", `{self.part_name}` INT"
+                partitioned = f"PARTITIONED BY (`{self.part_name}`) "
+            place = f"{self.root}/_catalog" if self.part_name else f"{self.root}/{self.version()}"
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.spark.sql(
-                f"CREATE TABLE {name} ({columns}, `{self.part_name}` INT) USING parquet "
-                f"PARTITIONED BY (`{self.part_name}`) LOCATION {_literal(f'{self.root}/_catalog')}"
-            )
+            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitioned}LOCATION {_literal(place)}")
             known = {}
+        elif not self.part_name:
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION {_literal(f'{self.root}/{self.version()}')}")
         spec = lambda part: f"PARTITION (`{self.part_name}`={part})"
         new = sorted(parts.keys() - known.keys())
         for at in range(0, len(new), 500):
