@@ -96,14 +96,15 @@ def _extremes(scorer: Scorer) -> Callable:
     return run
 
 
-def _histogram(scorer: Scorer, low: np.ndarray, width: np.ndarray) -> Callable:
+def _histogram(scorer: Scorer, low: np.ndarray, high: np.ndarray, width: np.ndarray) -> Callable:
+    """Numbers of scores from ``low`` to ``high`` in each bucket; higher ones are counted already."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(low) * BUCKETS, np.int64)
         first = np.arange(len(low))[:, None] * BUCKETS
         for _, scores in scorer(batches):
-            at = scores >= low[:, None]
-            bucket = (np.where(at, scores, low[:, None]) - low[:, None]) // width[:, None]
-            inside = at & (bucket < BUCKETS)
+            inside = (scores >= low[:, None]) & (scores <= high[:, None])
+            bucket = (np.where(inside, scores, low[:, None]) - low[:, None]) // width[:, None]
             total += np.bincount((bucket + first)[inside], minlength=len(total))
         full = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
@@ -142,7 +143,7 @@ def kth_scores(vectors: DataFrame, scorer: Scorer, k: int) -> np.ndarray:
     while (open_ := high > low).any():
         # Ranges as Python integers, since their width may not fit 64 bits.
         width = np.array([(int(h) - int(a)) // BUCKETS + 1 for a, h in zip(low, high)], np.int64)
-        counts = vectors.mapInArrow(_histogram(scorer, low, width), "q long, bucket long, n long")
+        counts = vectors.mapInArrow(_histogram(scorer, low, high, width), "q long, bucket long, n long")
         counts = counts.groupBy("q", "bucket").agg(F.sum("n").alias("n"))
         needed = [(int(q), int(k - above[q])) for q in np.flatnonzero(open_)]
         needed = vectors.sparkSession.createDataFrame(needed, "q long, needed long")

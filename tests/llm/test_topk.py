@@ -48,6 +48,13 @@ def test_against_all_pairs(spark, k, block_bytes):
     assert sorted(tuple(r) for r in found.collect()) == expected(rows, k)
 
 
+def test_ranges_that_do_not_divide_evenly(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(0, 1, 8) * 10.0 ** rng.integers(-2, 3)).tolist()) for i in range(2500)]
+    found = top_k(table(spark, rows), QUERY)
+    assert sorted(tuple(r) for r in found.collect()) == expected(rows, 10)
+
+
 def test_products_beyond_floating_point(spark):
     rows = [(0, [2.0**20, 1.0]), (1, [2.0**20, 1.0]), (2, [2.0**20, 1.0009765625]), (3, [-(2.0**20), 1.0])]
     assert sorted(tuple(r) for r in top_k(table(spark, rows), QUERY, 2).collect()) == expected(rows, 2)
