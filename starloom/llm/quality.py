@@ -40,7 +40,7 @@ class Settings:
 
     least_words: int = 20
     most_repeated_percent: int = 30
-    sample_rows: int = 8_000
+    sample_rows: int = 5_000
     passes: int = 6
     rate: float = 0.5
     l2: float = 1e-6

@@ -24,6 +24,9 @@ from starloom.llm.topk import top_k
 from starloom.llm.toxicity import toxicity
 from starloom.session import new_folder
 
+# Bytes of a record batch between Spark and Python; a few of them are in memory at a time in each task.
+BATCH_BYTES = str(8 << 20)
+
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,7 +40,8 @@ def vocabulary(name: str) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the session's Python workers, once per session."""
+    """Give this package to the session's Python workers, once per session, and bound the batches that they get."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if getattr(spark.sparkContext, "_starloom_shipped", False):
         return
     top = os.path.dirname(os.path.abspath(starloom.__file__))
