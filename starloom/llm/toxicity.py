@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.llm.features import gather_lists, labelled_sample, logistic, one_task, word_grams, word_hashes
+from starloom.llm.features import labelled_sample, logistic, one_task, word_grams, word_hashes
 from starloom.llm.tables import documents, list_parts, slices
 
 GAPS = (1, 2)
@@ -79,21 +79,27 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, settings: Ftrl) -> tuple
     """Hashes that have a weight, in ascending order, their weights, and the intercept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = gather_lists(batches, "hashes", "label")
-        if not rows["label"]:
+        grams, labels_of = [], []
+        for batch in batches:
+            labels_of += batch.column("label").to_pylist()
+            flat, starts = list_parts(batch.column("hashes"))
+            for a, b in zip(starts, starts[1:]):
+                grams.append(np.unique(word_grams(flat[a:b].view(np.uint64), np.array([0, b - a]), GAPS)[0]))
+        if not grams:
             return
-        grams, of = [], []
-        for i, hashes in enumerate(rows["hashes"]):
-            own = np.unique(word_grams(hashes.view(np.uint64), np.array([0, len(hashes)]), GAPS)[0])
-            grams.append(own)
-            of.append(len(own))
+        # Texts per range of hashes: most features are in too few texts, and go before they are sorted.
+        texts = np.zeros(1 << 25, np.uint16)
+        for own in grams:
+            texts[own >> np.uint64(39)] += 1
+        grams = [own[texts[own >> np.uint64(39)] >= settings.least_texts] for own in grams]
+        of = [len(own) for own in grams]
         flat = np.concatenate(grams)
         names, place, seen = np.unique(flat, return_inverse=True, return_counts=True)
         shared = seen >= settings.least_texts
         number = np.cumsum(shared) - 1
         place = np.where(shared[place], number[place], -1)
         features = [p[p >= 0] for p in np.split(place, np.cumsum(of)[:-1])]
-        w, bias = train(features, np.array(rows["label"], float), int(shared.sum()), settings)
+        w, bias = train(features, np.array(labels_of, float), int(shared.sum()), settings)
         names = names[shared]
         kept = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays(
