@@ -9,6 +9,13 @@ equal pseudonyms in all documents, different values of a kind get different ones
 (except that a slash date whose day stands second may meet one whose day stands first),
 and a pseudonym is valid again: check digits are computed anew.
 
+A value may have neighbours that look like a part of it, such as an expiry behind a card
+or a BIC behind an account number. So at every place where a format begins, all ends at
+which one fits are tried, kind by kind, and the first valid part counts; the search goes
+on behind it. Parts shorter than the longest must be written in a usual way: cards in
+groups of four digits or more, the last one excepted; account numbers as long as their
+country's are.
+
 Everything is SQL expressions on whole texts. A null text stays null. Rows with equal
 or null ``doc_id`` are rewritten each by itself. An empty table gives no rows.
 """
@@ -33,6 +40,27 @@ FORMATS = {
 KINDS = list(FORMATS)
 PATTERN = f"{_BEFORE}(?:{'|'.join(FORMATS.values())}){_BEHIND}"
 
+# Where a format begins, whatever is before. Groups: 2 what joins it to a digit before, 3 a mail address, 4 the signs
+# that follow, more than any other format has. Group 1 is that of dates.
+_REACH = 50
+START = (
+    f"{_BEFORE}(?=(?:{'|'.join(FORMATS.values())}){_BEHIND})"
+    f"(?:(?<=([0-9][ .-]))|)(?=({FORMATS['email']}{_BEHIND})?)(?=((?s:.{{0,{_REACH}}})))"
+)
+_BLOCK = 512  # starts that are put together at a time
+
+# How cards are written, and how long account numbers are by country.
+_SOLID, _GROUPED = r"^[0-9]+$", r"^[0-9]{4,}(?:[ -][0-9]{4,})*(?:[ -][0-9]{1,3})?$"
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DJ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_COUNTRIES = "^(?:" + "|".join(IBAN_LENGTHS.values()).replace(" ", "|") + ")"
+_OWN_LENGTH = "^(?:" + "|".join(f"(?:{c.replace(' ', '|')})[A-Z0-9]{{{n - 2}}}" for n, c in IBAN_LENGTHS.items()) + ")$"
+_AMERICAN = r"^\+1[ .-]?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}$"
+
 # What the letters of a mask allow at their place: first sign and number of signs. Other places stay as they are.
 _ALPHABETS = {"9": ("0", 10), "a": ("a", 26), "A": ("A", 26), "h": ("0", 16), "n": ("2", 8), "m": ("1", 8)}
 _HEX = "0123456789abcdef"
@@ -233,24 +261,74 @@ def _email(text: Column, key: str) -> Column:
 _RULES = {"email": _email, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "card": _card, "phone": _phone}
 
 
-def kind_of(text: Column) -> Column:
-    """The kind of a match of ``PATTERN``, by its whole form."""
-    out = F.lit(None).cast("string")
-    for kind in reversed(KINDS):
-        out = F.when(text.rlike(f"^(?:{FORMATS[kind]})$"), kind).otherwise(out)
-    return out
-
-
-def pseudonym(text: Column, key: str) -> Column:
-    """``kind, value`` of a match: its pseudonym, or null for both if it is not valid."""
-
-    def by_kind(kind: Column) -> Column:
-        out = F.lit(None).cast("string")
-        for name, rule in _RULES.items():
-            out = F.when(kind == name, rule(text, key)).otherwise(out)
-        return _once(out, lambda v: F.struct(F.when(v.isNotNull(), kind).alias("kind"), v.alias("value")))
-
-    return _once(kind_of(text), by_kind)
+def _ends(window: Column) -> Column:
+    """The beginnings of ``window`` that end with a word, the longest first."""
+    words = F.regexp_extract_all(window, F.lit("[^A-Za-z0-9]*[A-Za-z0-9]+"), F.lit(0))
+    upto = lambda w: F.transform(
+        F.filter(F.sequence(F.size(w), F.lit(0)), lambda i: i > 0), lambda i: F.array_join(F.slice(w, F.lit(1), i), "")
+    )
+    return F.filter(_once(words, upto), lambda t: F.length(t) < _REACH)
+
+
+def _first_of(texts: Column, rule) -> Column:
+    """``texts`` with those that meet the rule in front."""
+    return F.concat(F.filter(texts, rule), F.filter(texts, lambda t: ~rule(t)))
+
+
+def _parts(kind: str, ends: Column, window: Column, before: Column) -> Column:
+    """The beginnings of ``window`` that have the form of ``kind``, in the order in which they are tried."""
+    own = F.filter(ends, lambda t: t.rlike(f"^(?:{FORMATS[kind]})$"))
+    if kind == "ip":
+        dotted = before.endswith(".")
+        return F.filter(own, lambda t: ~dotted & ~F.substr(window, F.length(t) + 1, F.lit(2)).rlike("^\\.[0-9]"))
+    if kind == "card":
+        # Any writing for the longest part of a run, usual ones for what is shorter or within.
+        usual = lambda o: F.filter(o, lambda t: t.rlike(_GROUPED) | ((before == "") & (t == F.get(o, F.lit(0)))))
+        return _first_of(_once(own, usual), lambda t: t.rlike(_SOLID))
+    if kind == "iban":
+        fits = lambda t: _bare(t).rlike(_OWN_LENGTH)
+        counts = lambda o: F.filter(o, lambda t: fits(t) | ~t.rlike(_COUNTRIES) | (t == F.get(o, F.lit(0))))
+        return _first_of(_once(own, counts), fits)
+    if kind == "phone":
+        return _first_of(own, lambda t: t.rlike(_AMERICAN))
+    return own
+
+
+def pseudonym(window: Column, email: Column, before: Column, key: str) -> Column:
+    """``kind, n, value`` of the first valid part of ``window``, ``n`` signs from its start on; null if there is none."""
+
+    def first(kind: str, texts: Column) -> Column:
+        made = F.transform(texts, lambda t: F.struct(F.lit(kind).alias("kind"), F.length(t).alias("n"), _RULES[kind](t, key).alias("value")))
+        return F.get(F.filter(made, lambda m: m["value"].isNotNull()), F.lit(0))
+
+    mail = first("email", F.filter(F.array(email), lambda t: t != ""))
+    others = _once(_ends(window), lambda e: F.coalesce(*(first(k, _parts(k, e, window, before)) for k in KINDS if k != "email")))
+    return F.coalesce(mail, others)
+
+
+def _put_together(starts: Column) -> Column:
+    """``text, kinds`` of ``body, new`` in order; a start within a value that is taken already counts no more."""
+    state = lambda skip, texts, kinds: F.struct(skip.cast("int").alias("skip"), texts.alias("texts"), kinds.alias("kinds"))
+    none = F.array().cast("array<string>")
+
+    def step(s: Column, x: Column) -> Column:
+        taken = (s["skip"] == 0) & x["new"].isNotNull()
+        gone = F.when(taken, x["new"]["n"]).otherwise(s["skip"])
+        rest = F.substr(x["body"], gone + 1, F.length(x["body"]))
+        text = F.when(taken, F.concat(x["new"]["value"], rest)).otherwise(rest)
+        kinds = F.when(taken, F.array(x["new"]["kind"])).otherwise(none)
+        left = F.greatest(gone - F.length(x["body"]), F.lit(0))
+        return state(left, F.concat(s["texts"], F.array(text)), F.concat(s["kinds"], kinds))
+
+    def block(s: Column, b: Column) -> Column:
+        own = F.aggregate(F.slice(starts, b * _BLOCK + 1, F.lit(_BLOCK)), state(s["skip"], none, none), step)
+        joined = lambda o: state(o["skip"], F.concat(s["texts"], F.array(F.array_join(o["texts"], ""))), F.concat(s["kinds"], o["kinds"]))
+        return _once(own, joined)
+
+    blocks = F.sequence(F.lit(0), F.floor((F.size(starts) - 1) / _BLOCK).cast("int"))
+    return F.aggregate(
+        blocks, state(F.lit(0), none, none), block, lambda s: F.struct(F.array_join(s["texts"], "").alias("text"), s["kinds"].alias("kinds"))
+    )
 
 
 def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
@@ -258,12 +336,20 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     # Every format has a digit or the sign of mail addresses; texts without them are not searched.
-    found = F.when(F.col("text").rlike("[0-9@]"), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
-    replaced = lambda m: F.struct(m.alias("old"), pseudonym(m, key).alias("new"))
-    rows = rows.withColumn("found", F.transform(F.coalesce(found, F.array().cast("array<string>")), replaced))
-    gaps = F.split("text", PATTERN, -1)
-    new = F.transform("found", lambda f: F.coalesce(f["new"]["value"], f["old"]))
-    joined = _once(gaps, lambda g: F.array_join(F.flatten(F.zip_with(g, new, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), ""))
-    rewritten = F.when(F.size("found") > 0, joined).otherwise(F.col("text"))
-    number = lambda kind: F.size(F.filter("found", lambda f: f["new"]["kind"] == kind)).cast("long")
+    group = lambda i: F.when(F.col("text").rlike("[0-9@]"), F.regexp_extract_all("text", F.lit(START), F.lit(i)))
+    rows = rows.select("*", group(2).alias("before"), group(3).alias("email"), group(4).alias("window"))
+    some = F.size(F.coalesce("window", F.array().cast("array<string>"))) > 0
+    starts = F.zip_with(
+        F.arrays_zip("window", "email"), "before", lambda w, b: pseudonym(w["window"], w["email"], b, key)
+    )
+    rows = rows.select("doc_id", "text", F.when(some, starts).alias("new"), F.when(some, F.split("text", START, -1)).alias("cut"))
+    # What is before the first start is a part of its own, unless the text begins with a start.
+    head = F.size("cut") - F.size("new")
+    bodies = F.slice("cut", head + 1, F.size("new"))
+    pairs = F.zip_with(bodies, "new", lambda b, n: F.struct(b.alias("body"), n.alias("new")))
+    valid = F.exists("new", lambda n: n.isNotNull())
+    rows = rows.select("doc_id", "text", F.array_join(F.slice("cut", F.lit(1), head), "").alias("head"), F.when(valid, _once(pairs, _put_together)).alias("found"))
+    rewritten = F.coalesce(F.concat("head", F.col("found.text")), F.col("text"))
+    kinds = F.coalesce("found.kinds", F.array().cast("array<string>"))
+    number = lambda kind: F.size(F.filter(kinds, lambda k: k == kind)).cast("long")
     return rows.select("doc_id", rewritten.alias("text"), *(number(kind).alias(f"n_{kind}") for kind in KINDS))

@@ -138,3 +138,32 @@ def test_whole_table(spark):
 
 def test_empty_table(spark):
     assert bag(pseudonymised(make_docs(spark, []), KEY)) == []
+
+
+# A text, the kinds in it, and what stays as it is.
+NEIGHBOURS = [
+    ("4111 1111 1111 1111 12/26", {"card": 1}, "12/26"), ("4111111111111111 123", {"card": 1}, " 123"), ("2 4111 1111 1111 1111", {"card": 1}, "2 "),
+    ("4111 1111 1111 1111 555-123-4567", {"card": 1, "phone": 1}, ""), ("4111 1111 1111 1111 4111 1111 1111 1111", {"card": 2}, ""),
+    ("ES9121000418450200051332 BIC", {"iban": 1}, " BIC"), ("BE68 5390 0754 7034 EUR", {"iban": 1}, " EUR"), ("ES91 2100 0418 4502 0005 1332 1234 5678", {"iban": 1}, " 1234 5678"),
+    ("555-123-4567 555-987-6543", {"phone": 2}, ""), ("555-123-4567 2024-01-15", {"phone": 1, "date": 1}, ""), ("12 2024-01-15 2024-02-15", {"date": 2}, "12 "),
+    ("+1 (274) 555-9629 2024-01-15", {"phone": 1, "date": 1}, ""), ("4111 1111 1111 1111.jo@example.com", {"card": 1, "email": 1}, ""), ("x@localhost 1980-02-29", {"date": 1}, "x@localhost "),
+]
+
+
+def test_values_with_neighbours(spark):
+    found = pseudonymised(make_docs(spark, [(i, t) for i, (t, _, _) in enumerate(NEIGHBOURS)]), KEY)
+    by_id = {r.doc_id: r for r in found.collect()}
+    alone = pseudonymised(make_docs(spark, [(1, "4111 1111 1111 1111")]), KEY).first().text
+    for i, (text, kinds, stays) in enumerate(NEIGHBOURS):
+        row = by_id[i]
+        assert {k: row[f"n_{k}"] for k in TEXTS if row[f"n_{k}"]} == kinds, text
+        assert stays in row.text and shape(row.text) == shape(text)
+        old, new = re.findall("[0-9]+", text.replace(stays, "|")), re.findall("[0-9]+", row.text.replace(stays, "|"))
+        assert len(old) == len(new) and old != new
+        assert ("4111 1111 1111 1111" not in text) or alone in row.text
+
+
+def test_many_values_in_one_text(spark):
+    text = " ".join(f"{i} 4111 1111 1111 1111" for i in range(1500))
+    row = pseudonymised(make_docs(spark, [(1, text)]), KEY).first()
+    assert row.n_card == 1500 and "4111" not in re.sub(r"(?<![0-9])[0-9]{1,4} (?=[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4})", "", row.text)
