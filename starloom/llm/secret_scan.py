@@ -5,8 +5,9 @@ them, each text is lexed around its assignment operators, as source code and
 configuration files have them (``name = "x"``, ``"name": "x"``, ``name: type = x``,
 ``name := x``, ``name => 'x'``, ``NAME=x``), into pairs of a name and a literal.
 Literals in a row are one (``"ab" + "cd"``). A name that gets another name takes
-over that one's literal, so a constant is judged by every name it flows to. The
-score adds up how sensitive the name's words are and how random the literal looks.
+over that one's literal, so a constant is judged by every name it flows to; dotted
+names are looked up whole, then by their last part. The score adds up how sensitive
+the name's words are and how random the literal looks.
 
 Spans count code points, the end excluded. A null text is empty. Rows with equal
 or null ``doc_id`` are scanned each by itself. An empty table gives no rows.
@@ -45,7 +46,10 @@ _LEFT = re.compile(
     r"""([A-Za-z_][A-Za-z0-9_.-]*)["'\]]?[\x20\t]*(?::[\x20\t]*[A-Za-z_][A-Za-z0-9_.]*(?:\[[A-Za-z0-9_., ]*\])?[\x20\t]*)?$"""
 )
 _STRING = re.compile(r"""[\x20\t]*(?:\+[\x20\t]*)?[rbuf]?(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)""")
-_REFERENCE = re.compile(r"[\x20\t]*\$?\{?([A-Za-z_][A-Za-z0-9_]*)\}?[\x20\t]*(?=[;,)\]}\n#]|$)")
+_REFERENCE = re.compile(
+    r"[\x20\t]*\$?\{?([A-Za-z_][A-Za-z0-9_-]*(?:(?:\.|::|->)[A-Za-z_][A-Za-z0-9_-]*)*)\}?[\x20\t\f\v]*(?=[;,)\]}\r\n#]|//|/\*|<!--|(?<=[\x20\t])--|$)"
+)
+_LAST_PART = re.compile(r"\.|::|->")
 _BARE = re.compile(r"""[\x20\t]*([^\s"'`;,(){}\[\]]+)""")
 _NAME_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _NAME_REACH = 160
@@ -63,7 +67,9 @@ class Pair:
 
 def pairs(text: str) -> Iterator[Pair]:
     """Name-literal pairs in order; constants are handed on from name to name."""
+    # By the whole name, and by its last part.
     constants: dict[str, Pair] = {}
+    by_last: dict[str, Pair] = {}
     at = 0
     while op := _OPERATOR.search(text, at):
         at = op.end()
@@ -86,13 +92,13 @@ def pairs(text: str) -> Iterator[Pair]:
         if parts:
             pair = Pair(name, "".join(p[0] for p in parts), parts[0][1], parts[-1][2])
             at = end
-        elif (ref := _REFERENCE.match(text, at)) and (known := constants.get(ref[1])):
+        elif (ref := _REFERENCE.match(text, at)) and (known := constants.get(ref[1]) or by_last.get(_LAST_PART.split(ref[1])[-1])):
             pair = Pair(name, known.value, known.start, known.end)
         elif bare := _BARE.match(text, at):
             pair = Pair(name, bare[1], bare.start(1), bare.end(1))
         else:
             continue
-        constants[name.rpartition(".")[2]] = pair
+        constants[name] = by_last[name.rpartition(".")[2]] = pair
         yield pair
 
 

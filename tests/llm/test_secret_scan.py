@@ -95,3 +95,18 @@ def test_masked_documents_keep_rows_and_columns(spark):
 def test_empty_table(spark):
     assert secret_digest(make_docs(spark, [])).count() == 0
     assert mask_secrets(make_docs(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize(
+    "behind", ["\r\n", " \r\n", " // note\n", " /* note */\n", " -- note\n", " # note\n", " <!-- note -->\n", " \f\n", "\t", ";", ""]
+)
+@pytest.mark.parametrize("ref", ["k", "self.k", "settings.k", "Settings::k", "this->k", "${k}"])
+def test_constants_flow_whatever_is_behind_a_reference(ref, behind):
+    text = f'k = "{KEY}"\r\nclient.pwd = {ref}{behind}'
+    assert [(text[a:b], kind) for a, kind, b, _ in find(text)] == [(KEY, 3)]
+    assert KEY not in mask(text, "#") and ref in mask(text, "#")
+
+
+def test_dotted_constants_by_whole_name_first():
+    found = list(pairs('a.k = "one"\nb.k = "two"\nx = a.k\ny = c.k\nz = k // note\n'))
+    assert [p.value for p in found] == ["one", "two", "one", "two", "two"]
