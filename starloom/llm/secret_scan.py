@@ -39,11 +39,19 @@ LEAST_VALUE, LEAST_ACCESS = 8, 16
 STRONG = {"password", "passwd", "pwd", "secret", "token", "apikey", "credential", "credentials", "passphrase"}
 WEAK = {"key", "auth", "pass", "pin", "salt", "bearer", "private", "access", "api", "signature"}
 HARMLESS = {"name", "id", "count", "max", "min", "length", "len", "file", "path", "url", "uri", "type", "field", "label", "ttl", "hint", "prompt", "limit"}
-PLACEHOLDER = re.compile(r"(?i)change.?me|example|placeholder|your[_-]|x{4,}|\*{3,}|\.{3,}|^(none|null|true|false|todo)$|[<>{}%]")
+PHRASE = {"passphrase"}  # names whose literals may be words with gaps
+PLACEHOLDER = re.compile(r"(?i)change.?me|example|placeholder|your[_-]|x{4,}|\*{3,}|\.{3,}|^(none|null|true|false|todo)$")
+# Literals that are nothing but places to be filled: <...>, {...}, ${...}, $(...), %s, %(name)s, %NAME%, and signs between them.
+FILLED_IN = re.compile(
+    r"(?:[^A-Za-z0-9<>{}%$]*+(?:<[^<>]*+>|\$?\{++[^{}]*+\}++|\$\([^()]*+\)|%(?:\([A-Za-z0-9_]*+\))?[sdr](?![A-Za-z0-9])|%[A-Za-z_][A-Za-z0-9_]*+%))++[^A-Za-z0-9<>{}%$]*+"
+)
+# Words of prose: in one case but for the first letter, or a number.
+_PLAIN_WORD = re.compile(r"[^A-Za-z0-9]*(?:[A-Za-z]?[a-z'’-]*|[A-Z]+|[0-9]+)[^A-Za-z0-9]*")
 
 _OPERATOR = re.compile(r":=|=>|[:=]")
+# A name and perhaps its type, read from the operator back to the front; no more than the signs since the operator before the last.
 _LEFT = re.compile(
-    r"""([A-Za-z_][A-Za-z0-9_.-]*)["'\]]?[\x20\t]*(?::[\x20\t]*[A-Za-z_][A-Za-z0-9_.]*(?:\[[A-Za-z0-9_., ]*\])?[\x20\t]*)?$"""
+    r"""\n?[\x20\t]*(?:(?:\][A-Za-z0-9_., ]*\[)?[A-Za-z0-9_.]*[A-Za-z_][\x20\t]*:[\x20\t]*)?["'\]]?([A-Za-z0-9_.-]*[A-Za-z_])"""
 )
 _STRING = re.compile(r"""[\x20\t]*(?:\+[\x20\t]*)?[rbuf]?(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)""")
 _REFERENCE = re.compile(
@@ -52,7 +60,6 @@ _REFERENCE = re.compile(
 _LAST_PART = re.compile(r"\.|::|->")
 _BARE = re.compile(r"""[\x20\t]*([^\s"'`;,(){}\[\]]+)""")
 _NAME_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-_NAME_REACH = 160
 
 
 @dataclass
@@ -70,6 +77,7 @@ def pairs(text: str) -> Iterator[Pair]:
     # By the whole name, and by its last part.
     constants: dict[str, Pair] = {}
     by_last: dict[str, Pair] = {}
+    back = text[::-1]
     at = 0
     while op := _OPERATOR.search(text, at):
         at = op.end()
@@ -78,10 +86,10 @@ def pairs(text: str) -> Iterator[Pair]:
             if behind in ("=", ":") or behind == "/" and op[0] == ":" or before in ("=", "!", "<", ">", ":"):
                 at += behind in ("=", ":")
                 continue
-        left = _LEFT.search(text, max(0, op.start() - _NAME_REACH), op.start())
+        left = _LEFT.match(back, len(text) - op.start())
         if not left:
             continue
-        name = left[1]
+        name = left[1][::-1]
         parts, end = [], at
         while part := _STRING.match(text, end):
             if parts and not part[0].strip().startswith(("+", '"', "'")):
@@ -108,15 +116,34 @@ def name_score(name: str) -> int:
     return score - 2 * bool(found & HARMLESS)
 
 
-def literal_score(value: str) -> int:
-    """How much a literal looks like a key rather than a word, a number or a placeholder."""
-    if len(value) < LEAST_VALUE or PLACEHOLDER.search(value) or any(c.isspace() for c in value):
+def gap_malus(value: str, phrase: bool) -> int:
+    """What white space takes from a literal's score: most from prose, little from groups of random signs."""
+    words = value.split()
+    if len(words) == 1 and len(words[0]) == len(value):
+        return 0
+    if phrase:
+        return 0 if len(words) > 1 else 2
+    mixed = sum(len(w) for w in words if not _PLAIN_WORD.fullmatch(w))
+    return 2 if 2 * mixed >= sum(map(len, words)) > 0 else 4
+
+
+def literal_score(value: str, phrase: bool = False) -> int:
+    """How much a literal looks like a key rather than a word, a number or a placeholder; ``phrase`` if its name asks for words."""
+    if len(value) < LEAST_VALUE or PLACEHOLDER.search(value) or FILLED_IN.fullmatch(value):
         return -9
     n = len(value)
     entropy = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
     kinds = sum(map(bool, (re.search("[a-z]", value), re.search("[A-Z]", value), re.search("[0-9]", value), re.search("[^A-Za-z0-9]", value))))
     spoken = bool({w.lower() for w in _NAME_WORD.findall(value)} & STRONG)
-    return (kinds > 1) + (kinds > 2) + (entropy >= 3) + (n >= 16) - 2 * spoken
+    return (kinds > 1) + (kinds > 2) + (entropy >= 3) + (n >= 16) - 2 * spoken - gap_malus(value, phrase)
+
+
+def score(name: str, value: str) -> int:
+    """How likely ``value`` is a secret of the name ``name``; 0 if the name is not sensitive."""
+    own = name_score(name)
+    words = {w.lower() for w in _NAME_WORD.findall(name)}
+    phrase = bool(words & PHRASE) and not words & HARMLESS
+    return own + literal_score(value, phrase) if own > 0 else 0
 
 
 def find(text: str, least_score: int = 4) -> list[tuple[int, int, int, int]]:
@@ -128,8 +155,7 @@ def find(text: str, least_score: int = 4) -> list[tuple[int, int, int, int]]:
                 spans.append((m.start(), 0, m.end(), m.start(2)))
         seen = set()
         for p in pairs(text):
-            own = name_score(p.name)
-            if own > 0 and (p.start, p.end) not in seen and own + literal_score(p.value) >= least_score:
+            if (p.start, p.end) not in seen and score(p.name, p.value) >= least_score:
                 seen.add((p.start, p.end))
                 spans.append((p.start, 3, p.end, p.start))
     if "AKIA" in text:

@@ -110,3 +110,29 @@ def test_constants_flow_whatever_is_behind_a_reference(ref, behind):
 def test_dotted_constants_by_whole_name_first():
     found = list(pairs('a.k = "one"\nb.k = "two"\nx = a.k\ny = c.k\nz = k // note\n'))
     assert [p.value for p in found] == ["one", "two", "one", "two", "two"]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        'db_pwd = "q7%Zp2Lm9Xc4Vb8"', 'pwd = "q7{Zp2Lm9}Xc4Vb8"', 'pwd = "<q7Zp2Lm9Xc4Vb8"', 'passphrase = "correct horse battery staple"', "passphrase: 'vivid 42 otters hum'",
+        'db_pwd = "q7Zp 2Lm9 Xc4V b8Nk"', f'{"a" * 200}.db_pwd = "{KEY}"', f'pwd{" " * 200}= "{KEY}"', f'pwd: Dict[{"str, " * 60}str] = "{KEY}"',
+    ],
+)
+def test_literals_with_gaps_and_signs(text):
+    spans = [s for s in find(text) if s[1] == 3]
+    assert len(spans) == 1
+    quote = '"' if '"' in text else "'"
+    assert text[spans[0][0] : spans[0][2]] == text.split(quote)[1]
+    assert text.split(quote)[1] not in mask(text, "#")
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        'pwd = "<the password>"', 'pwd = "{db_password}"', 'pwd = "${DB_PASSWORD}"', "pwd = '%(password)s'", 'pwd = "%DB_PASSWORD%"', 'pwd = "%s:%s-%s%s"', 'pwd = "{user}:{other_name}"',
+        'passphrase_hint = "the name of your first pet"', 'passphrase = "        "', 'secret = "uses SHA256 for hashing"',
+    ],
+)
+def test_whole_placeholders_and_prose(text):
+    assert find(text) == []
