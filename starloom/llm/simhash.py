@@ -19,6 +19,7 @@ no candidate for the smallest one. An empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -251,6 +252,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_classes(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataFrame:
     """``doc_id, fingerprint`` as a long and ``component_id``, the smallest ``doc_id`` that links reach."""
+    return _rooted_classes(docs, shingle, budget).select("doc_id", "fingerprint", "component_id")
+
+
+def _rooted_classes(docs: DataFrame, shingle: int, budget: int) -> DataFrame:
+    """``near_classes`` with ``root``, the smallest fingerprint of a class; unlike ``component_id`` no two classes share it."""
     prints = staged(fingerprints(docs, shingle), "fingerprints")
     # One row per fingerprint, so that a third of all rows with one text is one row here.
     distinct = staged(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
@@ -258,38 +264,47 @@ def near_classes(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataFram
     rooted = distinct.join(stars.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "fingerprint"))
     classes = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = rooted.join(classes, "root").select("fingerprint", "component_id")
-    return prints.join(of, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    of = rooted.join(classes, "root").select("fingerprint", "component_id", "root")
+    return prints.join(of, "fingerprint").select("doc_id", "fingerprint", "component_id", "root")
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataFrame:
     """One document of each class, that of the smallest ``doc_id``, with all its columns.
 
-    Of rows that repeat this ``doc_id`` one stays. A class without any ``doc_id``
-    keeps one row.
+    Of rows of a class that repeat this ``doc_id`` the one with the smallest hash of
+    its content stays; the same id may stay for several classes. A class without any
+    ``doc_id`` keeps one row, by that hash too.
     """
-    classes = staged(near_classes(docs, shingle, budget), "classes")
+    classes = staged(_rooted_classes(docs, shingle, budget), "classes")
     here = free_name(docs, "keep_id")
-    first = classes.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    single = first.where("n = 1").select(F.col("doc_id").alias(here))
-    several = staged(first.where("n > 1").select(F.col("doc_id").alias(here)), "repeated-ids")
+    is_first = F.col("doc_id") == F.col("component_id")
+    ids = classes.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(is_first).alias("first"))
+    ids = ids.where("first").select(F.col("doc_id").alias(here), "n")
     match = docs["doc_id"].cast("long") == F.col(here)
-    kept = docs.join(single, match, "left_semi")
+    kept = docs.join(ids.where("n = 1"), match, "left_semi")
+    several = staged(ids.where("n > 1").select(here), "repeated-ids")
+    heads = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fingerprint", "root").distinct()
     if not several.isEmpty():
-        kept = kept.unionByName(docs.join(several, match, "left_semi").dropDuplicates(["doc_id"]))
-    nameless = classes.where("component_id is null").select("fingerprint").distinct()
+        own = heads.join(several, heads["doc_id"] == several[here], "left_semi")
+        kept = kept.unionByName(_one_per_root(docs.join(several, match, "left_semi"), own, shingle))
+    nameless = heads.where("doc_id is null")
     if not nameless.isEmpty():
         # Only rows without an id are in such classes; equal texts have equal fingerprints.
-        own = docs.where(F.col("doc_id").isNull())
-        kept = kept.unionByName(_one_per_class(own, shingle, budget, nameless))
+        kept = kept.unionByName(_one_per_root(docs.where(F.col("doc_id").isNull()), nameless, shingle))
     return kept
 
 
-def _one_per_class(rows: DataFrame, shingle: int, budget: int, prints: DataFrame) -> DataFrame:
-    """Of rows without ``doc_id`` the first of each class among ``prints``, by fingerprint and content."""
+def _one_per_root(rows: DataFrame, heads: DataFrame, shingle: int) -> DataFrame:
+    """Of ``rows`` one for each root of ``heads``, the first by content among those with a head's id and fingerprint."""
     row = free_name(rows, "row_number")
-    named = staged(rows.withColumn(row, F.monotonically_increasing_id()), "rows-without-id")
-    as_docs = named.select(F.col(row).alias("doc_id"), "text")
-    first = near_classes(as_docs, shingle, budget).join(prints, "fingerprint", "left_semi")
-    first = first.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(row))
-    return named.join(first, row, "left_semi").drop(row)
+    named = staged(rows.withColumn(row, F.monotonically_increasing_id()), "rows-to-choose-from")
+    # Maps have no hash; rows that differ in those alone are alike.
+    hashed = [F.col(f"`{f.name}`") for f in rows.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    rank = F.struct(F.xxhash64(*hashed).alias("content"), F.col(row).alias("number"))
+    ranked = named.select(F.col(row).alias("number"), F.col("doc_id").cast("long").alias("id"), rank.alias("rank"))
+    prints = fingerprints(named.select(F.col(row).alias("doc_id"), "text"), shingle).withColumnRenamed("doc_id", "number")
+    # One row per id and fingerprint before classes are looked up.
+    ranked = ranked.join(prints, "number").groupBy("id", "fingerprint").agg(F.min("rank").alias("rank"))
+    same = F.col("id").eqNullSafe(heads["doc_id"]) & (ranked["fingerprint"] == heads["fingerprint"])
+    first = ranked.join(heads, same).groupBy("root").agg(F.min("rank").alias("rank"))
+    return named.join(first.select(F.col("rank.number").alias(row)), row, "left_semi").drop(row)
