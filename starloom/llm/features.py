@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starloom.llm.tables import spread, words
+from starloom.llm.tables import documents, spread, staged, words
 
 # Odd multipliers: fractions of the golden ratio, of the roots of 2 and of 3, in 64 bits.
 _MIX = np.array([0x9E3779B97F4A7C15, 0x6A09E667F3BCC909, 0xBB67AE8584CAA73B], np.uint64)
@@ -80,6 +80,24 @@ def labelled_sample(labels: DataFrame, label: str, rows: int, usable: Column | N
     return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
+def sample_texts(docs: DataFrame, sample: DataFrame, most_bytes: int) -> DataFrame:
+    """``doc_id, text, label`` of the sampled documents, ``most_bytes`` of text at most, by a hash of the id.
+
+    Of rows that share an id the one whose text has the smallest hash takes part. A text that
+    alone is above the bound takes none.
+    """
+    texts = documents(docs).join(F.broadcast(sample), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text"))).alias("one")
+    texts = staged(texts.groupBy("doc_id", "label").agg(one).select("doc_id", "one.text", "label"), "sample-texts")
+    # A row of a few bytes for each sampled id.
+    sizes = texts.select("doc_id", F.octet_length("text").cast("long").alias("bytes")).where(F.col("bytes") <= most_bytes)
+    if (sizes.agg(F.sum("bytes")).first()[0] or 0) <= most_bytes:
+        return texts.where(F.octet_length("text") <= most_bytes)
+    upto = Window.orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fitting = sizes.withColumn("total", F.sum("bytes").over(upto)).where(F.col("total") <= most_bytes)
+    return texts.join(F.broadcast(fitting.select("doc_id")), "doc_id", "left_semi")
+
+
 def one_task(sample: DataFrame) -> DataFrame:
     """The bounded sample in one partition, in an order that does not depend on the layout of the data."""
     return sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id", F.lit(1)), "doc_id")

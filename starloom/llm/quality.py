@@ -4,8 +4,8 @@ Features are the relative frequencies of word n-grams (one and two words) and of
 character n-grams (one to three), hashed into tables of 2^BITS weights. The model
 is trained on labelled quality rows, its log-odds are calibrated on rows that
 training did not see, and the verdict is a fixed threshold on the probability.
-Training reads a sample of at most about ``sample_rows`` labelled documents in one
-task; counting and scoring read all texts, in Arrow batches.
+Training reads a sample of at most about ``sample_rows`` labelled documents, a row of
+each and ``sample_bytes`` of text at most, in one task; counting and scoring read all texts, in Arrow batches.
 
 Windows of words are compared by 64-bit hashes. A null text has no words; texts
 without words fail the counted limits. Rows with equal or null ``doc_id`` are
@@ -22,8 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.features import char_grams, gather_lists, labelled_sample, logistic, one_task, run_sums, word_grams, word_hashes
-from starloom.llm.tables import documents, list_parts, slices
+from starloom.llm.features import char_grams, gather_lists, labelled_sample, logistic, one_task, run_sums, sample_texts, word_grams, word_hashes
+from starloom.llm.tables import list_parts, slices
 
 BITS = 18
 CHARS = 3
@@ -36,11 +36,12 @@ SPACES = " \t\n\v\f\r"
 
 @dataclass
 class Settings:
-    """Limits of the counted rules, the bound on the sample, and how the model is trained and used."""
+    """Limits of the counted rules, the bounds on the sample, and how the model is trained and used."""
 
     least_words: int = 20
     most_repeated_percent: int = 30
     sample_rows: int = 5_000
+    sample_bytes: int = 64 << 20
     passes: int = 6
     rate: float = 0.5
     l2: float = 1e-6
@@ -153,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, settings: Settings) -> t
 
     sample = labelled_sample(labels, label, settings.sample_rows)
     # About sample_rows rows of 12 bytes at most.
-    texts = documents(docs).join(F.broadcast(sample), "doc_id")
+    texts = sample_texts(docs, sample, settings.sample_bytes)
     texts = one_task(texts.select("doc_id", "text", word_hashes(F.col("text")).alias("hashes"), "label"))
     # At most KINDS * 2^BITS + 1 rows.
     found = texts.mapInArrow(run, "place long, weight double").toArrow()

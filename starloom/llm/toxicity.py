@@ -4,7 +4,7 @@ Features are whether a text has a word (letters and digits, in lower case), a
 pair of adjacent words, or a pair with one word between, by 64-bit hashes. Each coordinate has its own learning rate,
 and the L1 term leaves most weights at exactly zero, so that the model is a small
 sorted table of hashes and weights. Training reads a sample of at most about
-``sample_rows`` labelled documents in one task; scoring reads all texts.
+``sample_rows`` labelled documents, a row of each and ``sample_bytes`` of text at most, in one task; scoring reads all texts.
 
 A null text is empty; an empty text gets the score of the intercept. Rows with
 equal or null ``doc_id`` are scored each by itself; a null one is not held out.
@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starloom.llm.features import labelled_sample, logistic, one_task, word_grams, word_hashes
+from starloom.llm.features import labelled_sample, logistic, one_task, sample_texts, word_grams, word_hashes
 from starloom.llm.tables import documents, list_parts, slices
 
 GAPS = (1, 2)
@@ -28,13 +28,14 @@ GAPS = (1, 2)
 
 @dataclass
 class Ftrl:
-    """Settings; a bound on the sample, passes over it, and the usual four numbers of the method.
+    """Settings; bounds on the sample, passes over it, and the usual four numbers of the method.
 
     A feature has to occur in ``least_texts`` sample texts. Rows of label 1, which
     are few, count ``positive_weight`` times.
     """
 
     sample_rows: int = 12_000
+    sample_bytes: int = 64 << 20
     least_texts: int = 3
     passes: int = 5
     positive_weight: float = 3.0
@@ -109,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, settings: Ftrl) -> tuple
 
     sample = labelled_sample(labels, label, settings.sample_rows, ~held_out(F.col("doc_id")))
     # About sample_rows rows of 12 bytes at most.
-    texts = documents(docs).join(F.broadcast(sample), "doc_id")
+    texts = sample_texts(docs, sample, settings.sample_bytes)
     texts = one_task(texts.select("doc_id", _hashed(F.col("text")).alias("hashes"), "label"))
     # The L1 term and the bounded sample bound the rows.
     found = texts.mapInArrow(run, "gram long, weight double, intercept boolean").collect()

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 from cases import SMALL, bag, make_docs
 
+from starloom.llm.features import sample_texts
 from starloom.llm.quality import calibrate, keep_good, quality
 from starloom.llm.queries import QUERIES
 
@@ -81,3 +82,21 @@ def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert quality(make_docs(spark, []), none).count() == 0
     assert keep_good(make_docs(spark, []), none).count() == 0
+
+
+def test_sample_is_one_row_an_id_and_bounded_by_bytes(spark):
+    rows = [(1, f"text {i}") for i in range(50)] + [(2, "x" * 100), (3, "y" * 100), (4, "z" * 1000)]
+    sample = spark.createDataFrame([(i, 1) for i in range(1, 5)], "doc_id long, label int")
+    for given in (rows, rows[::-1]):
+        found = bag(sample_texts(make_docs(spark, given), sample, 1 << 20).select("doc_id", "text"))
+        assert [i for i, _ in found] == [1, 2, 3, 4]
+        assert found == bag(sample_texts(make_docs(spark, rows), sample, 1 << 20).select("doc_id", "text"))
+    small = bag(sample_texts(make_docs(spark, rows), sample, 150).select("doc_id", "text"))
+    assert 1 <= len(small) <= 2 and sum(len(t) for _, t in small) <= 150 and 4 not in dict(small)
+
+
+def test_repeated_ids_train_by_one_row(spark):
+    rows, labels = made_texts(120)
+    table = spark.createDataFrame(labels, "doc_id long, quality int")
+    one, two = (quality(make_docs(spark, x), table).where("doc_id > 0").distinct() for x in (rows, rows + rows[:1] * 40))
+    assert bag(one) == bag(two)
