@@ -16,6 +16,9 @@ on behind it. Parts shorter than the longest must be written in a usual way: car
 groups of four digits or more, the last one excepted; account numbers as long as their
 country's are.
 
+Dates from 1900-01-01 to 2100-05-01 are permuted; earlier and later ones count as not
+valid and stay in clear text.
+
 Everything is SQL expressions on whole texts. A null text stays null. Rows with equal
 or null ``doc_id`` are rewritten each by itself. An empty table gives no rows.
 """
@@ -65,7 +68,7 @@ _AMERICAN = r"^\+1[ .-]?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}$"
 _ALPHABETS = {"9": ("0", 10), "a": ("a", 26), "A": ("A", 26), "h": ("0", 16), "n": ("2", 8), "m": ("1", 8)}
 _HEX = "0123456789abcdef"
 
-_FIRST_DAY, _DAYS = "1900-01-01", (270, 271)  # 73,170 days, to 2100-05-02
+_FIRST_DAY, _DAYS = "1900-01-01", (270, 271)  # 73,170 days, to 2100-05-01
 
 
 def _draws(key: str, kind: str, round_: Column, other: Column) -> Column:

@@ -5,6 +5,7 @@ import pytest
 from cases import SMALL, bag, make_docs
 from pyspark.sql import functions as F
 
+from starloom.llm import pseudonyms
 from starloom.llm.pseudonyms import permuted, pseudonymised
 from starloom.llm.queries import QUERIES
 
@@ -167,3 +168,10 @@ def test_many_values_in_one_text(spark):
     text = " ".join(f"{i} 4111 1111 1111 1111" for i in range(1500))
     row = pseudonymised(make_docs(spark, [(1, text)]), KEY).first()
     assert row.n_card == 1500 and "4111" not in re.sub(r"(?<![0-9])[0-9]{1,4} (?=[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4})", "", row.text)
+
+
+def test_dates_outside_the_stated_range_stay(spark):
+    days = ["1899-12-31", "1900-01-01", "2100-05-01", "2100-05-02"]
+    found = {r.doc_id: r for r in pseudonymised(make_docs(spark, list(enumerate(days))), KEY).collect()}
+    assert [found[i].n_date for i in range(4)] == [0, 1, 1, 0]
+    assert "1900-01-01 to 2100-05-01" in pseudonyms.__doc__
