@@ -49,4 +49,37 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
-ORACLE = {"op5_mixing": _MIXING, "op9_top_k": _TOP_K}
+# Every distance in every round; a round's three tables follow from those of the round before.
+_START = """
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+o AS (SELECT e, row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR) NULLS LAST, e) - 1 AS n FROM v),
+c0 AS MATERIALIZED (SELECT n, e FROM o WHERE n < 16)"""
+_ASSIGN = """,
+d{0} AS (
+    SELECT v.r, c.n, list_sum(list_transform(range(1, 65), lambda i: (v.e[i] - c.e[i]) * (v.e[i] - c.e[i])))::BIGINT AS distance
+    FROM v CROSS JOIN c{0} c),
+a{0} AS MATERIALIZED (
+    SELECT r, n, distance FROM d{0} QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, n) = 1)"""
+_MOVE = """,
+s{0} AS (
+    SELECT a.n, u.i, sum(v.e[u.i])::HUGEINT AS total, count(*)::HUGEINT AS size
+    FROM a{0} a JOIN v USING (r) CROSS JOIN (SELECT unnest(range(1, 65)) AS i) u
+    GROUP BY a.n, u.i),
+m{0} AS (SELECT n, list(((total - ((total % size) + size) % size) // size)::BIGINT ORDER BY i) AS e FROM s{0} GROUP BY n),
+c{1} AS MATERIALIZED (SELECT c.n, coalesce(m.e, c.e) AS e FROM c{0} c LEFT JOIN m{0} m USING (n))"""
+_CENTROIDS = (
+    _START
+    + "".join(_ASSIGN.format(i) + _MOVE.format(i, i + 1) for i in range(3))
+    + _ASSIGN.format(3)
+    + """
+SELECT v.vec_id, a.n::INTEGER AS cluster, a.distance,
+    (sum(a.distance) OVER (PARTITION BY a.n))::BIGINT AS cluster_inertia, (sum(a.distance) OVER ())::BIGINT AS inertia,
+    sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a3 a JOIN v USING (r) JOIN c3 c ON a.n = c.n
+"""
+)
+
+ORACLE = {"op5_mixing": _MIXING, "op9_top_k": _TOP_K, "op12_centroids": _CENTROIDS}

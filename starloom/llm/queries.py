@@ -11,6 +11,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import starloom
+from starloom.llm.centroids import centroid_clusters, clusters_with_inertia
 from starloom.llm.huffman import read_ids, write_ids
 from starloom.llm.mixing import mixed
 from starloom.llm.oracle import ORACLE  # noqa: F401
@@ -121,3 +122,8 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_classes(read(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
+@registered
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters_with_inertia(centroid_clusters(read(spark, sf_dir, "embeddings"), k=16, rounds=3, width=64, scale=64, seed=1))
