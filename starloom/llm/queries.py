@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import starloom
 from starloom.llm.centroids import centroid_clusters, clusters_with_inertia
 from starloom.llm.huffman import read_ids, write_ids
+from starloom.llm.languages import identified
 from starloom.llm.mixing import mixed
 from starloom.llm.oracle import ORACLE  # noqa: F401
 from starloom.llm.packing import packed
@@ -127,3 +128,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters_with_inertia(centroid_clusters(read(spark, sf_dir, "embeddings"), k=16, rounds=3, width=64, scale=64, seed=1))
+
+
+@registered
+def op13_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identified(read(spark, sf_dir, "documents"))
