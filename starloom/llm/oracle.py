@@ -49,6 +49,40 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
+# All pairs of equal words of a text, islands of pairs at one distance, and of islands at one place the shortest period.
+_RUNS = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+        list_reduce(
+            list_concat([4294967295::BIGINT], list_transform(range(1, len(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+            lambda c, b: list_reduce(
+                list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, zero: xor(x >> 1, 3988292384 * (x & 1)))) AS state
+    FROM documents),
+h AS (SELECT *, xor(state, 4294967295) AS h, xor(state, 4294967295) // 10 AS g, len(w)::BIGINT AS n FROM d),
+a AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM h),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+t AS MATERIALIZED (
+    SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+        THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w
+    FROM p),
+u AS MATERIALIZED (SELECT r, unnest(range(n)) AS i, unnest(w) AS word FROM t),
+-- A word that is not there four times in the text is in no run.
+f AS (SELECT * FROM u QUALIFY count(*) OVER (PARTITION BY r, word) >= 4),
+m AS (SELECT x.r, x.i, y.i - x.i AS q FROM f x JOIN f y ON x.r = y.r AND x.word = y.word AND y.i > x.i),
+s AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM m),
+e AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM s GROUP BY r, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+o AS MATERIALIZED (SELECT r, start, length, min(q) AS period FROM e GROUP BY r, start, length),
+c AS (SELECT DISTINCT o.r, unnest(range(o.start + o.period, o.start + o.length)) AS i FROM o),
+k AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS kept FROM (SELECT u.* FROM u ANTI JOIN c USING (r, i)) GROUP BY r),
+l AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM o GROUP BY r),
+b AS (
+    SELECT * FROM o
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY length::DOUBLE / period DESC, start, period) = 1)
+SELECT t.doc_id, coalesce(l.n_runs, 0)::BIGINT AS n_runs, b.start::BIGINT AS start, b.length::BIGINT AS length, b.period::BIGINT AS period,
+    (1000 * b.length // b.period)::BIGINT AS exponent_milli, sha256(coalesce(l.lines, '')) AS runs_sha256, sha256(coalesce(k.kept, '')) AS collapsed_sha256
+FROM t LEFT JOIN l USING (r) LEFT JOIN b USING (r) LEFT JOIN k USING (r)
+"""
+
 # Every distance in every round; a round's three tables follow from those of the round before.
 _START = """
 WITH v AS MATERIALIZED (
@@ -82,4 +116,4 @@ FROM a3 a JOIN v USING (r) JOIN c3 c ON a.n = c.n
 """
 )
 
-ORACLE = {"op5_mixing": _MIXING, "op9_top_k": _TOP_K, "op12_centroids": _CENTROIDS}
+ORACLE = {"op5_mixing": _MIXING, "op9_top_k": _TOP_K, "op11_periodic_runs": _RUNS, "op12_centroids": _CENTROIDS}

@@ -19,6 +19,7 @@ from starloom.llm.oracle import ORACLE  # noqa: F401
 from starloom.llm.packing import packed
 from starloom.llm.pseudonyms import pseudonymised
 from starloom.llm.quality import quality
+from starloom.llm.runs import periodic_runs, planted, run_digest
 from starloom.llm.secret_scan import secret_digest
 from starloom.llm.simhash import near_classes
 from starloom.llm.token_counts import token_counts
@@ -125,6 +126,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+@registered
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(periodic_runs(planted(read(spark, sf_dir, "documents"))))
+
+
 @registered
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters_with_inertia(centroid_clusters(read(spark, sf_dir, "embeddings"), k=16, rounds=3, width=64, scale=64, seed=1))
