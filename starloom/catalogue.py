@@ -141,13 +141,19 @@ def surrogate_key_append(spark: SparkSession, folder: str) -> DataFrame:
     lakehouse = _lakehouse(spark, "key-append")
     reports = []
     for batch in BATCHES:
-        before = lakehouse.dimensions()
+        before = {}
+        for name, dim in lakehouse.dimensions().items():
+            # The refresh replaces the files of the table.
+            path = new_folder(spark, "before")
+            dim.write.parquet(path)
+            before[name] = read_parquet(spark, path, dim.schema)
         lakehouse.refresh_dimensions(lakehouse.write_silver(order_lines.bronze_batch(spark, folder, batch), str(batch)))
         after = lakehouse.dimensions()
+        lines = []
         for spec in DIMENSIONS:
             highest = highest_key(before[spec.name], spec.key)
             appended = F.when(F.col(spec.key) > highest, F.col(spec.key))
-            reports.append(
+            lines.append(
                 after[spec.name].agg(
                     F.lit(spec.name).alias("dim"),
                     F.lit(batch).alias("batch"),
@@ -157,6 +163,9 @@ def surrogate_key_append(spark: SparkSession, folder: str) -> DataFrame:
                     F.count(appended).alias("n_new"),
                 )
             )
+        report, path = reduce(DataFrame.unionByName, lines), new_folder(spark, "report")
+        report.write.parquet(path)
+        reports.append(read_parquet(spark, path, report.schema))
     return reduce(DataFrame.unionByName, reports)
 
 
@@ -271,7 +280,7 @@ def fact_by_date_range(spark: SparkSession, folder: str) -> DataFrame:
     lakehouse.reload(order_lines.bronze_sales(spark, folder), on_duplicate="keep")
     fact = spark.table(f"{lakehouse.gold_schema}.fact_sales")
     return marts.fact_by_date_range(
-        fact, lakehouse.dims[DATE.name].read(), *DATE_RANGE, lakehouse.fact.part_name, lakehouse.fact.part_of
+        fact, lakehouse.dims[DATE.name].read(), *DATE_RANGE, lakehouse.fact_part, lakehouse.fact_part_of
     )
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -12,29 +11,29 @@ from operator import and_
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from starloom.operators.lookup import Size, measure, star_lookup
 from starloom.operators.upsert import require_unique, upsert
 from starloom.plans.dimension import apply_members, stage_members
 from starloom.plans.fact import build_fact, key_lookups, to_grain
 from starloom.plans.silver import to_silver
-from starloom.schemas import DATE, DIMENSIONS, FACT, FACT_KEYS, SILVER, DimSpec, no_rows, same
+from starloom.schemas import DATE, DIMENSIONS, FACT, FACT_KEYS, SILVER, DimSpec, same
 from starloom.session import new_folder
-from starloom.sources.files import on_files, read_parquet
-from starloom.sources.snapshots import SnapshotTable, drop_folder, folders, range_bucket, replace_folder, restore_folders
+from starloom.sources.files import read_parquet
+from starloom.sources.tables import CatalogTable, drop_folder, hash_bucket, range_bucket
 
 ON_DUPLICATE = ("raise", "aggregate", "keep")
 
 
 class Lakehouse:
-    """Silver and gold tables under one folder.
+    """Silver and gold tables under one folder, external tables of the catalog.
 
     Whether a table is built or refreshed follows from what the folder holds,
-    not from a flag that could disagree with it. The fact is partitioned by
-    ranges of ``dates_per_part`` date keys. Date keys grow with arrival and are
-    part of the merge key, so an increment rewrites the partitions of its own
-    dates and leaves all others unread.
+    not from a flag that could disagree with it. Silver is partitioned by a hash of
+    the date id, which needs no table and no order of ids, and by batch; the fact by ranges of
+    ``dates_per_part`` date keys, which grow with arrival. Both are parts of the merge
+    key, so an increment reads and rewrites the partitions of its own dates and leaves all others unread.
     """
 
     def __init__(
@@ -44,74 +43,52 @@ class Lakehouse:
         silver_schema: str = "silver",
         gold_schema: str = "gold",
         dates_per_part: int = 64,
+        silver_buckets: int = 64,
     ):
         self.spark, self.root = spark, root.rstrip("/")
         self.silver_schema, self.gold_schema = silver_schema, gold_schema
         self.silver_path = f"{self.root}/silver/sales"
-        self.dates_per_part = dates_per_part
-        self._measured: dict[str, tuple[str, Size]] = {}
-        self.dims = {s.name: SnapshotTable(spark, f"{self.root}/gold/{s.table}", s.schema) for s in DIMENSIONS}
-        self.fact = SnapshotTable(
+        self._measured: dict[str, Size] = {}
+        self.bucket, bucket_of = f"date_hash_{silver_buckets}", hash_bucket(DATE.source_id, silver_buckets)
+        self.lines = CatalogTable(
             spark,
-            f"{self.root}/gold/fact_sales",
-            FACT,
-            part_name=f"date_keys_by_{dates_per_part}",
-            part_of=range_bucket("dim_date_key", dates_per_part),
-            order_in_part="dim_date_key",
+            f"{silver_schema}.sales_lines",
+            self.silver_path,
+            SILVER,
+            {self.bucket: (IntegerType(), bucket_of), "batch": (StringType(), F.col("batch"))},
+            DATE.source_id,
         )
+        self.dims = {s.name: CatalogTable(spark, f"{gold_schema}.{s.table}", f"{self.root}/gold/{s.table}", s.schema) for s in DIMENSIONS}
+        self.fact_part, self.fact_part_of = f"date_keys_by_{dates_per_part}", range_bucket("dim_date_key", dates_per_part)
+        self.fact = CatalogTable(
+            spark, f"{gold_schema}.fact_sales", f"{self.root}/gold/fact_sales", FACT,
+            {self.fact_part: (IntegerType(), self.fact_part_of)}, "dim_date_key",
+        )
 
     # -- silver ---------------------------------------------------------------
 
     def write_silver(self, bronze: DataFrame, batch: str | None = None) -> DataFrame:
         """Rebuild silver from all of bronze, or write one batch of it, and read back what was written.
 
-        Writing a batch again replaces that batch alone. The rows are written to a
-        folder of their own first; the old ones go once that has succeeded. The
-        write has no shuffle and no sort.
+        Writing a batch again replaces that batch alone.
         """
-        with self._incoming() as incoming:
-            self._write_incoming(bronze, incoming, batch)
-            self._switch(incoming, whole=batch is None)
-        return self.silver(batch or "all")
+        with self._incoming(bronze, batch):
+            self.lines.put(None if batch is None else F.col("batch") == batch)
+        return self.silver(batch)
 
     @contextmanager
-    def _incoming(self) -> Iterator[str]:
-        """A hidden folder next to silver for rows that do not count yet; gone afterwards, also after an error."""
-        restore_folders(self.spark, f"{self.root}/silver")
-        restore_folders(self.spark, self.silver_path)
-        path = f"{self.root}/silver/_incoming-{uuid.uuid4().hex[:12]}"
-        try:
-            yield path
-        finally:
-            drop_folder(self.spark, path)
-
-    def _write_incoming(self, bronze: DataFrame, incoming: str, batch: str | None) -> None:
-        """Write silver rows as one batch, or with ``batch`` as a column of ``bronze`` each to its own."""
+    def _incoming(self, bronze: DataFrame, batch: str | None) -> Iterator[DataFrame]:
+        """Silver rows of one batch, written aside: they do not count yet."""
         name = "all" if batch is None else batch
         if not re.fullmatch(r"[\w-]+", name):
             raise ValueError(f"batch names a folder; use letters, digits, _ and - instead of {name!r}")
-        to_silver(bronze).write.parquet(f"{incoming}/batch={name}")
-
-    def _switch(self, incoming: str, whole: bool) -> None:
-        """Let the incoming batches take the place of those of the same name, or of all of silver."""
-        if whole:
-            replace_folder(self.spark, incoming, self.silver_path)
-            return
-        for name in folders(self.spark, incoming):
-            if name.startswith("batch="):
-                replace_folder(self.spark, f"{incoming}/{name}", f"{self.silver_path}/{name}")
-
-    def _batches(self, path: str) -> DataFrame:
-        """Silver rows below ``path`` with the batch that each is from; none if there is no such folder."""
-        schema = StructType([*SILVER.fields, StructField("batch", StringType())])
-        if not any(n.startswith("batch=") for n in folders(self.spark, path)):
-            return no_rows(self.spark, schema)
-        return read_parquet(self.spark, path, schema)
+        with self.lines.staged(to_silver(bronze).withColumn("batch", F.lit(name))) as rows:
+            yield rows
 
     def silver(self, batch: str | None = None) -> DataFrame:
-        """All of silver, or one batch, of which only its own folder is listed."""
-        path = self.silver_path if batch is None else f"{self.silver_path}/batch={batch}"
-        return read_parquet(self.spark, path, SILVER).select(SILVER.fieldNames())
+        """All of silver, or one batch, of which only its own folders are listed."""
+        rows = self.lines.read("batch")
+        return (rows if batch is None else rows.where(F.col("batch") == batch)).drop("batch")
 
     # -- gold -----------------------------------------------------------------
 
@@ -123,7 +100,8 @@ class Lakehouse:
         try:
             staged = stage_members(spec, silver, existing, path)
             if not table.exists() or not staged.where("changed").isEmpty():
-                table.write(apply_members(spec, staged, existing))
+                table.replace(apply_members(spec, staged, existing))
+                self._measured.pop(spec.name, None)
         finally:
             drop_folder(self.spark, path)
 
@@ -139,13 +117,11 @@ class Lakehouse:
         return {name: table.read() for name, table in self.dims.items()}
 
     def _sizes(self) -> list[Size]:
-        """Sizes of the dimensions, whose ids are checked to be unique; measured once per snapshot, in one job for all."""
-        lookups = dict(zip(self.dims, key_lookups(self.dimensions())))
-        stale = [n for n, t in self.dims.items() if self._measured.get(n, ("",))[0] != t.version()]
+        """Sizes of the dimensions, whose ids are checked to be unique; measured again once they change, in one job for all."""
+        stale = {n: lookup for n, lookup in zip(self.dims, key_lookups(self.dimensions())) if n not in self._measured}
         if stale:
-            found = measure([lookups[n] for n in stale])
-            self._measured |= {n: (self.dims[n].version(), size) for n, size in zip(stale, found)}
-        return [self._measured[n][1] for n in self.dims]
+            self._measured |= dict(zip(stale, measure(list(stale.values()))))
+        return [self._measured[n] for n in self.dims]
 
     def load_fact(self, silver: DataFrame, on_duplicate: str = "raise", rebuild: bool = False) -> None:
         """Build the fact from ``silver``, or merge it in as an increment that replaces what it matches.
@@ -163,8 +139,7 @@ class Lakehouse:
         if on_duplicate == "aggregate":
             rows = to_grain(rows)
         if rebuild or not self.fact.exists():
-            audit = partial(require_unique, keys=FACT_KEYS) if on_duplicate == "raise" else None
-            self.fact.write(rows, audit)
+            self.fact.replace(rows, partial(require_unique, keys=FACT_KEYS) if on_duplicate == "raise" else None)
             return
         self.merge_fact(rows, unique=on_duplicate != "raise")
 
@@ -182,10 +157,12 @@ class Lakehouse:
             if not unique:
                 require_unique(rows, FACT_KEYS)
             keys = rows if touched is None else touched
-            parts = {r[0] for r in keys.select(self.fact.part_of.alias("part")).distinct().collect()}
+            parts = [r[0] for r in keys.select(self.fact_part_of.alias("part")).distinct().collect()]
             if parts:
-                merged = upsert(self.fact.read(parts), rows, FACT_KEYS, unique=True, touched=touched)
-                self.fact.write_parts(merged, parts)
+                within = F.col(self.fact_part).isin(parts)
+                target = self.fact.read(self.fact_part).where(within).drop(self.fact_part)
+                with self.fact.staged(upsert(target, rows, FACT_KEYS, unique=True, touched=touched)):
+                    self.fact.put(within)
         finally:
             drop_folder(self.spark, path)
 
@@ -198,9 +175,8 @@ class Lakehouse:
         every combination of keys that the batch touches is computed anew from all of
         its lines. Silver changes last, so a refused batch leaves silver and fact as they were.
         """
-        with self._incoming() as incoming:
-            self._write_incoming(bronze, incoming, batch)
-            self._load(incoming, on_duplicate)
+        with self._incoming(bronze, batch) as new:
+            self._load(new, [batch], on_duplicate)
 
     def load_files(self, bronze: DataFrame, on_duplicate: str = "raise") -> None:
         """Like ``load_batch`` for rows of many files, whose paths are in the column ``file_path``.
@@ -208,45 +184,47 @@ class Lakehouse:
         Each file is a batch of its own, named by a digest of its path, so it makes no
         difference which files come together, nor whether some come again.
         """
-        with self._incoming() as incoming:
-            named = bronze.withColumn("batch", F.md5(F.col("file_path").cast("binary")))
-            to_silver(named, "batch").write.partitionBy("batch").parquet(incoming)
-            self._load(incoming, on_duplicate)
+        named = to_silver(bronze.withColumn("batch", F.md5(F.col("file_path").cast("binary"))), "batch")
+        with self.lines.staged(named) as new:
+            # As many names as files that come in now.
+            self._load(new, [r["batch"] for r in new.select("batch").distinct().collect()], on_duplicate)
 
-    def _load(self, incoming: str, on_duplicate: str) -> None:
+    def _load(self, new: DataFrame, names: list[str], on_duplicate: str) -> None:
         if on_duplicate not in ON_DUPLICATE:
             raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}")
-        # As many names as batches that come in now.
-        names = [n.partition("=")[2] for n in folders(self.spark, incoming) if n.startswith("batch=")]
-        new, present = self._batches(incoming), self._batches(self.silver_path)
         here = F.col("batch").isin(names) if names else F.lit(False)
-        silver = present.where(~here).unionByName(new).drop("batch")
+        present = self.lines.read(self.bucket, "batch")
+        silver = present.where(~here).unionByName(new)
         refresh = self.fact.exists()
-        self.refresh_dimensions(new.drop("batch") if refresh else silver)
+        self.refresh_dimensions(new if refresh else silver)
         if refresh:
             self._refresh_grains(new.unionByName(present.where(here)), silver, on_duplicate)
         else:
             self.load_fact(silver, on_duplicate, rebuild=True)
-        self._switch(incoming, whole=False)
+        if names:
+            self.lines.put(here)
         self.register()
 
-    def _refresh_grains(self, lines: DataFrame, silver: DataFrame, on_duplicate: str) -> None:
-        """Compute the fact rows of all combinations of ids in ``lines`` anew from all of ``silver``.
+    def lines_of(self, touched: DataFrame, silver: DataFrame) -> DataFrame:
+        """The rows of ``silver`` (with its bucket) whose four ids are in ``touched``, from the buckets that hold them.
 
-        Silver is read within the bounds of the lines' date ids only.
+        No more bucket numbers than ``silver_buckets`` reach the driver; the planner lists only their folders.
         """
         ids = [spec.source_id for spec in DIMENSIONS]
+        bucket_of = self.lines.parts[self.bucket][1]
+        buckets = [r[0] for r in touched.select(bucket_of.alias("bucket")).distinct().collect()]
+        within = F.col(self.bucket).isin(buckets) if buckets else F.lit(False)
+        match = reduce(and_, [same(f"silver.{c}", f"touched.{c}") for c in ids])
+        return silver.where(within).alias("silver").join(touched.alias("touched"), match, "left_semi")
+
+    def _refresh_grains(self, lines: DataFrame, silver: DataFrame, on_duplicate: str) -> None:
+        """Compute the fact rows of all combinations of ids in ``lines`` anew from all of ``silver``."""
+        ids = [spec.source_id for spec in DIMENSIONS]
         path = new_folder(self.spark, "touched-ids")
         try:
             lines.select(ids).distinct().write.parquet(path)
             touched = read_parquet(self.spark, path, StructType([SILVER[c] for c in ids]))
-            day = F.col(DATE.source_id)
-            low, high, missing = touched.agg(F.min(day), F.max(day), F.count_if(day.isNull())).first()
-            within = day.between(low, high) if low is not None else F.lit(False)
-            silver = silver.where(within | day.isNull() if missing else within)
-            match = reduce(and_, [same(f"silver.{c}", f"touched.{c}") for c in ids])
-            lines = silver.alias("silver").join(touched.alias("touched"), match, "left_semi")
-            rows = build_fact(lines, self.dimensions(), sizes=self._sizes())
+            rows = build_fact(self.lines_of(touched, silver), self.dimensions(), sizes=self._sizes())
             if on_duplicate == "aggregate":
                 rows = to_grain(rows)
             keys = star_lookup(touched, key_lookups(self.dimensions()), sizes=self._sizes()).select(FACT_KEYS)
@@ -256,19 +234,12 @@ class Lakehouse:
 
     def reload(self, bronze: DataFrame, on_duplicate: str = "raise") -> None:
         """Rebuild silver and the fact from all of bronze; members keep their keys. Silver changes last."""
-        with self._incoming() as incoming:
-            self._write_incoming(bronze, incoming, None)
-            silver = self._batches(incoming).drop("batch")
+        with self._incoming(bronze, None) as silver:
             self.refresh_dimensions(silver)
             self.load_fact(silver, on_duplicate, rebuild=True)
-            self._switch(incoming, whole=True)
+            self.lines.put()
         self.register()
 
-    def drop_superseded(self) -> None:
-        """Delete the folders that the current tables do not need; when no reader has older ones open."""
-        for table in (*self.dims.values(), self.fact):
-            table.drop_superseded()
-
     # -- catalog --------------------------------------------------------------
 
     def create_schemas(self) -> None:
@@ -279,13 +250,8 @@ class Lakehouse:
     def register(self) -> None:
         """Publish the current tables in the catalog; also what a new session calls first. What is not there yet is left out."""
         self.create_schemas()
-        if any(n.startswith("batch=") for n in folders(self.spark, self.silver_path)):
+        if self.lines.exists():
             columns = ", ".join(SILVER.fieldNames())
-            self.spark.sql(
-                f"CREATE OR REPLACE VIEW {self.silver_schema}.sales AS SELECT {columns} FROM {on_files(self.silver_path)}"
-            )
-        for spec in DIMENSIONS:
-            if self.dims[spec.name].exists():
-                self.dims[spec.name].register(f"{self.gold_schema}.{spec.table}")
-        if self.fact.exists():
-            self.fact.register(f"{self.gold_schema}.fact_sales")
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.silver_schema}.sales AS SELECT {columns} FROM {self.lines.name}")
+        for table in (*self.dims.values(), self.fact):
+            table.exists()

@@ -26,19 +26,24 @@ def build_session(app: str = "starloom", master: str = "local[8]", **conf: str)
     return spark
 
 
+# Folders of local applications whose session names none: a core setting cannot be set once the context runs.
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder under the checkpoint folder the cluster names.
 
     Without that setting a local session gets a temporary folder; a cluster
     session fails, since no executor could read another machine's folder.
     """
+    application = spark.sparkContext.applicationId
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="starloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/starloom/{spark.sparkContext.applicationId}"
+        base = _own_folders.setdefault(application, "") or tempfile.mkdtemp(prefix="starloom-")
+        _own_folders[application] = base
+    return f"{base.rstrip('/')}/starloom/{application}"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -2,9 +2,11 @@
 
 import os
 import re
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from conftest import SMALL
 from fixtures import DEFAULTS, bronze, plan, rows
@@ -17,7 +19,7 @@ from starloom.plans.marts import fact_by_date_range, star_rollup
 from starloom.plans.silver import to_silver
 from starloom.schemas import BRANCH, DATE, DEALER, DIMENSIONS, FACT, FACT_KEYS, MODEL, no_rows
 from starloom.sources.order_lines import bronze_batch, bronze_sales
-from starloom.sources.snapshots import SnapshotTable, range_bucket
+from starloom.sources.tables import CatalogTable, range_bucket
 from starloom.streaming import load_new_files
 
 
@@ -35,6 +37,16 @@ def loaded(spark, tmp_path_factory):
     return house
 
 
+def files(table, part=""):
+    """Names of a table's data files by folder, below one of its partitions if given."""
+    found = {}
+    for place, _, names in os.walk(os.path.join(table.path, part)):
+        data = sorted(n for n in names if n.endswith(".parquet"))
+        if data:
+            found[os.path.relpath(place, table.path)] = data
+    return found
+
+
 def state(lake):
     return {**{n: rows(t.read()) for n, t in lake.dims.items()}, "fact": rows(lake.fact.read())}
 
@@ -98,9 +110,10 @@ def test_lookup_tells_what_changes(spark, folder):
 
 def test_refresh_writes_nothing_if_nothing_changes(spark, lake):
     silver = to_silver(bronze(spark, {}))
-    for _ in range(2):
-        lake.refresh_dimensions(silver)
-    assert [f for f in sorted(os.listdir(lake.dims["branch"].root)) if "-" in f] == ["000001-full"]
+    lake.refresh_dimensions(silver)
+    before = files(lake.dims["branch"])
+    lake.refresh_dimensions(silver)
+    assert before and files(lake.dims["branch"]) == before
 
 
 # -- fact ---------------------------------------------------------------------
@@ -174,7 +187,7 @@ def test_empty_batch_changes_nothing(spark, lake):
 
 def test_empty_first_batch(spark, lake):
     lake.load_batch(bronze(spark, {}).where("false"), "0")
-    assert spark.table(f"{lake.gold_schema}.fact_sales").columns == [*FACT.fieldNames(), lake.fact.part_name]
+    assert spark.table(f"{lake.gold_schema}.fact_sales").columns == [*FACT.fieldNames(), lake.fact_part]
     assert spark.table(f"{lake.gold_schema}.fact_sales").count() == 0
     lake.load_batch(bronze(spark, {}), "1")
     assert lake.fact.read().count() == 1
@@ -182,17 +195,43 @@ def test_empty_first_batch(spark, lake):
 
 def test_increment_rewrites_only_its_own_partitions(spark, lake):
     lake.load_batch(bronze(spark, *[{"Date_ID": f"DT{i}"} for i in range(6)]), "0")
-    before = lake.fact.parts()
-    assert sorted(before) == [0, 1, 2]
+    before = files(lake.fact)
+    assert sorted(before) == [f"date_keys_by_2={i}" for i in range(3)]
     lake.load_batch(bronze(spark, {"Date_ID": "DT2", "Revenue": 1}, {"Date_ID": "DT9"}), "1", "aggregate")
-    after = lake.fact.parts()
-    assert sorted(after) == [0, 1, 2, 3]
-    assert [p for p in before if after[p] == before[p]] == [0, 2]
+    after = files(lake.fact)
+    assert sorted(after) == [f"date_keys_by_2={i}" for i in range(4)]
+    assert sorted(p for p in before if after[p] == before[p]) == ["date_keys_by_2=0", "date_keys_by_2=2"]
     assert rows(lake.fact.read(), "dim_date_key", "Revenue") == [
         (k, DEFAULTS["Revenue"] + (k == 3)) for k in range(1, 8)
     ]
 
 
+def test_increment_reads_the_silver_of_its_own_dates_only(spark, lake):
+    dates = [f"DT{i}" for i in range(40)]
+    for n in range(3):
+        lake.load_batch(bronze(spark, *[{"Date_ID": d, "Revenue": n} for d in dates]), str(n), "keep")
+    bucket = {r[0]: r[1] for r in lake.lines.read(lake.bucket).select("Date_ID", lake.bucket).distinct().collect()}
+    # The first and the last date, and one that was never seen.
+    touched = to_silver(bronze(spark, {"Date_ID": "DT0"}, {"Date_ID": "DT39"}, {"Date_ID": "new"}))
+    found = lake.lines_of(touched, lake.lines.read(lake.bucket, "batch"))
+    assert sorted(r["Date_ID"] for r in found.collect()) == ["DT0"] * 3 + ["DT39"] * 3
+    read = {re.search(rf"{lake.bucket}=(-?\d+)", f)[1] for f in found.inputFiles() if lake.silver_path in f}
+    assert {str(bucket["DT0"]), str(bucket["DT39"])} <= read
+    new = lake.spark.range(1).select(F.pmod(F.xxhash64(F.lit("new")), F.lit(64))).first()[0]
+    assert read <= {str(bucket["DT0"]), str(bucket["DT39"]), str(new)}
+    before = files(lake.lines)
+    lake.load_batch(bronze(spark, {"Date_ID": "DT0", "Revenue": 9}), "3", "keep")
+    after = files(lake.lines)
+    assert {p: f for p, f in after.items() if "batch=3" not in p} == before and len(after) == len(before) + 1
+
+
+def test_a_batch_that_comes_again_leaves_no_old_partition(spark, lake):
+    lake.load_batch(bronze(spark, {"Date_ID": "a"}, {"Date_ID": "b"}, {"Date_ID": None}), "0")
+    lake.load_batch(bronze(spark, {"Date_ID": "b", "Revenue": 3}), "0")
+    assert rows(lake.silver(), "Date_ID", "Revenue") == rows(lake.silver("0"), "Date_ID", "Revenue") == [("b", 3)]
+    assert len(files(lake.lines)) == 1
+
+
 def test_late_member_needs_a_rebuild(spark, lake):
     lake.load_batch(bronze(spark, {}), "0")
     late = lake.write_silver(bronze(spark, {"Date_ID": "DT2"}), "1")
@@ -201,7 +240,7 @@ def test_late_member_needs_a_rebuild(spark, lake):
     lake.refresh_dimensions(late)
     lake.load_fact(lake.silver(), rebuild=True)
     assert rows(lake.fact.read(), "dim_date_key") == [(1,), (2,)]
-    assert sorted(lake.fact.parts()) == [0]
+    assert list(files(lake.fact)) == ["date_keys_by_2=0"]
 
 
 def test_three_batches_equal_one_load_but_for_the_order_of_keys(spark, lake, folder):
@@ -324,7 +363,7 @@ def test_crash_between_fact_and_silver(spark, lake, monkeypatch):
         raise OSError("crash")
 
     with monkeypatch.context() as m:
-        m.setattr("starloom.plans.lakehouse.replace_folder", crash)
+        m.setattr(lake.lines, "put", crash)
         with pytest.raises(OSError, match="crash"):
             lake.load_batch(bronze(spark, {"Revenue": 7}), "0")
     assert rows(lake.silver(), "Revenue") == [(100,)]
@@ -332,80 +371,88 @@ def test_crash_between_fact_and_silver(spark, lake, monkeypatch):
     assert rows(lake.silver(), "Revenue") == rows(lake.fact.read(), "Revenue") == [(7,)]
 
 
-def test_crash_between_the_two_renames(spark, lake):
-    lake.load_batch(bronze(spark, {}), "0")
-    os.rename(f"{lake.silver_path}/batch=0", f"{lake.silver_path}/_old.batch=0")
-    lake.load_batch(bronze(spark, {"Date_ID": "DT2"}), "1")
-    assert rows(lake.silver(), "Date_ID") == [("DT1",), ("DT2",)]
-
-
 def test_reload_of_rows_derived_from_silver(spark, lake):
     lake.load_batch(bronze(spark, {}, {"Date_ID": "DT2"}), "0")
     lake.reload(lake.silver().where("Date_ID = 'DT2'"))
     assert rows(lake.silver(), "Date_ID") == [("DT2",)] and lake.fact.read().count() == 1
 
 
-def test_versions_beyond_six_digits(spark, folder):
-    table = SnapshotTable(spark, f"{folder}/t", DATE.schema)
-    table.write(spark.createDataFrame([("d", 1)], DATE.schema))
-    os.rename(f"{folder}/t/000001-full", f"{folder}/t/999999-full")
-    table = SnapshotTable(spark, f"{folder}/t", DATE.schema)
-    for key in (2, 3):
-        table.write(spark.createDataFrame([("d", key)], DATE.schema))
-        assert rows(table.read()) == [("d", key)]
-    assert table.version() == "1000001-full"
+# -- tables and catalog -------------------------------------------------------
+
+
+@pytest.fixture
+def parted(spark, folder):
+    """A table of date members by ranges of two keys."""
+    name = re.sub(r"\W", "_", folder.strip("/"))
+    make = lambda: CatalogTable(
+        spark, f"tables_{name}.t", f"{folder}/t", DATE.schema, {"p": (IntegerType(), range_bucket("dim_date_key", 2))}
+    )
+    table = make()
+    table.again = make
+    return table
+
 
+def dates(spark, *keys, id="d"):
+    return spark.createDataFrame([(id, k) for k in keys], DATE.schema)
 
-def test_looking_up_folders_does_not_grow_with_the_increments(spark, lake, monkeypatch):
-    from starloom.sources import snapshots
 
-    calls = []
-    for name in ("folders", "_exists"):
-        own = getattr(snapshots, name)
-        monkeypatch.setattr(snapshots, name, lambda *a, own=own: calls.append(a) or own(*a))
-    seen = []
-    for n in range(6):
-        before = len(calls)
-        lake.load_batch(bronze(spark, {"Date_ID": f"DT{n}"}), str(n))
-        seen.append(len(calls) - before)
-    assert len(set(seen[1:])) <= 2 and max(seen[3:]) <= max(seen[1:3])
+def test_table_can_be_rebuilt_from_itself(spark, folder, parted):
+    assert not parted.exists() and rows(parted.read()) == []
+    parted.replace(dates(spark, 1, 2, 3))
+    parted.replace(parted.read().where("dim_date_key > 1"))
+    assert rows(parted.read()) == [("d", 2), ("d", 3)]
+    with parted.staged(parted.read().where("dim_date_key = 2").withColumn("date_id", F.lit("e"))):
+        parted.put(F.col("p") == 0)
+    assert rows(parted.read("p")) == [("d", 3, 1), ("e", 2, 0)]
 
 
-def test_superseded_folders_go(spark, lake):
-    for n in range(3):
-        lake.load_batch(bronze(spark, {"Date_ID": f"DT{n}"}, {"Date_ID": "DT0", "Dealer_ID": str(n)}), str(n), "aggregate")
-    before = state(lake)
-    lake.drop_superseded()
-    assert state(lake) == before
-    assert [len(os.listdir(f"{lake.root}/gold/{t}")) for t in ("dim_dealer", "dim_date")] == [1, 1]
-    again = Lakehouse(spark, lake.root, lake.silver_schema, lake.gold_schema, dates_per_part=2)
-    assert state(again) == before
-    lake.load_batch(bronze(spark, {"Date_ID": "DT9"}), "9")
-    assert lake.fact.read().count() == len(before["fact"]) + 1
+def test_partitions_without_new_rows_become_empty(spark, parted):
+    parted.replace(dates(spark, 1, 3, 5))
+    with parted.staged(dates(spark, 6)):
+        parted.put(F.col("p").isin(0, 2))
+    assert rows(parted.read()) == rows(parted.again().read()) == [("d", 3), ("d", 6)]
+    spark.sql(f"DROP TABLE {parted.name}")
+    assert rows(parted.read()) == [("d", 3), ("d", 6)]
+
+
+@pytest.mark.parametrize("part, expected", [(None, [9]), (4, [1, 3, 9])])
+def test_an_overwrite_that_was_cut_off_is_done_by_who_opens_the_table(spark, parted, monkeypatch, part, expected):
+    parted.replace(dates(spark, 1, 3))
+
+    def crash(*_):
+        shutil.rmtree(f"{parted.path}/p=4", ignore_errors=True)
+        raise OSError("crash")
+
+    with monkeypatch.context() as m:
+        m.setattr(parted, "_overwrite", crash)
+        with pytest.raises(OSError, match="crash"), parted.staged(dates(spark, 9)):
+            parted.put(None if part is None else F.col("p") == part)
+    assert os.path.exists(parted.aside)
+    again = parted.again()
+    assert [k for _, k in rows(again.read())] == expected and not os.path.exists(parted.aside)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
-# -- snapshots and catalog ----------------------------------------------------
+def test_staged_rows_that_were_not_put_do_not_count(spark, parted):
+    parted.replace(dates(spark, 1))
+    with pytest.raises(ValueError, match="no"), parted.staged(dates(spark, 2)):
+        raise ValueError("no")
+    assert rows(parted.again().read()) == [("d", 1)] and not os.path.exists(parted.aside)
 
 
-def test_table_can_be_rebuilt_from_itself(spark, folder):
-    table = SnapshotTable(spark, f"{folder}/t", no_rows(spark, BRANCH.schema).schema)
-    table.write(spark.createDataFrame([("a", "A", 1)], BRANCH.schema))
-    old = table.read()
-    table.write(old.withColumn("BranchName", F.lit("B")))
-    assert rows(old) == [("a", "A", 1)]
-    assert rows(table.read()) == [("a", "B", 1)]
+def test_a_name_that_is_taken_is_refused(spark, folder, parted):
+    parted.replace(dates(spark, 1))
+    other = CatalogTable(spark, parted.name, f"{folder}/other", DATE.schema, parted.parts)
+    with pytest.raises(ValueError, match="is a table at"):
+        other.replace(dates(spark, 2))
+    assert rows(parted.read()) == [("d", 1)]
 
 
-def test_unfinished_snapshot_is_ignored(spark, folder):
-    table = SnapshotTable(spark, f"{folder}/t", DATE.schema)
-    assert not table.exists() and rows(table.read()) == []
-    table.write(spark.createDataFrame([("d", 1)], DATE.schema))
-    table.write(spark.createDataFrame([("d", 2)], DATE.schema))
-    os.remove(f"{folder}/t/000002-full/_SUCCESS")
-    assert rows(table.read()) == [("d", 1)]
-    table.write(spark.createDataFrame([("d", 3)], DATE.schema))
-    assert sorted(os.listdir(f"{folder}/t")) == ["000001-full", "000002-full", "000003-full"]
-    assert rows(table.read()) == [("d", 3)]
+def test_folders_by_another_column_are_refused(spark, folder, parted):
+    parted.replace(dates(spark, 1))
+    other = CatalogTable(spark, f"{parted.name}_2", parted.path, DATE.schema, {"q": (IntegerType(), F.lit(1))})
+    with pytest.raises(ValueError, match="partitioned by p, not by q"):
+        other.read()
 
 
 def test_refused_rows_leave_the_table_as_it_was(spark, lake):
@@ -432,10 +479,10 @@ def test_large_partition_is_spread_over_tasks(spark, folder):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
     try:
         schema = no_rows(spark, DATE.schema).schema
-        table = SnapshotTable(spark, f"{folder}/t", schema, "p", range_bucket("dim_date_key", 10**9))
-        table.write(spark.range(40000).select(F.sha2(F.col("id").cast("string"), 256).alias("date_id"), (F.col("id") + 1).alias("dim_date_key")))
-        assert list(table.parts()) == [0]
-        assert len([f for f in os.listdir(table.parts()[0]) if f.endswith(".parquet")]) > 4
+        name = re.sub(r"\W", "_", folder.strip("/"))
+        table = CatalogTable(spark, f"large_{name}.t", f"{folder}/t", schema, {"p": (IntegerType(), range_bucket("dim_date_key", 10**9))})
+        table.replace(spark.range(40000).select(F.sha2(F.col("id").cast("string"), 256).alias("date_id"), (F.col("id") + 1).alias("dim_date_key")))
+        assert list(files(table)) == ["p=0"] and len(files(table)["p=0"]) > 4
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
@@ -454,7 +501,7 @@ def test_catalog_views_follow_the_tables(spark, lake):
         assert spark.catalog.tableExists(f"{lake.gold_schema}.{name}")
     lake.load_batch(bronze(spark, {"Date_ID": "DT2"}, {"Dealer_ID": "other", "Revenue": 5}), "1")
     assert rows(spark.table(fact), "Revenue") == [(5,), (100,), (100,)]
-    assert rows(spark.table(fact).drop(lake.fact.part_name)) == rows(lake.fact.read())
+    assert rows(spark.table(fact).drop(lake.fact_part)) == rows(lake.fact.read())
     assert spark.sql(f"SELECT count(*) FROM {lake.silver_schema}.sales").first()[0] == 3
     assert rows(spark.table(f"{lake.gold_schema}.dim_date")) == [("DT1", 1), ("DT2", 2)]
 
@@ -486,11 +533,11 @@ def test_data_outlives_the_schemas(spark, lake):
 def test_a_date_range_reads_its_own_partitions(spark, lake):
     lake.load_batch(bronze(spark, *[{"Date_ID": f"DT{i}", "Revenue": i} for i in range(1, 9)]), "0")
     fact = spark.table(f"{lake.gold_schema}.fact_sales")
-    found = fact_by_date_range(fact, lake.dims["date"].read(), "DT3", "DT4", lake.fact.part_name, lake.fact.part_of)
+    found = fact_by_date_range(fact, lake.dims["date"].read(), "DT3", "DT4", lake.fact_part, lake.fact_part_of)
     assert rows(found, "date_id", "Revenue") == [("DT3", 3), ("DT4", 4)]
-    part = fact.where(f"{lake.fact.part_name} = 1")
+    part = fact.where(f"{lake.fact_part} = 1")
     assert "PartitionFilters: [isnotnull" in plan(part)
-    assert [os.path.dirname(f) for f in part.inputFiles()] == ["file://" + lake.fact.parts()[1]] * len(part.inputFiles())
+    assert [os.path.dirname(f) for f in part.inputFiles()] == [f"file://{lake.fact.path}/{lake.fact_part}=1"] * len(part.inputFiles())
 
 
 def test_rollup_adds_up_to_the_fact(spark, lake):
