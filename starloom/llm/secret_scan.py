@@ -1,13 +1,10 @@
 """Secrets in texts: fixed patterns, and literals by the names that they are assigned to.
 
 The patterns are keyword assignments, access keys and long hexadecimal runs. Beyond
-them, each text is lexed around its assignment operators, as source code and
-configuration files have them (``name = "x"``, ``"name": "x"``, ``name: type = x``,
-``name := x``, ``name => 'x'``, ``NAME=x``), into pairs of a name and a literal.
-Literals in a row are one (``"ab" + "cd"``). A name that gets another name takes
-over that one's literal, so a constant is judged by every name it flows to; dotted
-names are looked up whole, then by their last part. The score adds up how sensitive
-the name's words are and how random the literal looks.
+them, each text is lexed into pairs of a name and a literal as source code and configuration files have
+them (``literals.py`` lists the forms); constants are handed on, so that a literal is judged by every
+name it flows to. The score adds up how sensitive the name's words are and how random the literal
+looks. Time and memory are linear in a text's length.
 
 Spans count code points, the end excluded. A null text is empty. Rows with equal
 or null ``doc_id`` are scanned each by itself. An empty table gives no rows.
@@ -19,11 +16,11 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from starloom.llm.literals import pairs
 from starloom.llm.tables import documents, slices
 
 # The patterns, and their kinds in the order of results.
@@ -48,68 +45,9 @@ FILLED_IN = re.compile(
 # Words of prose: in one case but for the first letter, or a number.
 _PLAIN_WORD = re.compile(r"[^A-Za-z0-9]*(?:[A-Za-z]?[a-z'’-]*|[A-Z]+|[0-9]+)[^A-Za-z0-9]*")
 
-_OPERATOR = re.compile(r":=|=>|[:=]")
-# A name and perhaps its type, read from the operator back to the front; no more than the signs since the operator before the last.
-_LEFT = re.compile(
-    r"""\n?[\x20\t]*(?:(?:\][A-Za-z0-9_., ]*\[)?[A-Za-z0-9_.]*[A-Za-z_][\x20\t]*:[\x20\t]*)?["'\]]?([A-Za-z0-9_.-]*[A-Za-z_])"""
-)
-_STRING = re.compile(r"""[\x20\t]*(?:\+[\x20\t]*)?[rbuf]?(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)""")
-_REFERENCE = re.compile(
-    r"[\x20\t]*\$?\{?([A-Za-z_][A-Za-z0-9_-]*(?:(?:\.|::|->)[A-Za-z_][A-Za-z0-9_-]*)*)\}?[\x20\t\f\v]*(?=[;,)\]}\r\n#]|//|/\*|<!--|(?<=[\x20\t])--|$)"
-)
-_LAST_PART = re.compile(r"\.|::|->")
-_BARE = re.compile(r"""[\x20\t]*([^\s"'`;,(){}\[\]]+)""")
 _NAME_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
-@dataclass
-class Pair:
-    """A name and the literal that it gets, with the literal's place."""
-
-    name: str
-    value: str
-    start: int
-    end: int
-
-
-def pairs(text: str) -> Iterator[Pair]:
-    """Name-literal pairs in order; constants are handed on from name to name."""
-    # By the whole name, and by its last part.
-    constants: dict[str, Pair] = {}
-    by_last: dict[str, Pair] = {}
-    back = text[::-1]
-    at = 0
-    while op := _OPERATOR.search(text, at):
-        at = op.end()
-        if op[0] != "=>":
-            before, behind = text[op.start() - 1 : op.start()], text[at : at + 1]
-            if behind in ("=", ":") or behind == "/" and op[0] == ":" or before in ("=", "!", "<", ">", ":"):
-                at += behind in ("=", ":")
-                continue
-        left = _LEFT.match(back, len(text) - op.start())
-        if not left:
-            continue
-        name = left[1][::-1]
-        parts, end = [], at
-        while part := _STRING.match(text, end):
-            if parts and not part[0].strip().startswith(("+", '"', "'")):
-                break
-            group = part.lastindex
-            parts.append((part[group], part.start(group), part.end(group)))
-            end = part.end()
-        if parts:
-            pair = Pair(name, "".join(p[0] for p in parts), parts[0][1], parts[-1][2])
-            at = end
-        elif (ref := _REFERENCE.match(text, at)) and (known := constants.get(ref[1]) or by_last.get(_LAST_PART.split(ref[1])[-1])):
-            pair = Pair(name, known.value, known.start, known.end)
-        elif bare := _BARE.match(text, at):
-            pair = Pair(name, bare[1], bare.start(1), bare.end(1))
-        else:
-            continue
-        constants[name] = by_last[name.rpartition(".")[2]] = pair
-        yield pair
-
-
 def name_score(name: str) -> int:
     found = {w.lower() for w in _NAME_WORD.findall(name)}
     score = 3 if found & STRONG else min(2, len(found & WEAK))
@@ -138,24 +76,33 @@ def literal_score(value: str, phrase: bool = False) -> int:
     return (kinds > 1) + (kinds > 2) + (entropy >= 3) + (n >= 16) - 2 * spoken - gap_malus(value, phrase)
 
 
-def score(name: str, value: str) -> int:
-    """How likely ``value`` is a secret of the name ``name``; 0 if the name is not sensitive."""
-    own = name_score(name)
+def wants_phrase(name: str) -> bool:
+    """Whether a name asks for words."""
     words = {w.lower() for w in _NAME_WORD.findall(name)}
-    phrase = bool(words & PHRASE) and not words & HARMLESS
-    return own + literal_score(value, phrase) if own > 0 else 0
+    return bool(words & PHRASE) and not words & HARMLESS
 
 
 def find(text: str, least_score: int = 4) -> list[tuple[int, int, int, int]]:
     """``start, kind, end, start of the secret itself`` of all spans, in the order of results."""
     spans = []
-    if ":" in text or "=" in text:
+    if any(sign in text for sign in (":", "=", "(", "</", "#define")):
         for m in ASSIGN.finditer(text):
             if len(m[2]) >= LEAST_VALUE:
                 spans.append((m.start(), 0, m.end(), m.start(2)))
-        seen = set()
-        for p in pairs(text):
-            if (p.start, p.end) not in seen and score(p.name, p.value) >= least_score:
+        seen: set[tuple[int, int]] = set()
+        names: dict[str, tuple[int, bool]] = {}
+        looks: dict[tuple[int, int, int, bool], int] = {}
+        for p in pairs(text, lambda name: name_score(name) > 0):
+            if p.name not in names:
+                names[p.name] = name_score(p.name), wants_phrase(p.name)
+            own, phrase = names[p.name]
+            if own <= 0 or (p.start, p.end) in seen:
+                continue
+            # A constant may flow to many names; its looks are judged once.
+            place = (p.start, p.end, len(p.value), phrase)
+            if place not in looks:
+                looks[place] = literal_score(p.value, phrase)
+            if own + looks[place] >= least_score:
                 seen.add((p.start, p.end))
                 spans.append((p.start, 3, p.end, p.start))
     if "AKIA" in text:

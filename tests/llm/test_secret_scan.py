@@ -1,11 +1,14 @@
 import hashlib
 import re
+import time
+import tracemalloc
 
 import pytest
 from cases import SMALL, bag, make_docs
 
 from starloom.llm.queries import QUERIES
-from starloom.llm.secret_scan import find, mask, mask_secrets, pairs, secret_digest
+from starloom.llm.literals import pairs
+from starloom.llm.secret_scan import find, mask, mask_secrets, secret_digest
 
 KEY = "q7Zp2Lm9Xc4Vb8Nk"
 
@@ -136,3 +139,76 @@ def test_literals_with_gaps_and_signs(text):
 )
 def test_whole_placeholders_and_prose(text):
     assert find(text) == []
+
+
+FORMS = [
+    'cfg["db_pwd"] = "{}"', "os.environ['DB_PWD'] = '{}'", 'db_pwd = ("{}")', 'db_pwd = rb"{}"', "db_pwd = B'{}'", 'db_pwd = """{}"""', "dbPwd = f'''{}'''",
+    'k = "{}"\ndb_pwd = f"{{k}}"', 'k = "{}"\ndb_pwd = (k)', 'k = "{}"\ndb_pwd = `${{k}}`', "db_pwd: |\n  {}\nnext: 1", "a:\n  db_pwd:\n    {}\n  next: 1",
+    "<db_pwd>{}</db_pwd>", '<add key="DbPwd" value="{}"/>', "- name: DB_PWD\n  value: {}\n", '{{"name": "DB_PWD", "value": "{}"}}', '\\"db_pwd\\": \\"{}\\"',
+    '"{{\\"db_pwd\\": \\"{}\\"}}"', '#define DB_PWD "{}"', "#define DB_PWD {}\n", "echo ${{DB_PWD:-{}}}", 'x = os.getenv("DB_PWD", "{}")', 'db_pwd = os.getenv("X") or "{}"',
+    "dbPwd = process.env.X || '{}'", 'dbPwd = config.x ?? "{}"', 'user, db_pwd = "admin", "{}"', "dbPwd?: string = '{}'", "https://h/x?a=1&db_pwd={}&lang=en", "db_pwd={};timeout=5",
+    "run --db-pwd={} | tee log", "db_pwd: Optional[str] = '{}'", "db_pwd ?= {}", 'public const string DbPwd = @"{}";', 'db_pwd = k0 + "{}"', "db_pwd=(\n  '{}'\n)",
+]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_forms_of_assignment(form):
+    text = form.format(KEY)
+    assert KEY in [text[a:b] for a, kind, b, _ in find(text) if kind == 3]
+    assert KEY not in mask(text, "#")
+
+
+@pytest.mark.parametrize("text", ['db_pwd = "q7Zp2Lm9" \\\n  "Xc4Vb8Nk"', 'db_pwd = ("q7Zp2Lm9"\n  "Xc4Vb8Nk")', 'db_pwd = "q7Zp2Lm9" +\n  "Xc4Vb8Nk"'])
+def test_literals_over_several_lines(text):
+    assert "q7Zp2Lm9" not in mask(text, "#") and "Xc4Vb8Nk" not in mask(text, "#")
+
+
+def test_sums_with_constants():
+    text = 'k = "q7Zp2Lm9"\ndb_pwd = k + "Xc4Vb8Nk"\n'
+    assert [p.value for p in pairs(text)] == ["q7Zp2Lm9", KEY, KEY]
+    assert mask(text, "#") == 'k = "#"\ndb_pwd = k + "#"\n'
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "secret = os.environ.get('X')", "db_pwd: Optional[str] = None", "auth_key = settings.base.Provider9.Value", "apiPwd = process.env.API_KEY_V2",
+        "pwd_salt = compute_Checksum_v2(x)", "db_pwd = getattr(cfg, name)", "db_pwd = vault[slot9Name]",
+    ],
+)
+def test_code_is_no_literal(text):
+    assert [s for s in find(text) if s[1] == 3] == []
+
+
+def test_a_bare_literal_ends_at_signs_between_values():
+    text = f"?db_pwd={KEY}&lang=en&page=2"
+    assert [text[a:b] for a, _, b, _ in find(text)] == [KEY] and mask(text, "#") == "?db_pwd=#&lang=en&page=2"
+    assert [p.value for p in pairs("a=b=c")] == ["b", "c"] and [p.value for p in pairs("a=Zm9v==\n")] == ["Zm9v=="]
+
+
+HARD = {
+    "assign": "a=a=", "both": "a:=", "query": "k0=v0&k1=v1&", "colons": "x: y: ", "quoted": '"="', "open": "a='b\\\" ", "escaped": '\\"', "backslash": 'a="\\\\',
+    "brackets": "f([{", "close": ")]}", "lines": "a: |\n", "defaults": "${A:-", "tags": "<a>", "define": "#define a ", "sum": 'a = a + "x1"\n', "calls": "a=f(", "or": "a=b or ",
+    "tuple": 'a, b, = "x", "y", ', "plus": 'a="b"+', "triple": "\"\"\"\n'''a=", "names": "pwd_key", "ticks": "`a=", "spaces": " ", "ref": "a=b.c.", "password": "password=password", "deep": "k: a\n ",
+}
+
+
+@pytest.mark.parametrize("form", sorted(HARD))
+def test_long_texts_take_linear_time_and_memory(form):
+    unit = HARD[form]
+    text = unit * ((1 << 20) // len(unit))
+    begun = time.process_time()
+    find(text)
+    took = time.process_time() - begun
+    tracemalloc.start()
+    find(text[: 1 << 18])
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert took < 10 and peak < 100 << 20, (took, peak >> 20)
+
+
+def test_a_constant_that_flows_far():
+    text = f'k = "{KEY * 20_000}"\n' + "pwd = k\n" * 20_000
+    begun = time.process_time()
+    assert len(find(text)) == 1
+    assert time.process_time() - begun < 10
