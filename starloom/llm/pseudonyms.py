@@ -7,7 +7,10 @@ place by place and within what each place may hold, by numbers that a keyed dige
 draws from the other half. This permutes the values of a format, so equal values get
 equal pseudonyms in all documents, different values of a kind get different ones
 (except that a slash date whose day stands second may meet one whose day stands first),
-and a pseudonym is valid again: check digits are computed anew.
+and a pseudonym is valid again: check digits are computed anew. Mail addresses are equal
+whatever their case, telephone numbers whatever their separators; country codes stay.
+A mail address has at most 64 signs before its @ (of more, what begins within the last 64) and
+eleven labels of at most 63 behind it.
 
 A value may have neighbours that look like a part of it, such as an expiry behind a card
 or a BIC behind an account number. So at every place where a format begins, all ends at
@@ -32,7 +35,7 @@ ROUNDS = 8
 # The formats, each with its kind; at one place the first that matches counts.
 _BEFORE, _BEHIND = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
 FORMATS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,10}",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
     "ip": r"(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])",
     "date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\1[0-9]{4}",
@@ -43,12 +46,17 @@ FORMATS = {
 KINDS = list(FORMATS)
 PATTERN = f"{_BEFORE}(?:{'|'.join(FORMATS.values())}){_BEHIND}"
 
-# Where a format begins, whatever is before. Groups: 2 what joins it to a digit before, 3 a mail address, 4 the signs
-# that follow, more than any other format has. Group 1 is that of dates.
+# A date may be followed by a time of day.
+_STAMPED = r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?=T[0-9]{2}:)"
+
+# Where a format begins, whatever is before. Group 2 has the signs that follow, more than any other format has, and if
+# there is a mail address that as well. Group 1 is that of dates.
 _REACH = 50
+# A card behind a digit and a separator counts only in usual groups, so it begins with four digits.
+_STARTS = FORMATS | {"card": f"(?:(?<![0-9][ .-])|(?=[0-9]{{4}})){FORMATS['card']}"}
 START = (
-    f"{_BEFORE}(?=(?:{'|'.join(FORMATS.values())}){_BEHIND})"
-    f"(?:(?<=([0-9][ .-]))|)(?=({FORMATS['email']}{_BEHIND})?)(?=((?s:.{{0,{_REACH}}})))"
+    f"{_BEFORE}(?=(?:{'|'.join(_STARTS.values())}){_BEHIND}|{_STAMPED})"
+    f"(?=((?:{FORMATS['email']}{_BEHIND})?(?s:.{{0,{_REACH}}})))"
 )
 _BLOCK = 512  # starts that are put together at a time
 
@@ -65,7 +73,7 @@ _OWN_LENGTH = "^(?:" + "|".join(f"(?:{c.replace(' ', '|')})[A-Z0-9]{{{n - 2}}}"
 _AMERICAN = r"^\+1[ .-]?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}$"
 
 # What the letters of a mask allow at their place: first sign and number of signs. Other places stay as they are.
-_ALPHABETS = {"9": ("0", 10), "a": ("a", 26), "A": ("A", 26), "h": ("0", 16), "n": ("2", 8), "m": ("1", 8)}
+_ALPHABETS = {"9": ("0", 10), "a": ("a", 26), "A": ("A", 26), "h": ("0", 16), "n": ("2", 8), "b": ("0", 2)}
 _HEX = "0123456789abcdef"
 
 _FIRST_DAY, _DAYS = "1900-01-01", (270, 271)  # 73,170 days, to 2100-05-01
@@ -243,22 +251,31 @@ def _date(text: Column, key: str) -> Column:
     return _once(new, written)
 
 
+# How country codes begin; no code begins like another one.
+_COUNTRY_CODE = r"^(\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}))"
+
+
 def _phone(text: Column, key: str) -> Column:
-    # The country code stays. Groups of the North American plan start with 2 to 9, and do so again.
-    country = F.regexp_extract(text, r"^(\+[0-9]{1,3}(?=[ .(-]))?", 1)
+    # The country code stays. Groups of the North American plan start with 2 to 9; in any number of ten
+    # digits the first signs of the first two groups stay within 0 and 1, or within 2 to 9.
+    country = F.regexp_extract(text, _COUNTRY_CODE, 1)
     rest = F.substr(text, F.length(country) + 1, F.length(text))
-    american = rest.rlike(r"^[ .-]?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}$")
     digits = _bare(rest)
-    mask = F.when(american, F.lit("n99n999999")).otherwise(F.regexp_replace(digits, "[0-9]", "9"))
-    valid = F.length(_bare(text)).between(7, 15)
+    group = lambda place: F.when(F.substr(digits, F.lit(place), F.lit(1)) < "2", "b").otherwise("n")
+    mask = F.when(F.length(digits) == 10, F.concat(group(1), F.lit("99"), group(4), F.lit("999999"))).otherwise(F.regexp_replace(digits, "[0-9]", "9"))
+    valid = F.length(_bare(text)).between(7, 15) & (F.length(digits) > 3)
     return F.when(valid, F.concat(country, _refill(rest, permuted(digits, mask, key, "phone"))))
 
 
 def _email(text: Column, key: str) -> Column:
-    # All but the last label of the domain; case, digits and signs stay where they are.
+    # All but the last label of the domain, as if in lower case; case, digits and signs stay where they are.
     name, last = F.regexp_extract(text, r"^(.*)(\.[A-Za-z0-9-]+)$", 1), F.regexp_extract(text, r"^(.*)(\.[A-Za-z0-9-]+)$", 2)
     valid = last.rlike("^\\.[A-Za-z]{2,}$")
-    return F.when(valid, F.concat(permuted(name, _plain_mask(name), key, "email"), last))
+    sign = lambda x, i: F.substr(x, i, F.lit(1))
+    cased = lambda new: F.array_join(
+        F.transform(F.sequence(F.lit(1), F.length(name)), lambda i: F.when(sign(name, i).rlike("[A-Z]"), F.upper(sign(new, i))).otherwise(sign(new, i))), ""
+    )
+    return F.when(valid, F.concat(_once(permuted(F.lower(name), _plain_mask(F.lower(name)), key, "email"), cased), last))
 
 
 _RULES = {"email": _email, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "card": _card, "phone": _phone}
@@ -281,6 +298,8 @@ def _first_of(texts: Column, rule) -> Column:
 def _parts(kind: str, ends: Column, window: Column, before: Column) -> Column:
     """The beginnings of ``window`` that have the form of ``kind``, in the order in which they are tried."""
     own = F.filter(ends, lambda t: t.rlike(f"^(?:{FORMATS[kind]})$"))
+    if kind == "date":
+        return F.concat(F.filter(F.array(F.substr(window, F.lit(1), F.lit(10))), lambda _: window.rlike(f"^{_STAMPED}")), own)
     if kind == "ip":
         dotted = before.endswith(".")
         return F.filter(own, lambda t: ~dotted & ~F.substr(window, F.length(t) + 1, F.lit(2)).rlike("^\\.[0-9]"))
@@ -339,13 +358,21 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     # Every format has a digit or the sign of mail addresses; texts without them are not searched.
-    group = lambda i: F.when(F.col("text").rlike("[0-9@]"), F.regexp_extract_all("text", F.lit(START), F.lit(i)))
-    rows = rows.select("*", group(2).alias("before"), group(3).alias("email"), group(4).alias("window"))
-    some = F.size(F.coalesce("window", F.array().cast("array<string>"))) > 0
-    starts = F.zip_with(
-        F.arrays_zip("window", "email"), "before", lambda w, b: pseudonym(w["window"], w["email"], b, key)
-    )
-    rows = rows.select("doc_id", "text", F.when(some, starts).alias("new"), F.when(some, F.split("text", START, -1)).alias("cut"))
+    searched = F.col("text").rlike("[0-9@]")
+    rows = rows.select("*", F.when(searched, F.regexp_extract_all("text", F.lit(START), F.lit(2))).alias("ahead"))
+    some = F.size(F.coalesce("ahead", F.array().cast("array<string>"))) > 0
+    rows = rows.select("*", F.when(some, F.split("text", START, -1)).alias("cut"))
+    # What joins a start to a digit before it: two signs, and no two starts are nearer to each other than that.
+    first = F.size("cut") - F.size("ahead")
+
+    def new(ahead: Column, number: Column) -> Column:
+        at = number + first - 1
+        behind = F.when(at >= 0, F.right(F.get("cut", at), F.lit(2))).otherwise("")
+        before = F.when(behind.rlike("^[0-9][ .-]$"), behind).otherwise("")
+        email = F.regexp_extract(ahead, f"^({FORMATS['email']}){_BEHIND}", 1)
+        return _once(F.substr(ahead, F.lit(1), F.lit(_REACH)), lambda w: pseudonym(w, email, before, key))
+
+    rows = rows.select("doc_id", "text", F.when(some, F.transform("ahead", new)).alias("new"), "cut")
     # What is before the first start is a part of its own, unless the text begins with a start.
     head = F.size("cut") - F.size("new")
     bodies = F.slice("cut", head + 1, F.size("new"))
