@@ -10,15 +10,16 @@ and thresholds nest: a larger budget takes all that a smaller one takes.
 All work is DataFrame operations; the driver sees single numbers only. Sources
 may be as many as there are; they are one row each and their order is found by a
 range shuffle. A null text has size 0, a null source is a source of its own,
-behind all others. Rows with equal ``doc_id`` and text share a hash and are taken
-together; a null ``doc_id`` is hashed as an empty one. An empty table gives no rows.
+behind all others. Rows with equal ``doc_id`` and text share a hash; if a budget ends among
+them, as many as it holds are taken, by numbers that they get where they are counted, and written
+down. A null ``doc_id`` is hashed as an empty one. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.llm.tables import free_name, staged, words
 from starloom.operators.keys import highest_key, number_new, stage_in_key_order
@@ -91,7 +92,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], most: int) -> Dat
 
 
 def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
-    """``source, below``: rows whose hash is less than ``below`` come near the source's ``budget``.
+    """``source, below, also``: rows whose hash is less than ``below``, and ``also`` of those with that hash, come near the source's ``budget``.
 
     ``rows`` has ``source, hash, size``, ``budgets`` has ``source, budget``. Of the
     two sums next to the budget the nearer one is chosen, the smaller of equals.
@@ -108,23 +109,26 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
         inside = inside.alias("r").join(bounds.select("source", "begin").alias("b"), same & in_bucket, "left_semi")
         # One row for each source and bucket that has rows: at most 2^LEVEL_BITS for a source.
         histogram = inside.groupBy("source", F.shiftright("hash", width).alias("bucket")).agg(
-            F.sum("size").alias("size"), F.min("hash").alias("least"), F.max("hash").alias("greatest")
+            F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"), F.min("hash").alias("least"), F.max("hash").alias("greatest")
         )
         h = histogram.alias("h").join(bounds.alias("b"), F.col("h.source").eqNullSafe(F.col("b.source")))
         key = F.struct(F.col("h.source").isNull().alias("none"), F.col("h.source").alias("source"))
-        h = h.select(key.alias("key"), "bucket", "h.size", "least", "greatest", "b.before", "b.budget")
+        h = h.select(key.alias("key"), "bucket", "h.size", "n", "least", "greatest", "b.before", "b.budget")
         running = "sum(size) over (partition by key order by bucket rows unbounded preceding)"
         h = h.withColumn("upto", F.col("before") + F.expr(running)).withColumn("from", F.col("upto") - F.col("size"))
         # The first bucket whose sum goes beyond the budget; without one all rows fit.
         beyond = h.where(F.col("upto") > F.col("budget"))
-        first = beyond.groupBy("key").agg(F.min_by(F.struct("bucket", "from", "upto", "least", "greatest", "budget"), "bucket").alias("f"))
+        first = beyond.groupBy("key").agg(F.min_by(F.struct("bucket", "from", "upto", "n", "least", "greatest", "budget"), "bucket").alias("f"))
         boundary = staged(
             first.select(F.col("key.source").alias("source"), "f.*").withColumn("single", F.col("least") == F.col("greatest")), "boundaries"
         )
-        # One hash is left in the bucket: it is taken if that comes nearer.
-        nearer = F.col("upto") - F.col("budget") < F.col("budget") - F.col("from")
-        below = F.when(nearer, F.col("least") + 1).otherwise(F.col("least"))
-        done.append(boundary.where("single").select("source", below.alias("below")))
+        # One hash is left in the bucket, of rows alike: as many as come nearest.
+        each, rest = (F.col("upto") - F.col("from")) / F.col("n"), F.col("budget") - F.col("from")
+        some = F.ceil(rest / each - 0.5)
+        all_ = some >= F.col("n")
+        below = F.when(all_, F.col("least") + 1).otherwise(F.col("least"))
+        also = F.when(all_, 0).otherwise(F.greatest(some, F.lit(0)))
+        done.append(boundary.where("single").select("source", below.alias("below"), also.cast("long").alias("also")))
         open_ = boundary.where("not single").select(
             "source", "budget", F.shiftleft("bucket", width).alias("begin"), F.col("from").alias("before")
         )
@@ -134,9 +138,10 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
 
 
 def mix_plan(rows: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
-    """``source, source_size, target, repeats, below`` of each source of ``rows``, which has ``source, size, hash``.
+    """``source, source_size, target, repeats, below, also`` of each source of ``rows``, which has ``source, size, hash``.
 
-    A row is taken ``repeats`` times, and once more if its hash is less than ``below``.
+    A row is taken ``repeats`` times, and once more if its hash is less than ``below``, or is
+    that and the row one of the first ``also``.
     """
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, most)
@@ -146,7 +151,32 @@ def mix_plan(rows: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
     budgets = targets.select("source", budget.alias("budget")).where("budget > 0")
     below = thresholds(rows.select("source", "hash", "size"), budgets)
     plan = targets.alias("t").join(below.alias("b"), F.col("t.source").eqNullSafe(F.col("b.source")), "left")
-    return staged(plan.select("t.*", F.coalesce("b.below", F.lit(0)).alias("below")), "plan")
+    none = F.lit(0).cast("long")
+    return staged(plan.select("t.*", F.coalesce("b.below", none).alias("below"), F.coalesce("b.also", none).alias("also")), "plan")
+
+
+def _times(rows: DataFrame, hash_: str, repeats: str, below: str, also: str, group: str, times: str) -> DataFrame:
+    """``rows`` with the column ``times``; alike rows of which some are taken get numbers within ``group``."""
+    col = lambda c: F.col(f"`{c}`")
+    once_more = lambda more: (col(repeats) + F.when(more, 1).otherwise(0)).cast("long")
+    split = (col(also) > 0) & (col(hash_) == col(below))
+    whole = rows.withColumn(times, once_more(col(hash_) < col(below)))
+    alike = rows.where(split)
+    if alike.isEmpty():
+        return whole
+    part, place, number, before = (free_name(rows, n) for n in ("part", "place", "number", "before"))
+    # Where a row is among its task's, once and for all.
+    alike = staged(alike.withColumns({part: F.spark_partition_id(), place: F.monotonically_increasing_id()}), "alike")
+    counts = alike.groupBy(group, part).agg(F.count(F.lit(1)).alias(number))
+    # One row for each task and group that has such rows.
+    upto = Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(group, part, F.coalesce(F.sum(number).over(upto), F.lit(0)).alias(before))
+    a, c = alike.alias("a"), counts.alias("c")
+    same = F.col(f"a.{group}").eqNullSafe(F.col(f"c.{group}")) & (F.col(f"a.{part}") == F.col(f"c.{part}"))
+    own = Window.partitionBy(f"a.{group}", f"a.{part}").orderBy(f"a.{place}")
+    numbered = a.join(c, same).select("a.*", (F.col(f"c.{before}") + F.row_number().over(own)).alias(number))
+    numbered = numbered.withColumn(times, once_more(col(number) <= col(also))).select(whole.columns)
+    return whole.where(~F.coalesce(split, F.lit(False))).unionByName(numbered)
 
 
 def _sizes(docs: DataFrame) -> DataFrame:
@@ -168,18 +198,22 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3)
     """
     rows = _sizes(docs)
     plan = mix_plan(rows, weights, most)
-    times = F.col("repeats") + F.when(F.col("hash") < F.col("below"), 1).otherwise(0)
     found = rows.alias("r").join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")))
-    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * times).alias("taken"))
+    found = found.select("doc_id", "size", "hash", "r.source", "source_size", "target", "repeats", "below", "also")
+    found = _times(found, "hash", "repeats", "below", "also", "source", "times")
+    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -> DataFrame:
     """Each row of ``docs`` as often as the mix takes it, from none to ``most`` times, with all its columns."""
     plan = mix_plan(_sizes(docs), weights, most)
-    source, repeats, below, copy = (free_name(docs, f"mix_{n}") for n in ("source", "repeats", "below", "copy"))
-    plan = plan.select(F.col("source").alias(source), F.col("repeats").alias(repeats), F.col("below").alias(below))
+    source, hash_, repeats, below, also, times, copy = (
+        free_name(docs, f"mix_{n}") for n in ("source", "hash", "repeats", "below", "also", "times", "copy")
+    )
+    plan = plan.select(*(F.col(c).alias(n) for c, n in (("source", source), ("repeats", repeats), ("below", below), ("also", also))))
     given = docs.join(plan, docs["source"].cast("string").eqNullSafe(F.col(source)))
-    times = F.col(repeats) + F.when(row_hash(docs["doc_id"], docs["text"]) < F.col(below), 1).otherwise(0)
+    given = given.withColumn(hash_, row_hash(docs["doc_id"], docs["text"]))
+    given = _times(given, hash_, repeats, below, also, source, times)
     # No sequence runs down from 1 to 0, hence the filter.
-    copies = F.filter(F.sequence(F.lit(1), F.lit(most)), lambda i: i <= times)
+    copies = F.filter(F.sequence(F.lit(1), F.lit(most).cast("long")), lambda i: i <= F.col(times))
     return given.withColumn(copy, F.explode(copies)).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -27,14 +27,10 @@ b AS (
     SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS repeats,
         target - (CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END * source_size)::DOUBLE AS budget
     FROM t),
-h AS (SELECT source, hash, sum(size)::BIGINT AS size FROM d GROUP BY source, hash),
-u AS (SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY hash))::BIGINT AS upto FROM h),
-x AS (
-    SELECT u.source, u.hash, b.source_size, b.target, b.repeats,
-        CASE WHEN budget > 0 AND (upto <= budget OR (upto - size <= budget AND upto - budget < budget - (upto - size))) THEN 1 ELSE 0 END AS extra
-    FROM u JOIN b ON u.source IS NOT DISTINCT FROM b.source)
-SELECT d.doc_id, d.size, x.source_size, x.target, d.size * (x.repeats + x.extra) AS taken
-FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.hash = x.hash
+u AS (SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY hash ROWS UNBOUNDED PRECEDING))::BIGINT AS upto FROM d)
+SELECT u.doc_id, u.size, b.source_size, b.target, u.size * (b.repeats
+    + CASE WHEN budget > 0 AND (upto <= budget OR (upto - size <= budget AND upto - budget < budget - (upto - size))) THEN 1 ELSE 0 END) AS taken
+FROM u JOIN b ON u.source IS NOT DISTINCT FROM b.source
 """
 
 _TOP_K = """

@@ -102,3 +102,27 @@ def test_empty_and_wordless_tables(spark):
     assert mix_documents(make_docs(spark, [])).count() == 0
     found = mixed(make_docs(spark, [(1, "", "a"), (2, None, None)])).collect()
     assert [(r.size, r.source_size, r.target, r.taken) for r in found] == [(0, 0, 0.0, 0)] * 2
+
+
+@pytest.mark.parametrize("copies", [1, 2, 1500])
+def test_alike_rows_come_as_near_to_the_target_as_others(spark, copies):
+    # A third or more of a source's rows are one row, and the budget ends among them or next to them.
+    rows = [(5, "one two three four five six seven", "a")] * copies + [(100 + i, "w " * (1 + i % 9), "a") for i in range(copies)]
+    rows += [(50_000 + i, "x y z", s) for i in range(copies) for s in ("b", "c", "d")]
+    docs = make_docs(spark, rows).repartition(7)
+    found = mixed(docs).collect()
+    taken = sum(r.taken for r in found if r.doc_id < 50_000)
+    target = next(r.target for r in found if r.doc_id == 5)
+    assert abs(taken - target) <= 9
+    assert len({r.taken for r in found if r.doc_id == 5}) <= 2 and len(found) == len(rows)
+    assert bag(mixed(docs)) == sorted((tuple(r) for r in found), key=str)
+    times = sum(1 for r in mix_documents(docs).collect() if r.doc_id == 5)
+    assert times == sum(r.taken for r in found if r.doc_id == 5) // 7
+
+
+def test_sql_of_repeated_rows(spark):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    rows = made_rows() + [(1000, "a b c", "hot")] * 250
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    assert assert_same(mixed(make_docs(spark, rows)), con, ORACLE["op5_mixing"]) == len(rows)
