@@ -29,6 +29,8 @@ from starloom.llm.tables import list_parts, staged
 BUCKETS = 64
 BLOCK_BYTES = 16 << 20
 SCORES_AT_ONCE = 1 << 22
+QUERIES_AT_ONCE = 1 << 14  # so many histograms, or ``k`` ids of ties for each, does a task hold
+TIES_AT_ONCE = 1 << 22
 OWN = np.iinfo(np.int64).min
 
 
@@ -115,18 +117,33 @@ def _histogram(scorer: Scorer, low: np.ndarray, high: np.ndarray, width: np.ndar
 
 
 def _survivors(scorer: Scorer, kth: np.ndarray, k: int) -> Callable:
+    """Candidates above each query's k-th score, and of a task's ties with it the k smallest ids."""
+
+    def rows(q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(q), pa.array(scorer.ids[q]), pa.array(ids), pa.array(scores)], ["q", "query_id", "vec_id", "score"]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.iinfo(np.int64).max
+        ties, found = np.full((len(kth), k), none), np.zeros(len(kth), np.int64)
         for ids, scores in scorer(batches):
             order = np.argsort(ids, kind="stable")
             ids, scores = ids[order], scores[:, order]
+            q, c = np.nonzero(scores > kth[:, None])
+            if len(q):
+                yield rows(q, ids[c], scores[q, c])
             tied = (scores == kth[:, None]) & (scores != OWN)
-            # Of ties the k smallest ids of this part are enough.
-            tied &= np.cumsum(tied, 1) <= k
-            q, c = np.nonzero(tied | (scores > kth[:, None]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(q), pa.array(scorer.ids[q]), pa.array(ids[c]), pa.array(scores[q, c])],
-                ["q", "query_id", "vec_id", "score"],
-            )
+            rank = np.cumsum(tied, 1)
+            q, c = np.nonzero(tied & (rank <= k))
+            if len(q):
+                own = np.unique(q)
+                new = np.full((len(own), k), none)
+                new[np.searchsorted(own, q), rank[q, c] - 1] = ids[c]
+                ties[own] = np.sort(np.concatenate([ties[own], new], 1), 1)[:, :k]
+                found[own] = np.minimum(k, found[own] + rank[own, -1])
+        q, place = np.nonzero(np.arange(k) < found[:, None])
+        yield rows(q, ties[q, place], kth[q])
 
     return run
 
@@ -164,7 +181,7 @@ def best_of_block(vectors: DataFrame, ids: np.ndarray, queries: np.ndarray, k: i
     scorer = Scorer(ids, queries)
     kth = kth_scores(vectors, scorer, k)
     found = vectors.mapInArrow(_survivors(scorer, kth, k), "q long, query_id long, vec_id long, score long")
-    # A query has fewer than k rows above its k-th score, and at most k ties from each part of a task.
+    # A query has fewer than k rows above its k-th score, and at most k ties from each task.
     order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -176,7 +193,8 @@ def top_k(table: DataFrame, is_query: Column | str, k: int = 10, block_bytes: in
     chosen = staged(vectors.where(is_query), "queries")
     about = chosen.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("width")).first()
     n, width = about["n"], about["width"] or 0
-    blocks = -(-n * max(1, width) * 8 // block_bytes) if n else 0
+    most = max(1, min(QUERIES_AT_ONCE, TIES_AT_ONCE // max(1, k)))
+    blocks = max(-(-n * max(1, width) * 8 // block_bytes), -(-n // most)) if n else 0
     results = []
     for number in range(blocks):
         own = chosen.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == number).toArrow().combine_chunks()

@@ -70,3 +70,20 @@ def test_small_tables(spark):
     assert top_k(table(spark, [(1, [1.0]), (2, [1.0])]), QUERY).count() == 0
     assert top_k(table(spark, [(100, [1.0])]), QUERY).count() == 0
     assert bag(top_k(table(spark, [(100, [1.0]), (7, [-1.0])]), QUERY)) == [(100, 1, 7, -(1024**2))]
+
+
+def test_a_third_of_the_rows_alike_and_many_queries(spark, monkeypatch):
+    from starloom.llm import topk
+
+    monkeypatch.setattr(topk, "SCORES_AT_ONCE", 40)
+    monkeypatch.setattr(topk, "QUERIES_AT_ONCE", 7)
+    rng = np.random.default_rng(12)
+    rows = [(i * 10, rng.integers(-3, 4, 3).tolist()) for i in range(200)] + [(2001 + i, [1.0, 1.0, 1.0]) for i in range(100)]
+    docs = table(spark, [rows[i] for i in rng.permutation(len(rows))]).repartition(3)
+    assert sorted(tuple(r) for r in top_k(docs, QUERY, 4).collect()) == expected(rows, 4)
+    # No task passes on more than k ties for a query.
+    vectors = topk.valid_vectors(docs)
+    same = np.full((5, 3), 1024.0)
+    scorer = topk.Scorer(np.arange(5) * -1 - 1, same)
+    out = vectors.mapInArrow(topk._survivors(scorer, np.full(5, 3 * 1024**2), 4), "q long, query_id long, vec_id long, score long")
+    assert out.where(f"score = {3 * 1024**2}").groupBy("q").count().agg({"count": "max"}).first()[0] <= 4 * 3
