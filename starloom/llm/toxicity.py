@@ -89,7 +89,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, settings: Ftrl) -> tuple
         if not grams:
             return
         # Texts per range of hashes: most features are in too few texts, and go before they are sorted.
-        texts = np.zeros(1 << 25, np.uint16)
+        texts = np.zeros(1 << 25, np.uint32)
         for own in grams:
             texts[own >> np.uint64(39)] += 1
         grams = [own[texts[own >> np.uint64(39)] >= settings.least_texts] for own in grams]
