@@ -10,16 +10,18 @@ a canonical code needs, and ``<path>/ranges`` where each range of documents star
 
 The code comes from the numbers of every id in the whole corpus. Null texts are
 empty and hold the end id alone. Rows with equal or null ``doc_id`` are kept,
-each as a document. An empty table gives empty files.
+each as a document, in any order among themselves; many of one id are dealt out to several ranges. An empty table gives empty files.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starloom.llm.tables import documents, drop_folder, shuffle_partitions, slices
@@ -119,10 +121,29 @@ def unpack_bits(stream: bytes, checkpoints: np.ndarray, n: int, table: np.ndarra
     return (out >> np.uint32(8)).T.ravel()[:n]
 
 
-def _ranges(docs: DataFrame, n: int) -> np.ndarray:
-    """Ids that cut the documents into ``n`` ranges of about as many rows; reads that column alone."""
-    cuts = docs.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else None
-    return np.unique(np.array(cuts or [], np.int64))
+@dataclass(frozen=True)
+class Ranges:
+    """Ranges of ids of about as many rows each. Rows without id come first; an id at several cuts has as many ranges."""
+
+    cuts: np.ndarray
+    without_id: int
+
+    def numbers(self, ids: pa.Array, at: int) -> np.ndarray:
+        """The range of each row; ``at`` is the first one's place in its task, by which rows of one id or none are dealt out."""
+        known = np.asarray(ids.is_valid())
+        values, turn = np.asarray(ids.fill_null(0)), np.arange(at, at + len(ids))
+        low, high = np.searchsorted(self.cuts, values, "left"), np.searchsorted(self.cuts, values, "right")
+        spread = np.where(high - low > 1, low + 1 + turn % np.maximum(1, high - low), high)
+        return np.where(known, self.without_id + spread, turn % max(1, self.without_id))
+
+
+def _ranges(docs: DataFrame, n: int) -> Ranges:
+    """``n`` ranges of the documents; reads the ids alone."""
+    rows, known = docs.select(F.count(F.lit(1)), F.count("doc_id")).first()
+    without_id = n if not known else min(n - 1, round(n * (rows - known) / rows))
+    parts = n - without_id
+    cuts = docs.select(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10_000)).first()[0] if parts > 1 else None
+    return Ranges(np.array(cuts or [], np.int64), without_id)
 
 
 def _id_type(tokenizer_path: str) -> str:
@@ -138,18 +159,18 @@ def _binary(data: bytes, sizes: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def _encode_texts(tokenizer_path: str, cuts: np.ndarray, kind: str):
+def _encode_texts(tokenizer_path: str, ranges: Ranges, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer_path)
+        own, at = encoder(tokenizer_path), TaskContext.get().partitionId()
         for part in slices(batches, "text"):
             ids, lengths = own.encode(part.column("text"))
             raw = ids.astype(kind)
             ids_of = part.column("doc_id")
-            known = np.asarray(ids_of.is_valid())
-            ranges = np.where(known, np.searchsorted(cuts, np.asarray(ids_of.fill_null(0)), "right"), 0)
+            numbers = ranges.numbers(ids_of, at)
+            at += len(part)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ranges, pa.int32()), ids_of, pa.array(lengths, pa.int32()),
+                    pa.array(numbers, pa.int32()), ids_of, pa.array(lengths, pa.int32()),
                     _binary(raw.tobytes(), lengths * raw.itemsize),
                 ],
                 ["range", "doc_id", "n_tokens", "ids"],

@@ -79,3 +79,17 @@ def test_whole_table(spark):
 def test_empty_table(spark, folder):
     write_ids(make_docs(spark, []), folder + "/a", vocabulary(BYTE_BPE))
     assert read_ids(spark, folder + "/a").count() == 0
+
+
+def test_hot_ids_are_dealt_out(spark, folder):
+    rows = [(i, f"t {i}") for i in range(300)] + [(150, f"hot {i}") for i in range(300)] + [(None, f"none {i}") for i in range(300)]
+    docs = make_docs(spark, rows).repartition(3)
+    write_ids(docs, folder + "/a", vocabulary(BYTE_BPE))
+    found = sorted(read_ids(spark, folder + "/a").collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in found] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    assert [r.start for r in found] == np.cumsum([0, *(r.n_tokens for r in found)])[:-1].tolist()
+    single = {i: (n, c) for i, _, n, c in expected(rows)}
+    assert all((r.n_tokens, zlib.crc32(r.ids)) == single[r.doc_id] for r in found if r.doc_id not in (150, None))
+    assert len({bytes(r.ids) for r in found}) == 900
+    sizes = spark.read.parquet(folder + "/a/segments").selectExpr("range", "size(doc_ids) as n").groupBy("range").sum("n").collect()
+    assert max(r[1] for r in sizes) < 250
