@@ -11,6 +11,7 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom.functions import day_number, model_category, revenue_per_unit
+from starloom.operators.changes import DELETE, INSERT, UPDATE, cdc_apply, extract_diff, live_rows
 from starloom.operators.keys import highest_key
 from starloom.operators.members import latest_members
 from starloom.operators.upsert import duplicate_keys, upsert_columns
@@ -187,6 +188,19 @@ def fact_late_members(spark: SparkSession, folder: str) -> DataFrame:
     return build_fact(silver, lakehouse.dimensions())
 
 
+def fact_inferred_members(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines over the dimensions of batch 0: later members get keys with the fact, and their attributes afterwards."""
+    lakehouse = _lakehouse(spark, "fact-inferred")
+    lakehouse.refresh_dimensions(lakehouse.write_silver(order_lines.bronze_batch(spark, folder, 0), "0"))
+    silver = lakehouse.write_silver(order_lines.bronze_sales(spark, folder))
+    lakehouse.load_fact(silver, on_duplicate="keep", infer=True)
+    lakehouse.refresh_dimensions(silver)
+    rows = lakehouse.fact.read()
+    for spec in DIMENSIONS:
+        rows = rows.join(lakehouse.dims[spec.name].read(), spec.key, "left")
+    return rows
+
+
 def fact_grain(spark: SparkSession, folder: str) -> DataFrame:
     return to_grain(fact_sales(spark, folder))
 
@@ -246,6 +260,28 @@ def incremental_hwm(spark: SparkSession, folder: str) -> DataFrame:
     return rows_after(events, "ts", high_water_mark(loaded, "ts"))
 
 
+def cdc_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """The last event of each user, where an error deletes the user; the later events come first, and once more at the end."""
+    events = order_lines.table(spark, folder, "events")
+    kind = F.when(F.col("event_type") == "error", DELETE).when(F.col("event_type") == "signup", INSERT).otherwise(UPDATE)
+    log = events.select("user_id", "event_type", "value", "event_id", kind.alias("op"))
+    late = F.col("ts") <= F.lit(LOADED_UNTIL).cast("timestamp_ntz")
+    state = log.where("false")
+    for batch in (log.where(~late), log.where(late), log.where(~late)):
+        path = new_folder(spark, "cdc-state")
+        cdc_apply(state, batch, ["user_id"], "event_id", "op").write.parquet(path)
+        state = read_parquet(spark, path, log.schema)
+    return live_rows(state, "op")
+
+
+def extract_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """From the orders that are not pending to those that are not finished, urgent ones at a higher price."""
+    orders = order_lines.table(spark, folder, "orders").drop("o_orderdate")
+    price = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice") * 2).otherwise(F.col("o_totalprice"))
+    after = orders.where("o_orderstatus <> 'F'").withColumn("o_totalprice", price)
+    return extract_diff(orders.where("o_orderstatus <> 'P'"), after, ["o_orderkey"])
+
+
 def _by_natural_ids(lakehouse: Lakehouse) -> DataFrame:
     """The fact from the catalog, with natural ids in place of keys."""
     rows = lakehouse.spark.table(f"{lakehouse.gold_schema}.fact_sales")
@@ -338,12 +374,15 @@ QUERIES: dict[str, Query] = {
     "surrogate_key_append": surrogate_key_append,
     "fact_sales": fact_sales,
     "fact_late_members": fact_late_members,
+    "fact_inferred_members": fact_inferred_members,
     "fact_grain": fact_grain,
     "fact_merge": fact_merge,
     "merge_partial_columns": merge_partial_columns,
     "merge_multi_match_check": merge_multi_match_check,
     "star_rollup": star_rollup,
     "incremental_hwm": incremental_hwm,
+    "cdc_apply": cdc_changes,
+    "extract_diff": extract_changes,
     "incremental_stream": incremental_stream,
     "fact_split_batches": fact_split_batches,
     "csv_stream": csv_stream,

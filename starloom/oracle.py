@@ -100,9 +100,9 @@ def _scd1(spec: DimSpec) -> str:
 SELECT {_columns(spec)}, row_number() OVER (ORDER BY first_batch, {spec.id}) AS {spec.key} FROM members"""
 
 
-def _dim_keys(where: str = "true", by_batch: bool = False) -> str:
+def _dim_keys(where: str = "true", by_batch: bool = False, order: str | None = None) -> str:
     """CTEs ``k_<dimension>``: natural id and surrogate key."""
-    order = "first_batch, id" if by_batch else "id"
+    order = order or ("first_batch, id" if by_batch else "id")
     return ",".join(
         f"""
 k_{spec.name} AS (
@@ -189,6 +189,9 @@ WHERE place = 1""",
     "surrogate_key_append": _key_append(),
     "fact_sales": f"{_fact(SILVER_CTE, _dim_keys())}\nSELECT {FACT_COLUMNS} FROM fact",
     "fact_late_members": f"{_fact(SILVER_CTE, _dim_keys('batch = 0'))}\nSELECT {FACT_COLUMNS} FROM fact",
+    "fact_inferred_members": f"""{_fact(SILVER_CTE, _dim_keys(order="first_batch > 0, id"))}
+SELECT {FACT_COLUMNS}, {", ".join(f"{spec.source_id} AS {spec.id}" for spec in DIMENSIONS)},
+       BranchName, DealerName, Model_Category AS model_category FROM fact""",
     "fact_grain": f"{_fact(SILVER_CTE, _dim_keys())}\n{_GRAIN} FROM fact GROUP BY {KEYS}",
     "fact_merge": f"""{_fact(CHAIN_CTE, _dim_keys())},
 target AS ({_GRAIN} FROM fact WHERE batch < 2 GROUP BY {KEYS}),
@@ -214,6 +217,19 @@ SELECT Year, Model_Category, CAST(sum(Revenue) AS BIGINT) AS Revenue, CAST(sum(U
 FROM silver GROUP BY Year, Model_Category""",
     "incremental_hwm": f"""
 SELECT * FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '{LOADED_UNTIL}')""",
+    "cdc_apply": """
+SELECT user_id, event_type, value, event_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS place FROM events)
+WHERE place = 1 AND event_type <> 'error'""",
+    "extract_diff": """
+WITH o AS (SELECT * EXCLUDE (o_orderdate) FROM orders),
+b AS (SELECT * FROM o WHERE o_orderstatus <> 'P'),
+a AS (SELECT * REPLACE (CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice)
+      FROM o WHERE o_orderstatus <> 'F')
+SELECT a.*, CASE WHEN b.o_orderkey IS NULL THEN 'I' ELSE 'U' END AS op FROM a LEFT JOIN b USING (o_orderkey)
+WHERE b.o_orderkey IS NULL OR b.o_totalprice <> a.o_totalprice
+UNION ALL
+SELECT b.*, 'D' AS op FROM b ANTI JOIN a USING (o_orderkey)""",
     "incremental_stream": _scd1(DIMENSIONS[1]),
     "lakehouse_chain": _chain(),
     "fact_split_batches": _COARSE,

@@ -50,6 +50,14 @@ def stage_members(spec: DimSpec, silver: DataFrame, existing: DataFrame, path: s
     return stage_in_key_order(looked_up, spec.id, spec.key, path)
 
 
+def stage_unknown(spec: DimSpec, silver: DataFrame, existing: DataFrame, path: str) -> DataFrame:
+    """Write placeholders, without attributes, for the ids of ``silver`` that are no members yet, in key order."""
+    ids = silver.select(F.col(spec.source_id).alias(spec.id)).where(F.col(spec.id).isNotNull()).distinct()
+    unknown = ids.join(existing.select(spec.id), spec.id, "left_anti")
+    fields = {f.name: F.lit(None).cast(f.dataType) for f in spec.schema if f.name != spec.id}
+    return stage_in_key_order(unknown.withColumns(fields), spec.id, spec.key, path)
+
+
 def apply_members(spec: DimSpec, staged: DataFrame, existing: DataFrame) -> DataFrame:
     """The dimension after the batch: attributes overwritten, keys kept, new members appended."""
     numbered = number_new(staged, spec.key, highest_key(existing, spec.key))

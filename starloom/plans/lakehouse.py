@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import partial, reduce
 from operator import and_
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
 from starloom.operators.lookup import Size, measure, star_lookup
 from starloom.operators.upsert import require_unique, upsert
-from starloom.plans.dimension import apply_members, stage_members
+from starloom.plans.dimension import apply_members, stage_members, stage_unknown
 from starloom.plans.fact import build_fact, key_lookups, to_grain
 from starloom.plans.silver import to_silver
 from starloom.schemas import DATE, DIMENSIONS, FACT, FACT_KEYS, SILVER, DimSpec, same
@@ -94,22 +94,32 @@ class Lakehouse:
 
     def refresh_dimension(self, spec: DimSpec, silver: DataFrame) -> None:
         """Build the dimension or refresh it; nothing is written if the batch changes nothing."""
+        self._change_dimension(spec, silver, stage_members, F.col("changed"))
+
+    def infer_members(self, spec: DimSpec, silver: DataFrame) -> None:
+        """Give the ids of ``silver`` that are no members yet a key, without attributes; a later refresh fills those in."""
+        self._change_dimension(spec, silver, stage_unknown, F.lit(True))
+
+    def _change_dimension(self, spec: DimSpec, silver: DataFrame, stage: Callable, changes: Column) -> None:
         table = self.dims[spec.name]
         existing = table.read()
         path = new_folder(self.spark, f"members-{spec.name}")
         try:
-            staged = stage_members(spec, silver, existing, path)
-            if not table.exists() or not staged.where("changed").isEmpty():
+            staged = stage(spec, silver, existing, path)
+            if not table.exists() or not staged.where(changes).isEmpty():
                 table.replace(apply_members(spec, staged, existing))
                 self._measured.pop(spec.name, None)
         finally:
             drop_folder(self.spark, path)
 
     def refresh_dimensions(self, silver: DataFrame) -> None:
-        """Refresh all dimensions; they do not depend on each other, so their jobs run side by side."""
+        self._each_dimension(self.refresh_dimension, silver)
+
+    def _each_dimension(self, change: Callable, silver: DataFrame) -> None:
+        """Change all dimensions; they do not depend on each other, so their jobs run side by side."""
         inherit = inheritable_thread_target(self.spark)
         with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-            runs = [pool.submit(inherit(self.refresh_dimension), spec, silver) for spec in DIMENSIONS]
+            runs = [pool.submit(inherit(change), spec, silver) for spec in DIMENSIONS]
             for run in runs:
                 run.result()
 
@@ -123,7 +133,7 @@ class Lakehouse:
             self._measured |= dict(zip(stale, measure(list(stale.values()))))
         return [self._measured[n] for n in self.dims]
 
-    def load_fact(self, silver: DataFrame, on_duplicate: str = "raise", rebuild: bool = False) -> None:
+    def load_fact(self, silver: DataFrame, on_duplicate: str = "raise", rebuild: bool = False, infer: bool = False) -> None:
         """Build the fact from ``silver``, or merge it in as an increment that replaces what it matches.
 
         ``load_batch`` is the way for lines of one combination that may come in
@@ -131,10 +141,13 @@ class Lakehouse:
         (``aggregate``) or stay as they are (``keep``; a merge then replaces all
         rows of the combination). A line whose member was not known yet sits
         under a NULL key that no later merge can find again: pass all of silver
-        with ``rebuild`` once the dimension has caught up.
+        with ``rebuild`` once the dimension has caught up. With ``infer`` such members get
+        their keys first, so that a later refresh of the dimension is all that it takes.
         """
         if on_duplicate not in ON_DUPLICATE:
             raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}")
+        if infer:
+            self._each_dimension(self.infer_members, silver)
         rows = build_fact(silver, self.dimensions(), sizes=self._sizes())
         if on_duplicate == "aggregate":
             rows = to_grain(rows)

@@ -243,6 +243,20 @@ def test_late_member_needs_a_rebuild(spark, lake):
     assert list(files(lake.fact)) == ["date_keys_by_2=0"]
 
 
+def test_inferred_members_need_no_rebuild(spark, lake):
+    lake.load_batch(bronze(spark, {}), "0")
+    late = lake.write_silver(bronze(spark, {"Date_ID": "DT2", "Dealer_ID": "new", "DealerName": "New"}, {"Branch_ID": None, "Dealer_ID": "a"}), "1")
+    lake.load_fact(late, infer=True)
+    assert rows(lake.dims["dealer"].read()) == [("DLR000001", "Dealer One", 1), ("a", None, 2), ("new", None, 3)]
+    assert rows(lake.fact.read(), "dim_branch_key", "dim_dealer_key") == [(None, 2), (1, 1), (1, 3)]
+    before = files(lake.fact)
+    lake.refresh_dimensions(late)
+    assert rows(lake.dims["dealer"].read()) == [("DLR000001", "Dealer One", 1), ("a", "Dealer One", 2), ("new", "New", 3)]
+    lake.load_fact(late, infer=True)
+    assert rows(lake.dims["dealer"].read(), "dim_dealer_key") == [(1,), (2,), (3,)]
+    assert before and lake.fact.read().count() == 3
+
+
 def test_three_batches_equal_one_load_but_for_the_order_of_keys(spark, lake, folder):
     for n in range(3):
         lake.load_batch(bronze_batch(spark, SMALL, n), str(n), "aggregate")
