@@ -41,11 +41,11 @@ SPLIT_BATCHES = 3
 DATE_RANGE = ("DT19980101", "DT19980331")
 
 
-def _lakehouse(spark: SparkSession, label: str) -> Lakehouse:
+def _lakehouse(spark: SparkSession, label: str, **settings) -> Lakehouse:
     """An empty lakehouse in a folder, and with schema names, that no other run uses."""
     root = new_folder(spark, label)
     suffix = root.rsplit("-", 1)[1]
-    return Lakehouse(spark, root, f"silver_{suffix}", f"gold_{suffix}")
+    return Lakehouse(spark, root, f"silver_{suffix}", f"gold_{suffix}", **settings)
 
 
 def _silver(spark: SparkSession, folder: str) -> DataFrame:
@@ -254,6 +254,16 @@ def star_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return marts.star_rollup(lakehouse.fact.read(), {spec: dims[spec.name] for spec in DIMENSIONS}, rollup_groups())
 
 
+def rollup_maintained(spark: SparkSession, folder: str) -> DataFrame:
+    """Three batches and one of them again; the roll-up reads sums by date and model that were kept up to date with the fact."""
+    lakehouse = _lakehouse(spark, "rollup-maintained", totals={"sales_by_date_model": [DATE.key, MODEL.key]})
+    for batch in (*BATCHES, 1):
+        lakehouse.load_batch(order_lines.bronze_batch(spark, folder, batch), str(batch), on_duplicate="aggregate")
+    dims = lakehouse.dimensions()
+    totals = lakehouse.totals["sales_by_date_model"].read()
+    return marts.star_rollup(totals, {spec: dims[spec.name] for spec in DIMENSIONS}, rollup_groups())
+
+
 def incremental_hwm(spark: SparkSession, folder: str) -> DataFrame:
     events = order_lines.table(spark, folder, "events")
     loaded = events.where(F.col("ts") <= F.lit(LOADED_UNTIL).cast("timestamp_ntz"))
@@ -380,6 +390,7 @@ QUERIES: dict[str, Query] = {
     "merge_partial_columns": merge_partial_columns,
     "merge_multi_match_check": merge_multi_match_check,
     "star_rollup": star_rollup,
+    "rollup_maintained": rollup_maintained,
     "incremental_hwm": incremental_hwm,
     "cdc_apply": cdc_changes,
     "extract_diff": extract_changes,

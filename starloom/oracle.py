@@ -214,6 +214,9 @@ SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "star_rollup": f"""WITH {SILVER_CTE}
 SELECT Year, Model_Category, CAST(sum(Revenue) AS BIGINT) AS Revenue, CAST(sum(Units_Sold) AS BIGINT) AS Units_Sold
+FROM silver GROUP BY Year, Model_Category""",
+    "rollup_maintained": f"""WITH {SILVER_CTE}
+SELECT Year, Model_Category, CAST(sum(Revenue) AS BIGINT) AS Revenue, CAST(sum(Units_Sold) AS BIGINT) AS Units_Sold
 FROM silver GROUP BY Year, Model_Category""",
     "incremental_hwm": f"""
 SELECT * FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '{LOADED_UNTIL}')""",

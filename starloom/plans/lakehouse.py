@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from functools import partial, reduce
@@ -11,12 +11,13 @@ from operator import and_
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StringType, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from starloom.operators.lookup import Size, measure, star_lookup
 from starloom.operators.upsert import require_unique, upsert
 from starloom.plans.dimension import apply_members, stage_members, stage_unknown
 from starloom.plans.fact import build_fact, key_lookups, to_grain
+from starloom.plans.marts import key_totals
 from starloom.plans.silver import to_silver
 from starloom.schemas import DATE, DIMENSIONS, FACT, FACT_KEYS, SILVER, DimSpec, same
 from starloom.session import new_folder
@@ -44,6 +45,7 @@ class Lakehouse:
         gold_schema: str = "gold",
         dates_per_part: int = 64,
         silver_buckets: int = 64,
+        totals: Mapping[str, Sequence[str]] | None = None,
     ):
         self.spark, self.root = spark, root.rstrip("/")
         self.silver_schema, self.gold_schema = silver_schema, gold_schema
@@ -65,6 +67,16 @@ class Lakehouse:
             {self.fact_part: (IntegerType(), self.fact_part_of)}, "dim_date_key",
         )
 
+        # Sums per some keys, the date's among them, kept up to date with the fact and by the same partitions.
+        self.totals, self._total_keys = {}, dict(totals or {})
+        for name, keys in self._total_keys.items():
+            if "dim_date_key" not in keys:
+                raise ValueError(f"{name} needs dim_date_key, by which the fact changes")
+            schema = StructType([*(FACT[k] for k in keys), FACT["Revenue"], FACT["Units_Sold"], StructField("lines", LongType())])
+            self.totals[name] = CatalogTable(
+                spark, f"{gold_schema}.{name}", f"{self.root}/gold/{name}", schema, {self.fact_part: (IntegerType(), self.fact_part_of)}, "dim_date_key"
+            )
+
     # -- silver ---------------------------------------------------------------
 
     def write_silver(self, bronze: DataFrame, batch: str | None = None) -> DataFrame:
@@ -153,6 +165,7 @@ class Lakehouse:
             rows = to_grain(rows)
         if rebuild or not self.fact.exists():
             self.fact.replace(rows, partial(require_unique, keys=FACT_KEYS) if on_duplicate == "raise" else None)
+            self._refresh_totals(None)
             return
         self.merge_fact(rows, unique=on_duplicate != "raise")
 
@@ -176,9 +189,23 @@ class Lakehouse:
                 target = self.fact.read(self.fact_part).where(within).drop(self.fact_part)
                 with self.fact.staged(upsert(target, rows, FACT_KEYS, unique=True, touched=touched)):
                     self.fact.put(within)
+                self._refresh_totals(within)
         finally:
             drop_folder(self.spark, path)
 
+    def _refresh_totals(self, within: Column | None) -> None:
+        """Sum the fact's partitions that have changed once more, for each table of totals.
+
+        Adding differences would read no less, since a merge reads and writes these partitions whole,
+        and would count a batch twice, or never, if a crash came between the fact and its totals.
+        """
+        for name, table in self.totals.items():
+            missing = within is not None and not table.exists()
+            rows = self.fact.read(self.fact_part)
+            rows = rows if within is None or missing else rows.where(within)
+            with table.staged(key_totals(rows, self._total_keys[name])):
+                table.put(None if missing else within)
+
     # -- runs -----------------------------------------------------------------
 
     def load_batch(self, bronze: DataFrame, batch: str, on_duplicate: str = "raise") -> None:
@@ -266,5 +293,5 @@ class Lakehouse:
         if self.lines.exists():
             columns = ", ".join(SILVER.fieldNames())
             self.spark.sql(f"CREATE OR REPLACE VIEW {self.silver_schema}.sales AS SELECT {columns} FROM {self.lines.name}")
-        for table in (*self.dims.values(), self.fact):
+        for table in (*self.dims.values(), self.fact, *self.totals.values()):
             table.exists()

@@ -58,6 +58,12 @@ def star_rollup(
     return totals(rows, list(group)).select(*group, *sums)
 
 
+def key_totals(fact: DataFrame, keys: Sequence[str], *kept: str) -> DataFrame:
+    """Sums and numbers of facts per combination of some keys; what ``star_rollup`` gives over them is what it gives over the fact."""
+    sums = [F.sum(c).alias(c) for c in ("Revenue", "Units_Sold")]
+    return fact.groupBy(*keys, *kept).agg(*sums, F.count(F.lit(1)).alias("lines"))
+
+
 def fact_by_date_range(
     fact: DataFrame, dates: DataFrame, first: str, last: str, part_name: str, part_of: Column, sums: Sequence[str] = ("Revenue", "Units_Sold")
 ) -> DataFrame:

@@ -554,6 +554,40 @@ def test_a_date_range_reads_its_own_partitions(spark, lake):
     assert [os.path.dirname(f) for f in part.inputFiles()] == [f"file://{lake.fact.path}/{lake.fact_part}=1"] * len(part.inputFiles())
 
 
+def test_totals_follow_the_fact_by_its_partitions(spark, folder):
+    name = re.sub(r"\W", "_", folder.strip("/"))
+    make = lambda **more: Lakehouse(
+        spark, f"{folder}/lake", f"silver_{name}", f"gold_{name}", dates_per_part=2, **more
+    )
+    with pytest.raises(ValueError, match="dim_date_key"):
+        make(totals={"t": ["dim_model_key"]})
+    lake = make(totals={"by_date": ["dim_date_key"], "by_date_model": ["dim_date_key", "dim_model_key"]})
+
+    def check():
+        for table, keys in (("by_date", ["dim_date_key"]), ("by_date_model", ["dim_date_key", "dim_model_key"])):
+            wanted = lake.fact.read().groupBy(*keys).agg(F.sum("Revenue"), F.sum("Units_Sold"), F.count(F.lit(1)))
+            assert rows(lake.totals[table].read()) == rows(wanted) == rows(spark.table(f"{lake.gold_schema}.{table}").drop(lake.fact_part))
+
+    lake.load_batch(bronze(spark, *[{"Date_ID": f"DT{i}"} for i in range(6)], {"Model_ID": None}), "0")
+    check()
+    before = files(lake.totals["by_date"])
+    changed = bronze(spark, {"Date_ID": "DT2", "Revenue": 1}, {"Date_ID": "DT9"}, {"Date_ID": None})
+    lake.load_batch(changed, "1", "aggregate")
+    check()
+    after = files(lake.totals["by_date"])
+    assert sorted(p for p in before if after[p] == before[p]) == [f"{lake.fact_part}=0", f"{lake.fact_part}=2"]
+    lake.load_batch(changed, "1", "aggregate")
+    check()
+    lake.load_batch(changed.where("false"), "1", "aggregate")
+    check()
+    lake.reload(changed, "aggregate")
+    check()
+    # Totals that are declared later begin with the next change.
+    later = make(totals={"by_branch": ["dim_branch_key", "dim_date_key"]})
+    later.load_batch(bronze(spark, {"Date_ID": "DT3"}), "2", "aggregate")
+    assert later.totals["by_branch"].read().agg(F.sum("lines")).first()[0] == later.fact.read().count() == 4
+
+
 def test_rollup_adds_up_to_the_fact(spark, lake):
     lake.load_batch(bronze(spark, {}, {"Date_ID": None, "Revenue": 5}, {"Model_ID": None, "Revenue": 7}), "0")
     dims = {spec: lake.dims[spec.name].read() for spec in DIMENSIONS}
