@@ -320,6 +320,20 @@ def csv_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _by_natural_ids(lakehouse)
 
 
+def csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of 50 units land with a word for the number: they go into quarantine, all others are loaded."""
+    lakehouse = _lakehouse(spark, "csv-quarantine")
+    landing, refused = f"{lakehouse.root}/landing", f"{lakehouse.root}/refused"
+    units = F.when(F.col("Units_Sold") == 50, "many").otherwise(F.col("Units_Sold").cast("string"))
+    bronze = order_lines.bronze_sales(spark, folder).withColumn("Units_Sold", units)
+    bronze.write.option("header", True).option("escape", '"').csv(landing)
+    load_new_files(
+        lakehouse, landing, f"{lakehouse.root}/checkpoint", "keep", file_format="csv", quarantine=refused, most_refused=0.1
+    )
+    kept_aside = spark.read.parquet(refused).groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+    return kept_aside.unionByName(lakehouse.silver().agg(F.lit("loaded").alias("reason"), F.count(F.lit(1)).alias("lines")))
+
+
 def fact_by_date_range(spark: SparkSession, folder: str) -> DataFrame:
     """Sums per date over some months, from the partitions of the catalog's fact table that hold them."""
     lakehouse = _lakehouse(spark, "date-range")
@@ -397,6 +411,7 @@ QUERIES: dict[str, Query] = {
     "incremental_stream": incremental_stream,
     "fact_split_batches": fact_split_batches,
     "csv_stream": csv_stream,
+    "csv_quarantine": csv_quarantine,
     "fact_by_date_range": fact_by_date_range,
     "rollup_late_members": rollup_late_members,
     "lakehouse_chain": lakehouse_chain,

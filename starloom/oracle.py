@@ -237,6 +237,8 @@ SELECT b.*, 'D' AS op FROM b ANTI JOIN a USING (o_orderkey)""",
     "lakehouse_chain": _chain(),
     "fact_split_batches": _COARSE,
     "csv_stream": _COARSE,
+    "csv_quarantine": f"""WITH {LINES}
+SELECT CASE WHEN Units_Sold = 50 THEN 'Units_Sold: many' ELSE 'loaded' END AS reason, count(*) AS lines FROM lines GROUP BY 1""",
     "fact_by_date_range": f"""WITH {LINES}
 SELECT Date_ID AS date_id, CAST(sum(Revenue) AS BIGINT) AS Revenue, CAST(sum(Units_Sold) AS BIGINT) AS Units_Sold
 FROM lines WHERE Date_ID BETWEEN '{DATE_RANGE[0]}' AND '{DATE_RANGE[1]}' GROUP BY Date_ID""",

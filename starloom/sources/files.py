@@ -7,7 +7,7 @@ from functools import reduce
 from operator import and_
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 CORRUPT = "_corrupt_record"
@@ -78,3 +78,26 @@ def rows_after(df: DataFrame, column: str, mark: Any, keys: Sequence[str] = (),
     match = reduce(and_, [F.col(f"new.{k}").eqNullSafe(F.col(f"loaded.{k}")) for k in keys])
     newer = df.where((F.col(column) >= limit) | F.col(column).isNull())
     return newer.alias("new").join(ties, match, "left_anti")
+
+
+RAW = "raw_line"  # rows that could not be read keep their line here
+
+
+def with_raw_line(schema: StructType) -> StructType:
+    """``schema`` for a CSV reader that keeps lines it cannot read."""
+    return StructType([*schema.fields, StructField(RAW, StringType())])
+
+
+def refusal(schema: StructType) -> Column:
+    """Why the line in ``RAW`` is no row of ``schema``: the first value that does not fit, or the number of fields.
+
+    The line is read once more as strings; that costs nothing for lines that are rows.
+    """
+    texts = StructType([StructField(f.name, StringType()) for f in schema] + [StructField("too_many", StringType())])
+    fields = F.from_csv(F.col(RAW), texts.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), {"escape": '"'})
+    fits = [F.lit(None).cast("string")]
+    for f in schema:
+        value = fields[f.name]
+        bad = value.isNotNull() & value.try_cast(f.dataType).isNull()
+        fits.append(F.when(bad, F.concat(F.lit(f"{f.name}: "), value)))
+    return F.coalesce(*fits[1:], F.lit("number of fields"))

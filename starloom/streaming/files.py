@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from starloom.plans.lakehouse import Lakehouse
 from starloom.schemas import BRONZE
-from starloom.sources.files import csv_options
+from starloom.session import new_folder
+from starloom.sources.files import RAW, csv_options, refusal, with_raw_line
+from starloom.sources.tables import drop_folder
 
 
 FORMATS = ("parquet", "csv")
@@ -19,6 +25,8 @@ def load_new_files(
     on_duplicate: str = "raise",
     files_per_batch: int | None = None,
     file_format: str = "parquet",
+    quarantine: str | None = None,
+    most_refused: float = 0.01,
 ) -> list[int]:
     """Load the files in ``landing`` that no earlier run has loaded; return the rows of each micro-batch.
 
@@ -26,19 +34,55 @@ def load_new_files(
     by its path, and the fact is what silver gives, so neither the cut into
     micro-batches nor a file that comes again (after a crash, or with a new checkpoint)
     changes the result. CSV files have a header that names the bronze columns in order; a
-    row that does not fit fails the run.
+    row that does not fit fails the run. With a folder for ``quarantine`` such rows go there instead, with
+    their file, line and reason, and the others are loaded; a micro-batch of which more than the share
+    ``most_refused`` does not fit still fails, and leaves everything as it was.
     """
     if file_format not in FORMATS:
         raise ValueError(f"file_format must be one of {FORMATS}")
+    if quarantine is not None and file_format != "csv":
+        raise ValueError("only CSV rows can be put into quarantine")
     counts: list[int] = []
 
     def load(batch: DataFrame, number: int) -> None:
+        if quarantine is not None:
+            with parted(batch, number) as good:
+                load_rows(good)
+        else:
+            load_rows(batch)
+
+    def load_rows(rows: DataFrame) -> None:
         seen = Observation()
-        lakehouse.load_files(batch.observe(seen, F.count(F.lit(1)).alias("rows")), on_duplicate)
+        lakehouse.load_files(rows.observe(seen, F.count(F.lit(1)).alias("rows")), on_duplicate)
         counts.append(seen.get["rows"])
 
-    reader = lakehouse.spark.readStream.schema(BRONZE).option("recursiveFileLookup", "true")
-    if file_format == "csv":
+    @contextmanager
+    def parted(batch: DataFrame, number: int) -> Iterator[DataFrame]:
+        """The rows of a micro-batch that could be read; the files are read once, and good and bad rows written apart."""
+        spark, path = lakehouse.spark, new_folder(lakehouse.spark, "landed")
+        refused = F.col(RAW).isNotNull()
+        try:
+            # Spark answers from the file alone if no other column is asked for, hence the written copy.
+            batch.withColumn("refused", refused).withColumn("reason", F.when(refused, refusal(BRONZE))).write.partitionBy("refused").parquet(path)
+            fields = [*BRONZE.fields, *(StructField(c, StringType()) for c in (RAW, "file_path", "reason")), StructField("refused", BooleanType())]
+            landed = spark.read.schema(StructType(fields)).parquet(path)
+            rows, bad = landed.select(F.count(F.lit(1)), F.count_if("refused")).first()
+            if bad > most_refused * rows:
+                shown = [tuple(r) for r in landed.where("refused").select("file_path", RAW, "reason").limit(3).collect()]
+                raise ValueError(f"{bad} of {rows} rows do not fit, e.g. {shown}")
+            if bad:
+                # A micro-batch that comes again replaces its own folder.
+                own = landed.where("refused").select("file_path", RAW, "reason")
+                own.write.mode("overwrite").parquet(f"{quarantine}/batch={number}")
+            yield landed.where(~F.col("refused")).drop(RAW, "reason", "refused")
+        finally:
+            drop_folder(spark, path)
+
+    schema = BRONZE if quarantine is None else with_raw_line(BRONZE)
+    reader = lakehouse.spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    if quarantine is not None:
+        reader = csv_options(reader).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW)
+    elif file_format == "csv":
         reader = csv_options(reader).option("mode", "FAILFAST")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

@@ -654,3 +654,32 @@ def test_csv_files_with_a_bad_row_are_refused(spark, lake, folder):
     assert lake.silver().count() == 1
     with pytest.raises(ValueError, match="file_format"):
         load_new_files(lake, landing, f"{folder}/c", file_format="xml")
+
+
+def test_rows_that_cannot_be_read_go_into_quarantine(spark, lake, folder):
+    landing, aside = f"{folder}/landing", f"{folder}/refused"
+    os.makedirs(landing)
+    header = ",".join(DEFAULTS)
+
+    def land(name, *lines):
+        with open(f"{landing}/{name}.csv", "w", newline="") as file:
+            file.write("\r\n".join([header, *lines]) + "\r\n")
+
+    good = 'BR1,D1,Alpha-M1,100,2,DT{0},1,1,2020,North,"Fisker, Karma",Alpha'
+    land("a", *(good.format(i) for i in range(8)), good.format(9).replace(",100,", ",seven,"), "BR1,D1", "")
+    load = lambda **more: load_new_files(
+        lake, landing, f"{folder}/c", file_format="csv", quarantine=aside, files_per_batch=1, **more
+    )
+    with pytest.raises(Exception, match="2 of 10 rows do not fit"):
+        load()
+    assert not lake.fact.exists() and not os.path.exists(aside)
+    assert load(most_refused=0.2) == [8]
+    land("b", good.format(20))
+    assert load() == [1] and lake.silver().count() == lake.fact.read().count() == 9
+    found = spark.read.parquet(aside)
+    assert rows(found, "reason") == [("Revenue: seven",), ("number of fields",)]
+    assert all(r["file_path"].endswith("/a.csv") for r in found.collect())
+    assert rows(found, "raw_line") == [("BR1,D1",), (good.format(9).replace(",100,", ",seven,"),)]
+    assert {r[0] for r in lake.silver().select("DealerName").collect()} == {"Fisker, Karma"}
+    with pytest.raises(ValueError, match="quarantine"):
+        load_new_files(lake, landing, f"{folder}/c", quarantine=aside)
