@@ -24,7 +24,7 @@ from starloom.schemas import BRONZE, DATE, DIMENSIONS, FACT_KEYS, MODEL, DimSpec
 from starloom.session import new_folder
 from starloom.sources import order_lines
 from starloom.sources.files import high_water_mark, on_files, read_csv, read_parquet, rows_after
-from starloom.streaming import load_new_files
+from starloom.streaming import close_windows, load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -363,6 +363,20 @@ def incremental_stream(spark: SparkSession, folder: str) -> DataFrame:
     return lakehouse.dims["dealer"].read()
 
 
+def event_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Events per type and six hours, of windows that are closed an hour after their end; the events land in two runs."""
+    events = order_lines.table(spark, folder, "events").select("event_id", "ts", "event_type", "value")
+    root = new_folder(spark, "event-windows")
+    first = F.col("ts") <= F.lit(LOADED_UNTIL).cast("timestamp_ntz")
+    for run, part in enumerate((events.where(first), events.where(~first))):
+        part.write.parquet(f"{root}/landing/{run}")
+        close_windows(
+            spark, f"{root}/landing", events.schema, "ts", "6 hours", "1 hour", ["event_type"],
+            {"events": F.count(F.lit(1)), "first_id": F.min("event_id"), "last_id": F.max("event_id")}, f"{root}/closed", f"{root}/checkpoint",
+        )
+    return spark.read.parquet(f"{root}/closed").drop("batch")
+
+
 def lakehouse_chain(spark: SparkSession, folder: str) -> DataFrame:
     """Three batches through all layers, then one line for each gold table, read from the catalog."""
     lakehouse = _lakehouse(spark, "chain")
@@ -413,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "csv_stream": csv_stream,
     "csv_quarantine": csv_quarantine,
     "fact_by_date_range": fact_by_date_range,
+    "event_windows": event_windows,
     "rollup_late_members": rollup_late_members,
     "lakehouse_chain": lakehouse_chain,
 }

@@ -233,6 +233,10 @@ SELECT a.*, CASE WHEN b.o_orderkey IS NULL THEN 'I' ELSE 'U' END AS op FROM a LE
 WHERE b.o_orderkey IS NULL OR b.o_totalprice <> a.o_totalprice
 UNION ALL
 SELECT b.*, 'D' AS op FROM b ANTI JOIN a USING (o_orderkey)""",
+    "event_windows": """
+WITH e AS (SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2024-01-01') AS window_start FROM events)
+SELECT window_start, window_start + INTERVAL 6 HOUR AS window_end, event_type, count(*) AS events, min(event_id) AS first_id, max(event_id) AS last_id
+FROM e WHERE window_start + INTERVAL 7 HOUR <= (SELECT max(ts) FROM events) GROUP BY window_start, event_type""",
     "incremental_stream": _scd1(DIMENSIONS[1]),
     "lakehouse_chain": _chain(),
     "fact_split_batches": _COARSE,
