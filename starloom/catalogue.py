@@ -23,6 +23,7 @@ from starloom.plans.silver import to_silver
 from starloom.schemas import BRONZE, DATE, DIMENSIONS, FACT_KEYS, MODEL, DimSpec
 from starloom.session import new_folder
 from starloom.sources import order_lines
+from starloom.sources.drift import reconcile
 from starloom.sources.files import high_water_mark, on_files, read_csv, read_parquet, rows_after
 from starloom.streaming import close_windows, load_new_files
 
@@ -37,6 +38,8 @@ LOADED_UNTIL = "2024-01-15"
 MERGE_YEAR = 1998
 # Parts into which the lines of the same ids are split.
 SPLIT_BATCHES = 3
+# Columns that no bronze file may lack.
+FACT_IDS = [spec.source_id for spec in DIMENSIONS]
 # First and last date id of the report on some dates.
 DATE_RANGE = ("DT19980101", "DT19980331")
 
@@ -105,6 +108,19 @@ def csv_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path, BRONZE)
 
 
+def bronze_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Three generations of bronze files: without the product and with small numbers; whole; with a further column, and some refused."""
+    path = new_folder(spark, "bronze-drift")
+    old, whole, new = (order_lines.bronze_batch(spark, folder, batch) for batch in BATCHES)
+    old.drop("Product_Name").withColumn("Units_Sold", F.col("Units_Sold").cast("smallint")).write.parquet(f"{path}/0")
+    whole.write.parquet(f"{path}/1")
+    discounted = new.withColumn("Discount", F.lit(0.5))
+    even = F.col("Units_Sold") % 2 == 0
+    discounted.where(even).withColumn("Units_Sold", F.col("Units_Sold").cast("int")).write.parquet(f"{path}/2")
+    discounted.where(~even).withColumn("Units_Sold", F.lit("odd")).write.parquet(f"{path}/3")
+    return reconcile(spark, path, expected=BRONZE, required=FACT_IDS, recursive=True, most_refused=10_000).read(spark)
+
+
 # -- dimensions ---------------------------------------------------------------
 
 
@@ -405,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "sql_on_files": sql_on_files,
     "units_by_year_branch": units_by_year_branch,
     "csv_incremental": csv_incremental,
+    "bronze_drift": bronze_drift,
     **{f"{spec.table}_initial": partial(dim_initial, spec) for spec in DIMENSIONS},
     **{f"{spec.table}_lookup": partial(dim_lookup, spec) for spec in DIMENSIONS},
     **{f"{spec.table}_scd1": partial(dim_scd1, spec) for spec in DIMENSIONS},

@@ -178,6 +178,10 @@ FROM silver GROUP BY Year, BranchName ORDER BY Year, total_units_sold DESC, Bran
     "csv_incremental": f"""WITH {LINES}
 SELECT * REPLACE (Product_Name || ', "' || BranchName || '"' AS Product_Name)
 FROM (SELECT {BRONZE_COLUMNS} FROM lines)""",
+    "bronze_drift": f"""WITH {CHAIN_CTE}
+SELECT {BRONZE_COLUMNS.replace("Product_Name", "CASE WHEN batch > 0 THEN Product_Name END AS Product_Name")},
+       CASE WHEN batch = 2 THEN CAST(0.5 AS DOUBLE) END AS Discount
+FROM silver WHERE batch < 2 OR Units_Sold % 2 = 0""",
     **{f"{spec.table}_initial": _initial(spec) for spec in DIMENSIONS},
     **{f"{spec.table}_lookup": _lookup(spec) for spec in DIMENSIONS},
     **{f"{spec.table}_scd1": _scd1(spec) for spec in DIMENSIONS},

@@ -1,0 +1,153 @@
+"""Files of several schemas under one folder, read as one table."""
+
+import datetime as dt
+import decimal
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, _parse_datatype_string as parse
+
+from fixtures import bronze, plan, rows
+from starloom.plans.lakehouse import Lakehouse
+from starloom.schemas import BRONZE
+from starloom.sources.drift import SchemaDrift, file_schemas, reconcile, widened
+
+
+def save(spark, path, schema, *values):
+    spark.createDataFrame(list(values), schema).coalesce(1).write.mode("append").parquet(path)
+
+
+# Two types and what holds values of both.
+PAIRS = [
+    ("smallint", "bigint", "bigint"),
+    ("tinyint", "smallint", "smallint"),
+    ("int", "double", "double"),
+    ("float", "int", "double"),
+    ("float", "double", "double"),
+    ("int", "decimal(5,2)", "decimal(12,2)"),
+    ("bigint", "decimal(5,2)", "decimal(22,2)"),
+    ("decimal(5,4)", "decimal(8,1)", "decimal(11,4)"),
+    ("date", "timestamp_ntz", "timestamp_ntz"),
+    ("array<int>", "array<bigint>", "array<bigint>"),
+    ("struct<a:int>", "struct<a:bigint,b:string>", "struct<a:bigint,b:string>"),
+    ("map<string,int>", "map<string,double>", "map<string,double>"),
+    ("bigint", "double", None),
+    ("bigint", "float", None),
+    ("int", "string", None),
+    ("date", "timestamp", None),
+    ("timestamp", "timestamp_ntz", None),
+    ("decimal(38,0)", "decimal(5,4)", None),
+    ("struct<a:int>", "struct<a:string>", None),
+    ("array<int>", "int", None),
+]
+
+
+@pytest.mark.parametrize("a, b, both", PAIRS)
+def test_widened_types_either_way(spark, a, b, both):
+    for one, other in ((a, b), (b, a)):
+        found = widened(parse(one), parse(other))
+        assert (found and found.simpleString()) == both
+
+
+# A value of each type and what it reads back as.
+VALUES = {
+    "tinyint": 7, "smallint": 300, "int": -70_000, "bigint": 1 << 40, "float": 0.5, "double": 0.1,
+    "decimal(5,2)": decimal.Decimal("123.45"), "decimal(5,4)": decimal.Decimal("1.2345"), "decimal(8,1)": decimal.Decimal("1234567.8"),
+    "date": dt.date(2024, 2, 29), "timestamp_ntz": dt.datetime(2024, 2, 29, 13, 5), "array<int>": [1, None], "array<bigint>": [1 << 40],
+    "struct<a:int>": (1,), "struct<a:bigint,b:string>": (1 << 40, "x"), "map<string,int>": {"x": 1}, "map<string,double>": {"y": 0.1},
+}
+
+
+@pytest.mark.parametrize("vectorized", ["true", "false"])
+@pytest.mark.parametrize("a, b, both", [p for p in PAIRS if p[2]])
+def test_values_of_both_types_read_without_loss(spark, folder, a, b, both, vectorized):
+    for n, kind in enumerate((a, b)):
+        save(spark, f"{folder}/t", f"n int, v {kind}", (n, VALUES[kind]))
+    spark.conf.set("spark.sql.parquet.enableVectorizedReader", vectorized)
+    try:
+        found = reconcile(spark, f"{folder}/t").read(spark)
+        assert found.schema["v"].dataType.simpleString() == both
+        for n, kind in enumerate((a, b)):
+            value = (*VALUES[kind], None)[:2] if kind.startswith("struct") else VALUES[kind]
+            want = spark.createDataFrame([(value,)], f"v {both if kind.startswith('struct') else kind}").select(F.col("v").cast(both)).collect()
+            assert found.where(F.col("n") == n).select("v").collect() == want
+    finally:
+        spark.conf.unset("spark.sql.parquet.enableVectorizedReader")
+
+
+def test_columns_added_and_removed(spark, folder):
+    save(spark, f"{folder}/t", "id int, a string", (1, "x"), (2, None))
+    save(spark, f"{folder}/t", "b double, ID bigint", (0.5, 3))
+    found = reconcile(spark, f"{folder}/t")
+    assert rows(found.read(spark), "id", "a", "b") == [(1, "x", None), (2, None, None), (3, None, 0.5)]
+    assert not found.refused
+
+
+def test_filter_on_a_widened_column_is_pushed_and_right(spark, folder):
+    save(spark, f"{folder}/t", "id int, other string", (1, "x"), (2, "y"))
+    save(spark, f"{folder}/t", "id bigint, other string", (2, "z"), (1 << 40, "w"))
+    found = reconcile(spark, f"{folder}/t").read(spark)
+    assert rows(found.where("id = 2"), "other") == [("y",), ("z",)]
+    assert rows(found.where(f"id = {1 << 40}"), "other") == [("w",)]
+    text = plan(found.where("id = 2").select("id"))
+    assert "EqualTo(id,2)" in text and "ReadSchema: struct<id:bigint>" in text
+
+
+def test_files_that_do_not_fit_are_named_and_never_opened(spark, folder):
+    path = f"{folder}/a folder with 100% spaces"
+    save(spark, path, "id int, v int", (1, 1))
+    save(spark, path, "id int, v int", (2, 2))
+    save(spark, path, "id int, v string", (3, "three"))
+    save(spark, path, "v int", (4,))
+    with open(f"{path}/broken.parquet", "wb") as file:
+        file.write(b"no Parquet at all")
+    pq.write_table(pa.table({"id": [5], "v": pa.array([5], pa.timestamp("ns"))}), f"{path}/nanos.parquet")
+    pq.write_table(pa.table([[6], [7]], names=["id", "ID"]), f"{path}/case.parquet")
+    with pytest.raises(SchemaDrift, match="5 files do not fit"):
+        reconcile(spark, path, required=["id"])
+    with pytest.raises(SchemaDrift, match="5 files do not fit"):
+        reconcile(spark, path, required=["id"], most_refused=4)
+    found = reconcile(spark, path, required=["id"], most_refused=5)
+    assert rows(found.read(spark), "id", "v") == [(1, 1), (2, 2)]
+    reasons = sorted(found.refused.values())
+    assert "id: missing" in reasons and "v: string instead of int" in reasons
+    assert any("nanoseconds" in r for r in reasons) and any("differ in case" in r for r in reasons)
+    assert any("broken.parquet" in name for name in found.refused)
+
+
+def test_more_files_decide_and_what_is_expected_comes_first(spark, folder):
+    for n in range(2):
+        save(spark, f"{folder}/t", "v string", (str(n),))
+    save(spark, f"{folder}/t", "v int", (7,))
+    assert rows(reconcile(spark, f"{folder}/t", most_refused=1).read(spark), "v") == [("0",), ("1",)]
+    found = reconcile(spark, f"{folder}/t", expected=StructType().add("v", "long"), most_refused=2)
+    assert rows(found.read(spark), "v") == [(7,)] and len(found.refused) == 2
+
+
+def test_files_of_other_writers(spark, folder):
+    pq.write_table(pa.table({"t": pa.array([0], pa.timestamp("us")), "u": pa.array([0], pa.timestamp("us", "UTC")), "v": pa.array([1], pa.int32())}), f"{folder}/a.parquet")
+    found = reconcile(spark, folder)
+    assert found.schema.simpleString() == "struct<t:timestamp_ntz,u:timestamp,v:int>"
+    pq.write_table(pa.table({"u": pa.array([0], pa.timestamp("us"))}), f"{folder}/b.parquet", use_deprecated_int96_timestamps=True)
+    assert reconcile(spark, folder).schema["u"].dataType.simpleString() == "timestamp"
+
+
+def test_no_files_and_too_many_schemas(spark, folder):
+    spark.createDataFrame([], "a int").write.parquet(f"{folder}/none")
+    assert reconcile(spark, f"{folder}/none", expected=BRONZE).read(spark).count() == 0
+    for n in range(3):
+        save(spark, f"{folder}/t", f"c{n} int", (n,))
+    with pytest.raises(SchemaDrift, match="more than 2 different schemas"):
+        reconcile(spark, f"{folder}/t", most_schemas=2)
+    assert file_schemas(spark, f"{folder}/t").count() == 3
+
+
+def test_drifting_bronze_goes_through_all_layers(spark, folder):
+    bronze(spark, {"Revenue": 3}).withColumn("Units_Sold", F.col("Units_Sold").cast("int")).write.parquet(f"{folder}/in/0")
+    bronze(spark, {"Revenue": 4, "Date_ID": "DT2"}).withColumn("Discount", F.lit(1.5)).write.parquet(f"{folder}/in/1")
+    lines = reconcile(spark, f"{folder}/in", expected=BRONZE, recursive=True).read(spark)
+    house = Lakehouse(spark, f"{folder}/house", "silver_drift", "gold_drift")
+    house.load_batch(lines, "all")
+    assert rows(house.fact.read(), "Revenue", "Units_Sold") == [(3, 2), (4, 2)]
