@@ -36,6 +36,8 @@ BATCHES = range(LAST_BATCH + 1)
 LOADED_UNTIL = "2024-01-15"
 # Sales before this year form the target of the partial merge, later ones its source.
 MERGE_YEAR = 1998
+# Buckets of the fact that is merged without a shuffle of its rows.
+FACT_BUCKETS = 8
 # Parts into which the lines of the same ids are split.
 SPLIT_BATCHES = 3
 # Columns that no bronze file may lack.
@@ -221,9 +223,9 @@ def fact_grain(spark: SparkSession, folder: str) -> DataFrame:
     return to_grain(fact_sales(spark, folder))
 
 
-def fact_merge(spark: SparkSession, folder: str) -> DataFrame:
+def fact_merge(spark: SparkSession, folder: str, **settings) -> DataFrame:
     """Batches 0 and 1 as the fact; batch 1 corrected by one unit a line, and batch 2, merged into it."""
-    lakehouse = _lakehouse(spark, "fact-merge")
+    lakehouse = _lakehouse(spark, "fact-merge", **settings)
     batches = [
         lakehouse.write_silver(order_lines.bronze_batch(spark, folder, batch), str(batch)) for batch in BATCHES
     ]
@@ -432,6 +434,7 @@ QUERIES: dict[str, Query] = {
     "fact_inferred_members": fact_inferred_members,
     "fact_grain": fact_grain,
     "fact_merge": fact_merge,
+    "fact_merge_bucketed": partial(fact_merge, fact_buckets=FACT_BUCKETS),
     "merge_partial_columns": merge_partial_columns,
     "merge_multi_match_check": merge_multi_match_check,
     "star_rollup": star_rollup,

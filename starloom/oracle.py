@@ -197,14 +197,14 @@ WHERE place = 1""",
 SELECT {FACT_COLUMNS}, {", ".join(f"{spec.source_id} AS {spec.id}" for spec in DIMENSIONS)},
        BranchName, DealerName, Model_Category AS model_category FROM fact""",
     "fact_grain": f"{_fact(SILVER_CTE, _dim_keys())}\n{_GRAIN} FROM fact GROUP BY {KEYS}",
-    "fact_merge": f"""{_fact(CHAIN_CTE, _dim_keys())},
+    **dict.fromkeys(("fact_merge", "fact_merge_bucketed"), f"""{_fact(CHAIN_CTE, _dim_keys())},
 target AS ({_GRAIN} FROM fact WHERE batch < 2 GROUP BY {KEYS}),
 source AS ({_GRAIN} FROM (
   SELECT * REPLACE (CASE WHEN batch = 1 THEN Units_Sold + 1 ELSE Units_Sold END AS Units_Sold)
   FROM fact WHERE batch > 0) GROUP BY {KEYS})
 SELECT {FACT_COLUMNS} FROM source
 UNION ALL
-SELECT {FACT_COLUMNS} FROM target ANTI JOIN source USING ({KEYS})""",
+SELECT {FACT_COLUMNS} FROM target ANTI JOIN source USING ({KEYS})"""),
     "merge_partial_columns": f"""WITH {SILVER_CTE},
 t AS (SELECT Dealer_ID, Model_ID, sum(Revenue) AS Revenue, sum(Units_Sold) AS Units_Sold
       FROM silver WHERE Year < {MERGE_YEAR} GROUP BY 1, 2),

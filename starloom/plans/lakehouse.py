@@ -35,6 +35,9 @@ class Lakehouse:
     the date id, which needs no table and no order of ids, and by batch; the fact by ranges of
     ``dates_per_part`` date keys, which grow with arrival. Both are parts of the merge
     key, so an increment reads and rewrites the partitions of its own dates and leaves all others unread.
+    With ``fact_buckets`` the fact also lies in that many buckets by its four keys, so that a merge shuffles
+    the increment alone. A bucket is one task's, so a large fact needs some thousands; they are even,
+    as such a fact has one row for each combination of keys (``on_duplicate="keep"`` is refused).
     """
 
     def __init__(
@@ -46,6 +49,7 @@ class Lakehouse:
         dates_per_part: int = 64,
         silver_buckets: int = 64,
         totals: Mapping[str, Sequence[str]] | None = None,
+        fact_buckets: int = 0,
     ):
         self.spark, self.root = spark, root.rstrip("/")
         self.silver_schema, self.gold_schema = silver_schema, gold_schema
@@ -64,7 +68,7 @@ class Lakehouse:
         self.fact_part, self.fact_part_of = f"date_keys_by_{dates_per_part}", range_bucket("dim_date_key", dates_per_part)
         self.fact = CatalogTable(
             spark, f"{gold_schema}.fact_sales", f"{self.root}/gold/fact_sales", FACT,
-            {self.fact_part: (IntegerType(), self.fact_part_of)}, "dim_date_key",
+            {self.fact_part: (IntegerType(), self.fact_part_of)}, "dim_date_key", (FACT_KEYS, fact_buckets) if fact_buckets else None,
         )
 
         # Sums per some keys, the date's among them, kept up to date with the fact and by the same partitions.
@@ -156,8 +160,7 @@ class Lakehouse:
         with ``rebuild`` once the dimension has caught up. With ``infer`` such members get
         their keys first, so that a later refresh of the dimension is all that it takes.
         """
-        if on_duplicate not in ON_DUPLICATE:
-            raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}")
+        self._check_mode(on_duplicate)
         if infer:
             self._each_dimension(self.infer_members, silver)
         rows = build_fact(silver, self.dimensions(), sizes=self._sizes())
@@ -186,8 +189,12 @@ class Lakehouse:
             parts = [r[0] for r in keys.select(self.fact_part_of.alias("part")).distinct().collect()]
             if parts:
                 within = F.col(self.fact_part).isin(parts)
-                target = self.fact.read(self.fact_part).where(within).drop(self.fact_part)
-                with self.fact.staged(upsert(target, rows, FACT_KEYS, unique=True, touched=touched)):
+                if self.fact.bucket_keys:
+                    merged = self.fact.merged(rows, keys, within)
+                else:
+                    target = self.fact.read(self.fact_part).where(within).drop(self.fact_part)
+                    merged = upsert(target, rows, FACT_KEYS, unique=True, touched=touched)
+                with self.fact.staged(merged, laid_out=bool(self.fact.bucket_keys)):
                     self.fact.put(within)
                 self._refresh_totals(within)
         finally:
@@ -206,6 +213,13 @@ class Lakehouse:
             with table.staged(key_totals(rows, self._total_keys[name])):
                 table.put(None if missing else within)
 
+    def _check_mode(self, on_duplicate: str) -> None:
+        if on_duplicate not in ON_DUPLICATE:
+            raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}")
+        if on_duplicate == "keep" and self.fact.bucket_keys:
+            # All lines of one combination would be a single task's.
+            raise ValueError("a fact in buckets has one row for each combination of keys: it cannot keep several")
+
     # -- runs -----------------------------------------------------------------
 
     def load_batch(self, bronze: DataFrame, batch: str, on_duplicate: str = "raise") -> None:
@@ -230,8 +244,7 @@ class Lakehouse:
             self._load(new, [r["batch"] for r in new.select("batch").distinct().collect()], on_duplicate)
 
     def _load(self, new: DataFrame, names: list[str], on_duplicate: str) -> None:
-        if on_duplicate not in ON_DUPLICATE:
-            raise ValueError(f"on_duplicate must be one of {ON_DUPLICATE}")
+        self._check_mode(on_duplicate)
         here = F.col("batch").isin(names) if names else F.lit(False)
         present = self.lines.read(self.bucket, "batch")
         silver = present.where(~here).unionByName(new)

@@ -10,8 +10,10 @@ rows. A table has one writer at a time; who reads files that are replaced meanwh
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, StructField, StructType
@@ -42,13 +44,18 @@ class CatalogTable:
     """The external table ``name``; ``parts`` gives type and expression of each partition column, never null.
 
     ``order`` sorts the rows of each file, which narrows the value range of its row groups.
+    With ``buckets``, keys and a number, rows lie in that many buckets by their keys, and
+    ``merged`` finds rows to replace without a shuffle of the table. Such keys are numbers from 1 on, and the files hold
+    0 for NULL, so that an ordinary equality finds it; ``read`` gives NULL again.
     """
 
     def __init__(
         self, spark: SparkSession, name: str, path: str, schema: StructType,
         parts: Mapping[str, tuple[DataType, Column]] | None = None, order: str | None = None,
+        buckets: tuple[Sequence[str], int] | None = None,
     ):
         self.spark, self.name, self.path, self.schema, self.order = spark, name, path, schema, order
+        self.bucket_keys, self.bucket_number = ([*buckets[0]], buckets[1]) if buckets else ([], 0)
         self.parts = dict(parts or {})
         self.whole = StructType([*schema.fields, *(StructField(p, kind) for p, (kind, _) in self.parts.items())])
         parent, _, folder = path.rpartition("/")
@@ -72,22 +79,51 @@ class CatalogTable:
         columns = [*self.schema.fieldNames(), *with_parts]
         if not self.exists():
             return no_rows(self.spark, self.whole).select(columns)
-        return self.spark.table(self.name).select(columns)
+        return self._with_nulls(self.spark.table(self.name).select(columns))
+
+    def _with_nulls(self, stored: DataFrame) -> DataFrame:
+        return stored.select([F.nullif(c, F.lit(0)).alias(c) if c in self.bucket_keys else F.col(c) for c in stored.columns])
+
+    def _without_nulls(self, df: DataFrame) -> DataFrame:
+        def key(c: str) -> Column:
+            refused = F.raise_error(F.concat(F.lit(f"{self.name}: {c} must not be "), F.col(c).cast("string")))
+            return F.when(F.col(c) < 1, refused.cast("bigint")).otherwise(F.coalesce(c, F.lit(0))).cast(self.schema[c].dataType).alias(c)
+
+        return df.select([key(c) if c in self.bucket_keys else F.col(c) for c in df.columns])
+
+    def merged(self, rows: DataFrame, replaced: DataFrame, within: Column) -> DataFrame:
+        """Rows of the partitions ``within`` whose keys are not in ``replaced``, and ``rows``, laid out by bucket.
+
+        Only ``rows`` and ``replaced`` are shuffled, to where the table's buckets are read. Both kinds of rows of a
+        bucket come from a task of their own, so what is written has two files for each bucket at most.
+        """
+        keys = self.bucket_keys
+        old = self.spark.table(self.name).where(within).select(self.schema.fieldNames()).alias("old")
+        gone = self._without_nulls(replaced.select(keys)).alias("gone")
+        match = reduce(and_, [F.col(f"old.{k}") == F.col(f"gone.{k}") for k in keys])
+        kept = old.join(gone, match, "left_anti")
+        new = self._without_nulls(rows.select(self.schema.fieldNames())).repartition(self.bucket_number, *keys)
+        return self._with_nulls(kept.unionByName(new))
 
     @contextmanager
-    def staged(self, df: DataFrame) -> Iterator[DataFrame]:
-        """``df`` with its partition columns, written aside; gone afterwards unless an overwrite from it was cut off."""
+    def staged(self, df: DataFrame, laid_out: bool = False) -> Iterator[DataFrame]:
+        """``df`` with its partition columns, written aside; gone afterwards unless an overwrite from it was cut off.
+
+        Rows are brought together by partition or bucket, unless they are ``laid_out`` already.
+        """
         self.exists()
         for part, (kind, value) in self.parts.items():
             df = df.withColumn(part, value.cast(kind))
-        df = df.select(self.whole.fieldNames())
-        if self.parts:
+        df = self._without_nulls(df.select(self.whole.fieldNames()))
+        if self.bucket_keys and not laid_out:
+            df = df.repartition(self.bucket_number, *self.bucket_keys)
+        elif self.parts and not laid_out:
             # Brings a partition's rows together, and splits one that is too large for a task.
             df = df.hint("rebalance", *self.parts)
         sort = [*self.parts, *([self.order] if self.order else [])]
         (df.sortWithinPartitions(*sort) if sort else df).write.mode("overwrite").parquet(self.aside)
         try:
-            yield self.spark.read.schema(self.whole).parquet(self.aside)
+            yield self._with_nulls(self.spark.read.schema(self.whole).parquet(self.aside))
         finally:
             if not any(exists(self.spark, f"{self.aside}/{mark}") for mark in _MARKS.values()):
                 drop_folder(self.spark, self.aside)
@@ -135,13 +171,17 @@ class CatalogTable:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.whole)
             by = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in self.parts)})" if self.parts else ""
             self._check_folders()
-            self.spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet {by} LOCATION '{self.path}'")
+            keys = ", ".join(f"`{k}`" for k in self.bucket_keys)
+            buckets = f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.bucket_number} BUCKETS" if keys else ""
+            self.spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet {by} {buckets} LOCATION '{self.path}'")
             if self.parts and exists(self.spark, self.path):
                 self.spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
         described = {r["col_name"]: r["data_type"] for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").collect()}
         hadoop_path, fs = file_system(self.spark, self.path)
         if described["Location"] != fs.makeQualified(hadoop_path).toString():
             raise ValueError(f"{self.name} is a table at {described['Location']}, not at {self.path}")
+        if int(described.get("Num Buckets", 0)) != self.bucket_number:
+            raise ValueError(f"{self.name} has {described.get('Num Buckets', 0)} buckets, not {self.bucket_number}")
         columns = self.spark.table(self.name).columns
         if columns != self.whole.fieldNames():
             raise ValueError(f"{self.name} has the columns {columns}, not {self.whole.fieldNames()}")
