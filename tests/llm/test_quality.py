@@ -1,11 +1,12 @@
+import math
 import re
 from collections import Counter
 
 import numpy as np
 from cases import SMALL, bag, make_docs
 
-from starloom.llm.features import sample_texts
-from starloom.llm.quality import calibrate, keep_good, quality
+from starloom.llm.features import one_task, sample_texts
+from starloom.llm.quality import Settings, calibrate, keep_good, quality
 from starloom.llm.queries import QUERIES
 
 MIDDLE = "/root/testdata/sf0.1"
@@ -64,6 +65,60 @@ def test_model_tells_good_from_bad(spark):
     assert bag(kept) == sorted((tuple(r) for r in docs.collect() if found[r.doc_id]), key=str)
 
 
+def grams(text):
+    """N-grams of a text as they are, by kind: one to three characters, words, pairs of words."""
+    words = re.findall("[^\\x20\\x09-\\x0D]+", text)
+    chars = [[text[i : i + n] for i in range(len(text) - n + 1)] for n in (1, 2, 3)]
+    return [Counter((kind, g) for g in found) for kind, found in enumerate([*chars, words, list(zip(words, words[1:]))])]
+
+
+def chance_of(x):
+    return 1 / (1 + math.exp(-max(-35, min(35, x))))
+
+
+def plain_model(rows, settings):
+    """Weights by n-gram, bias, slope and shift from texts and labels in training order, without tables, hashes or arrays."""
+    inputs = [({g: n / f.total() for f in grams(t) for g, n in f.items()}, y) for t, y in rows]
+    fit, apart = [r for i, r in enumerate(inputs) if i % 5], inputs[::5]
+    share = sum(y for _, y in fit) / len(fit)
+    w, s, bias, bias_s = Counter(), {}, 0.0, 1e-8
+    for _ in range(settings.passes):
+        for x, y in fit:
+            odds = bias + sum(w[g] * v for g, v in x.items())
+            error = (chance_of(odds) - y) * (0.5 / share if y else 0.5 / (1 - share))
+            for g, v in x.items():
+                slope = error * v + settings.l2 * w[g]
+                s[g] = s.get(g, 1e-8) + slope * slope
+                w[g] -= settings.rate * slope / math.sqrt(s[g])
+            bias_s += error * error
+            bias -= settings.rate * error / math.sqrt(bias_s)
+    # The likelihood of the smoothed labels, climbed in small steps.
+    points = [(bias + sum(w[g] * v for g, v in x.items()), y) for x, y in apart]
+    good = sum(y for _, y in points)
+    target = [(good + 1) / (good + 2) if y else 1 / (len(points) - good + 2) for _, y in points]
+    slope, shift = 1.0, 0.0
+    for _ in range(60_000):
+        errors = [chance_of(slope * o + shift) - t for (o, _), t in zip(points, target)]
+        slope -= 0.02 * sum(e * o for e, (o, _) in zip(errors, points)) / len(points)
+        shift -= 0.02 * sum(errors) / len(points)
+    return w, bias, slope, shift
+
+
+def test_probability_equals_a_plain_model(spark):
+    rng = np.random.default_rng(7)
+    plain, poor = "house tree river stone cloud".split(), "BUY!! tree NOW!! river".split()
+    rows = [(i, " ".join(rng.choice(plain if i % 3 or i % 7 == 0 else poor, 30).tolist())) for i in range(90)]
+    labels = [(i, int(i % 3 > 0)) for i, _ in rows]
+    docs, table = make_docs(spark, [*rows, (200, "tree NOW!! house"), (201, "日本")]), spark.createDataFrame(labels, "doc_id long, quality int")
+    sample = spark.createDataFrame([(i, t, y) for (i, t), (_, y) in zip(rows, labels)], "doc_id long, text string, label int")
+    w, bias, slope, shift = plain_model([(r.text, r.label) for r in one_task(sample).collect()], Settings())
+    assert slope > 0
+    found = quality(docs, table).select("doc_id", "probability").collect()
+    for (i, text), r in zip(sorted([*rows, (200, "tree NOW!! house"), (201, "日本")]), sorted(found)):
+        odds = bias + sum(sum(w[g] * n for g, n in f.items()) / max(f.total(), 1) for f in grams(text))
+        assert r.doc_id == i and abs(r.probability - chance_of(slope * odds + shift)) < 0.01
+
+
 def test_given_labels(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{MIDDLE}/labels.parquet").collect()}
     found = [r for r in QUERIES["op8_quality"](spark, MIDDLE).collect() if r.doc_id in labels and not r.base_failed]

@@ -1,8 +1,12 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
+import regex
 from cases import bag, make_docs
 
+from starloom.llm.features import one_task
 from starloom.llm.queries import QUERIES
 from starloom.llm.toxicity import Ftrl, toxicity, train
 
@@ -49,6 +53,53 @@ def test_made_texts_and_edge_rows(spark):
     assert score[None] > 0.5 and score[9004] > 0.5 and score[9001] == score[9002] < 0.5
 
 
+def grams(text):
+    """The words of a text, its pairs and its pairs with a word between, as they are."""
+    words = [w for w in regex.split("[^\\p{L}\\p{N}]+", text.lower()) if w]
+    return {*words, *zip(words, words[1:]), *((a, "*", b) for a, b in zip(words, words[2:]))}
+
+
+def plain_ftrl(rows, settings):
+    """The model's weights by n-gram and its intercept, from texts and labels in training order, without hashes or arrays."""
+    texts = Counter(g for text, _ in rows for g in grams(text))
+    known = [([g for g in grams(text) if texts[g] >= settings.least_texts], y) for text, y in rows]
+    z, squares = Counter(), Counter()
+
+    def weight(g):
+        l1 = settings.l1 if g else 0.0  # the intercept, None, has no penalty
+        if abs(z[g]) <= l1:
+            return 0.0
+        rate = (settings.beta + math.sqrt(squares[g])) / settings.alpha + settings.l2
+        return -(z[g] - math.copysign(l1, z[g])) / rate
+
+    for _ in range(settings.passes):
+        for own, y in known:
+            own = [*own, None]
+            w = {g: weight(g) for g in own}
+            p = 1 / (1 + math.exp(-max(-35, min(35, sum(w.values())))))
+            gradient = (p - y) * (settings.positive_weight if y else 1.0)
+            for g in own:
+                sigma = (math.sqrt(squares[g] + gradient**2) - math.sqrt(squares[g])) / settings.alpha
+                z[g] += gradient - sigma * w[g]
+                squares[g] += gradient**2
+    return {g: weight(g) for g in texts if texts[g] >= settings.least_texts}, weight(None)
+
+
+def test_scores_equal_a_plain_ftrl(spark):
+    rows, labels = made_texts(160)
+    rows = [(i, text.replace(" ", ", ", 3).title() + " vile-ish é" * (i % 5 == 0)) for i, text in rows]
+    given = [(i, text, y) for (i, text), (_, y) in zip(rows, labels) if zlib.crc32(str(i).encode()) % 5]
+    order = one_task(spark.createDataFrame(given, "doc_id long, text string, label int")).collect()
+    for settings in (Ftrl(), Ftrl(least_texts=1, passes=2, positive_weight=1.0, alpha=0.3, l1=0.5)):
+        w, bias = plain_ftrl([(r.text, r.label) for r in order], settings)
+        assert any(w.values()) and not all(w.values())
+        found = toxicity(make_docs(spark, [*rows, (900, "Vile scummy"), (901, None)]), spark.createDataFrame(labels, "doc_id long, toxic int"), settings=settings)
+        texts = dict(rows) | {900: "Vile scummy", 901: ""}
+        for r in found.collect():
+            odds = bias + sum(w.get(g, 0.0) for g in grams(texts[r.doc_id]))
+            assert abs(r.score - 1 / (1 + math.exp(-odds))) < 1e-9
+
+
 def test_labels_of_held_out_rows_change_nothing(spark):
     rows, labels = made_texts(120)
     flipped = [(i, 1 - y if zlib.crc32(str(i).encode()) % 5 == 0 else y) for i, y in labels]
