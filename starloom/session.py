@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
+import starloom
+
 
 def build_session(app: str = "starloom", master: str = "local[8]", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
@@ -49,3 +52,19 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used before."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give this package to the session's Python workers, once per application."""
+    if getattr(spark.sparkContext, "_starloom_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(starloom.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="starloom-code-"), "starloom_code.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    archive.write(file, os.path.join("starloom", os.path.relpath(file, top)))
+    spark.sparkContext.addPyFile(path)
+    spark.sparkContext._starloom_shipped = True

@@ -25,6 +25,8 @@ from pyspark.sql.types import (
     ShortType, StructField, StructType, TimestampNTZType, TimestampType,
 )
 
+from starloom.session import ship_code
+
 # Where Spark notes a file's schema, and the digits that whole numbers need in a decimal.
 SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
 DIGITS = {ByteType: 10, ShortType: 10, IntegerType: 10, LongType: 20}
@@ -155,6 +157,7 @@ def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def file_schemas(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """``file, schema, problem`` of each Parquet file under ``path``: its schema as JSON, or why it has none."""
+    ship_code(spark)
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", recursive).load(path)
     files = found.select(F.col("_metadata.file_path").alias("file"))
     # Names are few bytes: left to themselves they would end up in one task.

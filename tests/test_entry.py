@@ -62,3 +62,15 @@ except ModuleNotFoundError as error:
     print(error.name)
 """
     assert run(code, str(tmp_path)).split() == ["starloom.plans.fact"]
+
+
+def test_workers_get_the_package(tmp_path):
+    code = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").getOrCreate()
+import __spark_entry__ as driver
+print(driver.queries()["bronze_drift"](spark, driver.FLAGSHIP_DATA).count() > 0)
+"""
+    assert run(code, str(tmp_path), PYTHONPATH="").split() == ["True"]
