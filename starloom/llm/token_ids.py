@@ -23,6 +23,7 @@ END_ID = 0
 # White space, in Python's sense, that is not a space or line feed by itself between two other characters.
 _UNEVEN = "^ | $|  |\n |\\A\\n| \n|[\t\v\f\r\x1C-\x1F\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_MARKS = frozenset(".,!?;:")
 _TAILED = re.compile(r"(\x20?[A-Za-z]+)([.,!?;:]+)")
 _LETTERS = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -86,9 +87,9 @@ class PieceEncoder:
         """Ids of pieces one after the other and their numbers. A key with a space in front is a piece without one."""
         model, ids, counts, other = self.tokenizer.model, [], np.zeros(len(keys), np.int64), []
         for i, key in enumerate(keys):
-            if _LETTERS.fullmatch(key):
+            if (plain := key.isascii() and key.isalpha()) or _LETTERS.fullmatch(key):
                 # Letters behind a space are one word for the library; its model reads them byte for byte.
-                found = model.tokenize("\u0120" + (key if key.isascii() else byte_signs(key)))
+                found = model.tokenize("\u0120" + (key if plain else byte_signs(key)))
                 ids += [t.id for t in found]
                 counts[i] = len(found)
             else:
@@ -108,7 +109,7 @@ class PieceEncoder:
         cut = {}
         for key in list(islice(self.numbers, known, None)):
             # A letter and a punctuation mark behind it are never in one token; a head or tail is often known.
-            if (m := _TAILED.fullmatch(key)) and m[1]:
+            if key[-1:] in _MARKS and (m := _TAILED.fullmatch(key)):
                 cut[self.numbers[key]] = self.numbers[m[1]], self.numbers[" " + m[2]]
         keys = list(islice(self.numbers, known, None))
         plain = [i for i in range(len(keys)) if known + i not in cut]
