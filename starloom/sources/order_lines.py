@@ -35,16 +35,20 @@ def _day(text: str) -> Column:
 
 
 def _sale_lines(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
-    buyers = (
-        orders.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("o_orderkey", "o_orderdate", "c_nationkey", "n_name")
+    """Line items with their order, product, dealer and branch.
+
+    The tables that may need a shuffle come first, while the lines are numbers only; names and types
+    join last, as texts would go through every later shuffle.
+    """
+    buyers = orders.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", "o_orderdate", "c_nationkey"
     )
     return (
         table(spark, folder, "lineitem")
         .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
 
 
