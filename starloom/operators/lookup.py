@@ -8,10 +8,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
+from starloom.sources.tables import partitions_for
+
 # Limits up to which a dimension's id and key columns are broadcast.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 
+# Groups for each partition in which the rows of frequent ids are looked for.
+_GROUPS = 16
+
 _ROW, _SALT, _COPIES = "row_number_in_scan", "salt", "copies"
 
 
@@ -73,18 +78,22 @@ def measure(lookups: list[Lookup]) -> list[Size]:
 def frequent_ids(facts: DataFrame, column: str, partitions: int) -> DataFrame:
     """Ids that fill more than an even share of one partition, with the number of copies they need.
 
-    The counts are combined before their shuffle. Fewer than ``partitions`` ids
-    can exceed an even share, and their copies add up to less than twice that,
-    so the rows collected here and broadcast later are bounded by the setting.
+    Rows are first counted by a hash of the id, in so few groups that next to nothing is shuffled: an id
+    above the share lies in a group above it. Only the ids of such groups are counted themselves.
+    Fewer than ``partitions`` groups, or ids, can exceed an even share, and the copies add up to less than
+    twice that, so what is collected here and broadcast later is bounded by the setting.
     """
-    counts = facts.groupBy(column).count()
-    # The total comes from the same counts, whose shuffle is made once.
-    share = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("total")).scalar() / partitions
-    rows = counts.where(F.col(column).isNotNull() & (F.col("count") > share)).select(
-        F.col(column).cast("string"), F.ceil(F.col("count") / share).cast("bigint")
-    )
+    group = F.pmod(F.xxhash64(column), F.lit(_GROUPS * partitions))
+    group = F.when(F.col(column).isNotNull(), group)
+    counts = facts.groupBy(group.alias("id_group")).count().collect()
+    share = sum(r["count"] for r in counts) / partitions
+    large = [r["id_group"] for r in counts if r["id_group"] is not None and r["count"] > share]
+    rows = []
+    if large:
+        ids = facts.where(group.isin(large)).groupBy(column).count().where(F.col("count") > share)
+        rows = ids.select(F.col(column).cast("string"), F.ceil(F.col("count") / share).cast("bigint")).collect()
     schema = StructType().add("frequent_id", StringType()).add(_COPIES, LongType())
-    frequent = facts.sparkSession.createDataFrame(rows.collect(), schema)
+    frequent = facts.sparkSession.createDataFrame(rows, schema)
     return frequent.withColumn("frequent_id", F.col("frequent_id").cast(facts.schema[column].dataType))
 
 
@@ -107,6 +116,8 @@ def _salted_join(facts: DataFrame, lookup: Lookup, frequent: DataFrame, partitio
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(_COPIES), F.lit(1)) - 1)).alias("member_salt"),
     )
     match = (F.col(lookup.fact_id) == F.col("looked_up_id")) & (F.col(_SALT) == F.col("member_salt"))
+    if partitions > int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        left, right = left.repartition(partitions, lookup.fact_id, _SALT), right.repartition(partitions, "looked_up_id", "member_salt")
     return left.join(right, match, "left").drop("looked_up_id", _SALT, "member_salt")
 
 
@@ -135,7 +146,7 @@ def star_lookup(
         match = F.col(lookup.fact_id) == F.col("looked_up_id")
         joined = joined.join(F.broadcast(lookup.narrow), match, "left").drop("looked_up_id", lookup.fact_id)
     for lookup in large:
-        partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = partitions_for(facts)
         frequent = frequent_ids(facts, lookup.fact_id, partitions)
         joined = _salted_join(joined, lookup, frequent, partitions).drop(lookup.fact_id)
     return joined.drop(_ROW)

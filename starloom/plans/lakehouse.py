@@ -13,7 +13,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from starloom.operators.lookup import Size, measure, star_lookup
+from starloom.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS, Size, measure, star_lookup
 from starloom.operators.upsert import require_unique, upsert
 from starloom.plans.dimension import apply_members, stage_members, stage_unknown
 from starloom.plans.fact import build_fact, key_lookups, to_grain
@@ -22,7 +22,7 @@ from starloom.plans.silver import to_silver
 from starloom.schemas import DATE, DIMENSIONS, FACT, FACT_KEYS, SILVER, DimSpec, same
 from starloom.session import new_folder
 from starloom.sources.files import read_parquet
-from starloom.sources.tables import CatalogTable, drop_folder, hash_bucket, range_bucket
+from starloom.sources.tables import CatalogTable, drop_folder, hash_bucket, range_bucket, write_spread
 
 ON_DUPLICATE = ("raise", "aggregate", "keep")
 
@@ -176,16 +176,17 @@ class Lakehouse:
         """Upsert fact rows on the four keys, within the partitions that they fall into.
 
         The rows are written down first, since they are needed several times. ``touched``
-        holds all keys to replace, if some of them may have no row any more. The
+        holds further keys to replace, which may have no row any more. The
         partition numbers that reach the driver are as few as folders of the table.
         """
         path = new_folder(self.spark, "fact-increment")
         try:
-            rows.write.parquet(path)
+            write_spread(rows, path)
             rows = read_parquet(self.spark, path, FACT)
             if not unique:
                 require_unique(rows, FACT_KEYS)
-            keys = rows if touched is None else touched
+            keys = rows.select(FACT_KEYS)
+            keys = keys if touched is None else keys.unionByName(touched.select(FACT_KEYS))
             parts = [r[0] for r in keys.select(self.fact_part_of.alias("part")).distinct().collect()]
             if parts:
                 within = F.col(self.fact_part).isin(parts)
@@ -193,7 +194,11 @@ class Lakehouse:
                     merged = self.fact.merged(rows, keys, within)
                 else:
                     target = self.fact.read(self.fact_part).where(within).drop(self.fact_part)
-                    merged = upsert(target, rows, FACT_KEYS, unique=True, touched=touched)
+                    if self._sizes()[DIMENSIONS.index(DATE)].fits(BROADCAST_ROWS, BROADCAST_BYTES):
+                        # Keys of dates that the target lacks match nothing; there are no more dates than members.
+                        dates = F.broadcast(target.select("dim_date_key").distinct())
+                        keys = keys.alias("key").join(dates.alias("date"), same("key.dim_date_key", "date.dim_date_key"), "left_semi")
+                    merged = upsert(target, rows, FACT_KEYS, unique=True, touched=keys)
                 with self.fact.staged(merged, laid_out=bool(self.fact.bucket_keys)):
                     self.fact.put(within)
                 self._refresh_totals(within)
@@ -247,13 +252,13 @@ class Lakehouse:
         self._check_mode(on_duplicate)
         here = F.col("batch").isin(names) if names else F.lit(False)
         present = self.lines.read(self.bucket, "batch")
-        silver = present.where(~here).unionByName(new)
+        kept = present.where(~here)
         refresh = self.fact.exists()
-        self.refresh_dimensions(new if refresh else silver)
+        self.refresh_dimensions(new if refresh else kept.unionByName(new))
         if refresh:
-            self._refresh_grains(new.unionByName(present.where(here)), silver, on_duplicate)
+            self._refresh_grains(new, present.where(here), kept, on_duplicate)
         else:
-            self.load_fact(silver, on_duplicate, rebuild=True)
+            self.load_fact(kept.unionByName(new), on_duplicate, rebuild=True)
         if names:
             self.lines.put(here)
         self.register()
@@ -270,18 +275,32 @@ class Lakehouse:
         match = reduce(and_, [same(f"silver.{c}", f"touched.{c}") for c in ids])
         return silver.where(within).alias("silver").join(touched.alias("touched"), match, "left_semi")
 
-    def _refresh_grains(self, lines: DataFrame, silver: DataFrame, on_duplicate: str) -> None:
-        """Compute the fact rows of all combinations of ids in ``lines`` anew from all of ``silver``."""
+    def _refresh_grains(self, new: DataFrame, gone: DataFrame, kept: DataFrame, on_duplicate: str) -> None:
+        """Compute the fact rows of all combinations of ids in ``new`` and in ``gone``, the lines it replaces, anew from ``new`` and ``kept``.
+
+        New lines count by themselves, so only older lines are looked for, and among the dates that both have: a batch
+        of dates of its own joins nothing.
+        """
         ids = [spec.source_id for spec in DIMENSIONS]
-        path = new_folder(self.spark, "touched-ids")
+        date = DATE.source_id
+        path = new_folder(self.spark, "shared-dates")
         try:
-            lines.select(ids).distinct().write.parquet(path)
-            touched = read_parquet(self.spark, path, StructType([SILVER[c] for c in ids]))
-            rows = build_fact(self.lines_of(touched, silver), self.dimensions(), sizes=self._sizes())
+            touched = new.unionByName(gone).select(ids)
+            buckets = [r[0] for r in touched.select(self.lines.parts[self.bucket][1].alias("bucket")).distinct().collect()]
+            older = kept.where(F.col(self.bucket).isin(buckets) if buckets else F.lit(False))
+            # As few rows as days, written down as both sides of the join need them.
+            older.select(date).intersect(touched.select(date)).write.parquet(path)
+            shared = read_parquet(self.spark, path, StructType([SILVER[date]]))
+            lines = new
+            if not shared.isEmpty():
+                lines = new.unionByName(self.lines_of(_of_dates(touched, shared), _of_dates(older, shared)))
+            rows = build_fact(lines, self.dimensions(), sizes=self._sizes())
             if on_duplicate == "aggregate":
                 rows = to_grain(rows)
-            keys = star_lookup(touched, key_lookups(self.dimensions()), sizes=self._sizes()).select(FACT_KEYS)
-            self.merge_fact(rows, on_duplicate != "raise", keys)
+            touched_keys = None
+            if not gone.isEmpty():
+                touched_keys = star_lookup(gone.select(ids).distinct(), key_lookups(self.dimensions()), sizes=self._sizes()).select(FACT_KEYS)
+            self.merge_fact(rows, on_duplicate != "raise", touched_keys)
         finally:
             drop_folder(self.spark, path)
 
@@ -308,3 +327,8 @@ class Lakehouse:
             self.spark.sql(f"CREATE OR REPLACE VIEW {self.silver_schema}.sales AS SELECT {columns} FROM {self.lines.name}")
         for table in (*self.dims.values(), self.fact, *self.totals.values()):
             table.exists()
+
+
+def _of_dates(lines: DataFrame, dates: DataFrame) -> DataFrame:
+    """The ``lines`` whose date id is one of ``dates``; the planner broadcasts these."""
+    return lines.alias("line").join(dates.alias("dates"), same(f"line.{DATE.source_id}", f"dates.{DATE.source_id}"), "left_semi")
