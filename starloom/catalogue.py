@@ -40,6 +40,9 @@ MERGE_YEAR = 1998
 FACT_BUCKETS = 8
 # Parts into which the lines of the same ids are split.
 SPLIT_BATCHES = 3
+# Most files that land at once: each becomes a folder in every bucket of silver, and few of them a micro-batch,
+# so more of them for larger tables would make more micro-batches that each compute the same grains again.
+LANDED_FILES = 12
 # Columns that no bronze file may lack.
 FACT_IDS = [spec.source_id for spec in DIMENSIONS]
 # First and last date id of the report on some dates.
@@ -333,7 +336,7 @@ def csv_stream(spark: SparkSession, folder: str) -> DataFrame:
     landing = f"{lakehouse.root}/landing"
     for batch in range(SPLIT_BATCHES):
         bronze = order_lines.coarse_batch(spark, folder, batch, SPLIT_BATCHES)
-        bronze.write.option("header", True).option("escape", '"').csv(f"{landing}/{batch}")
+        bronze.coalesce(LANDED_FILES).write.option("header", True).option("escape", '"').csv(f"{landing}/{batch}")
     load_new_files(lakehouse, landing, f"{lakehouse.root}/checkpoint", "aggregate", files_per_batch=8, file_format="csv")
     return _by_natural_ids(lakehouse)
 
@@ -344,7 +347,7 @@ def csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     landing, refused = f"{lakehouse.root}/landing", f"{lakehouse.root}/refused"
     units = F.when(F.col("Units_Sold") == 50, "many").otherwise(F.col("Units_Sold").cast("string"))
     bronze = order_lines.bronze_sales(spark, folder).withColumn("Units_Sold", units)
-    bronze.write.option("header", True).option("escape", '"').csv(landing)
+    bronze.coalesce(LANDED_FILES).write.option("header", True).option("escape", '"').csv(landing)
     load_new_files(
         lakehouse, landing, f"{lakehouse.root}/checkpoint", "keep", file_format="csv", quarantine=refused, most_refused=0.1
     )
@@ -376,7 +379,7 @@ def incremental_stream(spark: SparkSession, folder: str) -> DataFrame:
     lakehouse = _lakehouse(spark, "stream")
     landing, checkpoint = f"{lakehouse.root}/landing", f"{lakehouse.root}/checkpoint"
     for batch in BATCHES:
-        order_lines.bronze_batch(spark, folder, batch).write.parquet(f"{landing}/{batch}")
+        order_lines.bronze_batch(spark, folder, batch).coalesce(LANDED_FILES).write.parquet(f"{landing}/{batch}")
         load_new_files(lakehouse, landing, checkpoint, on_duplicate="aggregate")
     return lakehouse.dims["dealer"].read()
 
