@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,9 @@ from starloom.llm.tables import documents, list_parts, slices
 
 GAPS = (1, 2)
 
+# Hashes that are scored at a time: their n-grams take some twenty times as much, in every worker of an executor.
+SLICE_BYTES = 1 << 20
+
 
 @dataclass
 class Ftrl:
@@ -119,31 +123,30 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, settings: Ftrl) -> tuple
     return np.array([g for g, _ in model], np.uint64), np.array([w for _, w in model]), bias
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataFrame:
-    """``doc_id, score`` of every text."""
+def _scores(model: tuple[np.ndarray, np.ndarray, float], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id, score`` of rows of ``doc_id, hashes``."""
     grams, weights, bias = model
     # A table of the upper bits says at once that most n-grams have no weight.
     top = np.zeros(1 << 20, bool)
     top[grams >> np.uint64(44)] = True
+    for part in slices(batches, "hashes", SLICE_BYTES):
+        flat, starts = list_parts(part.column("hashes"))
+        found, of = word_grams(flat.view(np.uint64), starts, GAPS)
+        maybe = top[found >> np.uint64(44)]
+        found, of = found[maybe], of[maybe]
+        place = np.searchsorted(grams, found)
+        hit = place < len(grams)
+        hit[hit] = grams[place[hit]] == found[hit]
+        # Whether, not how often: each text's weights once.
+        own = np.unique(of[hit] * len(grams) + place[hit]) if hit.any() else np.zeros(0, np.int64)
+        sums = np.bincount(own // max(1, len(grams)), weights[own % max(1, len(grams))], len(part))
+        yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(logistic(bias + sums))], ["doc_id", "score"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "hashes"):
-            flat, starts = list_parts(part.column("hashes"))
-            found, of = word_grams(flat.view(np.uint64), starts, GAPS)
-            maybe = top[found >> np.uint64(44)]
-            found, of = found[maybe], of[maybe]
-            place = np.searchsorted(grams, found)
-            hit = place < len(grams)
-            hit[hit] = grams[place[hit]] == found[hit]
-            # Whether, not how often: each text's weights once.
-            own = np.unique(of[hit] * len(grams) + place[hit]) if hit.any() else np.zeros(0, np.int64)
-            sums = np.bincount(own // max(1, len(grams)), weights[own % max(1, len(grams))], len(part))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(logistic(bias + sums))], ["doc_id", "score"]
-            )
 
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataFrame:
+    """``doc_id, score`` of every text."""
     hashed = documents(docs).select("doc_id", _hashed(F.col("text")).alias("hashes"))
-    return hashed.mapInArrow(run, "doc_id long, score double")
+    return hashed.mapInArrow(partial(_scores, model), "doc_id long, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Ftrl | None = None) -> DataFrame:

@@ -120,3 +120,22 @@ def test_without_rows_or_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity(make_docs(spark, []), none).count() == 0
     assert [r.score for r in toxicity(make_docs(spark, [(1, "a")]), none).collect()] == [0.5]
+
+
+def test_scoring_holds_little_at_a_time():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from starloom.llm.toxicity import _scores
+
+    hashes = np.random.default_rng(1).integers(0, 1 << 62, 1 << 20)
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(hashes) + 1, 64, dtype=np.int32)), pa.array(hashes))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(lists))), lists], ["doc_id", "hashes"])
+    model = np.sort(hashes[:1000]).view(np.uint64), np.ones(1000), 0.0
+    tracemalloc.start()
+    found = sum(len(part) for part in _scores(model, iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == len(lists) and peak < 48 << 20
