@@ -20,7 +20,7 @@ from starloom.plans.dimension import look_up_members, members_of
 from starloom.plans.fact import build_fact, to_grain
 from starloom.plans.lakehouse import Lakehouse
 from starloom.plans.silver import to_silver
-from starloom.schemas import BRONZE, DATE, DIMENSIONS, FACT_KEYS, MODEL, DimSpec
+from starloom.schemas import BRANCH, BRONZE, DATE, DEALER, DIMENSIONS, FACT_KEYS, MODEL, DimSpec
 from starloom.session import new_folder
 from starloom.sources import order_lines
 from starloom.sources.drift import reconcile
@@ -194,6 +194,16 @@ def surrogate_key_append(spark: SparkSession, folder: str) -> DataFrame:
 # -- fact ---------------------------------------------------------------------
 
 
+def _with_members(rows: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Fact rows with the columns of ``dims``. Those that may need a shuffle join first, while the rows are numbers only."""
+    columns = rows.columns
+    for spec in DIMENSIONS:
+        columns = [spec.key, *[c for c in columns if c != spec.key], *[c for c in dims[spec.name].columns if c != spec.key]]
+    for spec in (MODEL, DEALER, BRANCH, DATE):
+        rows = rows.join(dims[spec.name], spec.key, "left")
+    return rows.select(columns)
+
+
 def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     lakehouse = _lakehouse(spark, "fact-sales")
     silver = lakehouse.write_silver(order_lines.bronze_sales(spark, folder))
@@ -216,10 +226,7 @@ def fact_inferred_members(spark: SparkSession, folder: str) -> DataFrame:
     silver = lakehouse.write_silver(order_lines.bronze_sales(spark, folder))
     lakehouse.load_fact(silver, on_duplicate="keep", infer=True)
     lakehouse.refresh_dimensions(silver)
-    rows = lakehouse.fact.read()
-    for spec in DIMENSIONS:
-        rows = rows.join(lakehouse.dims[spec.name].read(), spec.key, "left")
-    return rows
+    return _with_members(lakehouse.fact.read(), lakehouse.dimensions())
 
 
 def fact_grain(spark: SparkSession, folder: str) -> DataFrame:
@@ -316,8 +323,7 @@ def extract_changes(spark: SparkSession, folder: str) -> DataFrame:
 def _by_natural_ids(lakehouse: Lakehouse) -> DataFrame:
     """The fact from the catalog, with natural ids in place of keys."""
     rows = lakehouse.spark.table(f"{lakehouse.gold_schema}.fact_sales")
-    for spec in DIMENSIONS:
-        rows = rows.join(lakehouse.dims[spec.name].read().select(spec.key, spec.id), spec.key, "left")
+    rows = _with_members(rows, {spec.name: lakehouse.dims[spec.name].read().select(spec.key, spec.id) for spec in DIMENSIONS})
     return rows.select(*[spec.id for spec in DIMENSIONS], "Revenue", "Units_Sold")
 
 

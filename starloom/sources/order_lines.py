@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starloom.functions import padded
 from starloom.schemas import BRONZE
+from starloom.session import new_folder
+from starloom.sources.files import read_parquet
 
 # First order day of batch 1 and of batch 2; batch 0 lies before, batch 2 is open-ended.
 BATCH_STARTS = ("1995-01-15", "1995-02-01")
@@ -34,15 +36,26 @@ def _day(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def _sale_lines(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
+def _buyers(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
+    """Day and nation of each order."""
+    return orders.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", "o_orderdate", "c_nationkey"
+    )
+
+
+def _sized(rows: DataFrame) -> DataFrame:
+    """``rows`` written down: the planner, which takes a join for as large as a product, then knows their size."""
+    path = new_folder(rows.sparkSession, "sized")
+    rows.write.parquet(path)
+    return read_parquet(rows.sparkSession, path, rows.schema)
+
+
+def _sale_lines(spark: SparkSession, folder: str, buyers: DataFrame) -> DataFrame:
     """Line items with their order, product, dealer and branch.
 
     The tables that may need a shuffle come first, while the lines are numbers only; names and types
     join last, as texts would go through every later shuffle.
     """
-    buyers = orders.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
-        "o_orderkey", "o_orderdate", "c_nationkey"
-    )
     return (
         table(spark, folder, "lineitem")
         .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -73,13 +86,15 @@ def _bronze_columns(dealer_name: Column) -> list[Column]:
 
 def bronze_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Every line item as one bronze sale line."""
-    return _sale_lines(spark, folder, table(spark, folder, "orders")).select(_bronze_columns(F.col("s_name")))
+    buyers = _buyers(spark, folder, table(spark, folder, "orders"))
+    return _sale_lines(spark, folder, buyers).select(_bronze_columns(F.col("s_name")))
 
 
 def bronze_batch(spark: SparkSession, folder: str, first: int, last: int | None = None) -> DataFrame:
     """The sale lines of batches ``first`` to ``last`` (by default only ``first``).
 
-    The bounds become date filters on the orders scan. From batch 1 on, some
+    The bounds become date filters on the orders scan. Orders up to a day may be few: then the line items need
+    no shuffle to meet them. From batch 1 on, some
     dealers carry a name that tells the batch, so that attributes change.
     """
     last = first if last is None else last
@@ -87,12 +102,16 @@ def bronze_batch(spark: SparkSession, folder: str, first: int, last: int | None
     date = F.col("o_orderdate")
     if first > 0:
         orders = orders.where(date >= _day(BATCH_STARTS[first - 1]))
+    before = F.lit(True)
+    if last < len(BATCH_STARTS):
+        before = date < _day(BATCH_STARTS[last])
+    buyers = _buyers(spark, folder, orders.where(before))
     if last < len(BATCH_STARTS):
-        orders = orders.where(date < _day(BATCH_STARTS[last]))
+        buyers = _sized(buyers).where(before)
     batch = F.when(date < _day(BATCH_STARTS[0]), 0).when(date < _day(BATCH_STARTS[1]), 1).otherwise(2)
     renamed = (batch > 0) & (F.col("l_suppkey") % 7 == 0)
     name = F.when(renamed, F.concat(F.col("s_name"), F.lit(" r"), batch.cast("string"))).otherwise(F.col("s_name"))
-    return _sale_lines(spark, folder, orders).select(_bronze_columns(name))
+    return _sale_lines(spark, folder, buyers).select(_bronze_columns(name))
 
 
 def coarse_batch(spark: SparkSession, folder: str, batch: int, batches: int) -> DataFrame:
@@ -100,7 +119,8 @@ def coarse_batch(spark: SparkSession, folder: str, batch: int, batches: int) ->
 
     Combinations of ids then repeat, within a batch and among batches.
     """
-    lines = _sale_lines(spark, folder, table(spark, folder, "orders")).where(F.col("l_linenumber") % batches == batch)
+    buyers = _buyers(spark, folder, table(spark, folder, "orders"))
+    lines = _sale_lines(spark, folder, buyers).where(F.col("l_linenumber") % batches == batch)
     month = F.concat(F.lit("DT"), F.date_format("o_orderdate", "yyyyMM"))
     changed = {"Model_ID": F.concat(F.col("p_type"), F.lit("-M")), "Date_ID": month, "Day": F.lit(1)}
     columns = _bronze_columns(F.col("s_name"))
