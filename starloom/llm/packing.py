@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,9 @@ from pyspark.sql import DataFrame, functions as F
 from starloom.llm.tables import documents, shuffle_partitions, slices, staged
 from starloom.llm.token_ids import encoder
 
+# Text that is encoded at a time: its pieces are Python strings, some ten times as large, in every worker of an executor.
+SLICE_BYTES = 2 << 20
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -91,37 +95,38 @@ def plan_places(bins: list[tuple[list[int], int]], limit: int) -> dict[int, tupl
     return {size: tuple(np.array(c, np.int64) for c in zip(*runs, strict=True)) for size, runs in places.items()}
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, limit: int) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32`` of every document's pieces."""
+def _pieces(tokenizer_path: str, limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pieces of rows of ``doc_id, text``."""
+    own = encoder(tokenizer_path)
+    for part in slices(batches, "text", SLICE_BYTES):
+        ids, lengths = own.encode(part.column("text"))
+        raw = ids.astype("<u4").tobytes()
+        doc_row, piece, start, length, crc = [], [], [], [], []
+        begin = 0
+        for row, n in enumerate(lengths.tolist()):
+            cuts = [0, *range(n % limit or limit, n + 1, limit)]
+            for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                doc_row.append(row)
+                piece.append(k)
+                start.append(a)
+                length.append(b - a)
+                crc.append(zlib.crc32(raw[4 * (begin + a) : 4 * (begin + b)]))
+            begin += n
+        yield pa.RecordBatch.from_arrays(
+            [
+                part.column("doc_id").take(pa.array(doc_row, pa.int64())),
+                pa.array(piece, pa.int32()),
+                pa.array(start, pa.int64()),
+                pa.array(length, pa.int64()),
+                pa.array(crc, pa.int64()),
+            ],
+            ["doc_id", "piece", "start", "length", "ids_crc32"],
+        )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer_path)
-        for part in slices(batches, "text"):
-            ids, lengths = own.encode(part.column("text"))
-            raw = ids.astype("<u4").tobytes()
-            doc_row, piece, start, length, crc = [], [], [], [], []
-            begin = 0
-            for row, n in enumerate(lengths.tolist()):
-                cuts = [0, *range(n % limit or limit, n + 1, limit)]
-                for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    doc_row.append(row)
-                    piece.append(k)
-                    start.append(a)
-                    length.append(b - a)
-                    crc.append(zlib.crc32(raw[4 * (begin + a) : 4 * (begin + b)]))
-                begin += n
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id").take(pa.array(doc_row, pa.int64())),
-                    pa.array(piece, pa.int32()),
-                    pa.array(start, pa.int64()),
-                    pa.array(length, pa.int64()),
-                    pa.array(crc, pa.int64()),
-                ],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
 
-    return documents(docs).mapInArrow(run, PIECES)
+def token_pieces(docs: DataFrame, tokenizer_path: str, limit: int) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32`` of every document's pieces."""
+    return documents(docs).mapInArrow(partial(_pieces, tokenizer_path, limit), PIECES)
 
 
 def pack_pieces(pieces: DataFrame, limit: int) -> DataFrame:

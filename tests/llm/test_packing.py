@@ -77,3 +77,22 @@ def test_whole_table(spark):
 
 def test_empty_table(spark):
     assert packed(make_docs(spark, []), vocabulary(BYTE_BPE)).count() == 0
+
+
+def test_encoding_holds_little_text_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from starloom.llm.packing import _pieces
+    from starloom.llm.queries import BYTE_BPE, vocabulary
+
+    # Two spaces in each text: such texts are cut in Python.
+    texts = ["  " + "a b c d e f g h " * 500] * 1000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    list(_pieces(vocabulary(BYTE_BPE), 2048, iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    found = sum(part.num_rows for part in _pieces(vocabulary(BYTE_BPE), 2048, iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 2 * len(texts) and peak < 100 << 20, peak >> 20
