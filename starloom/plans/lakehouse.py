@@ -26,6 +26,9 @@ from starloom.sources.tables import CatalogTable, drop_folder, hash_bucket, rang
 
 ON_DUPLICATE = ("raise", "aggregate", "keep")
 
+# Lines of an increment up to which older lines of their combinations are searched for by a join.
+SEARCHED_LINES = 1_000_000
+
 
 class Lakehouse:
     """Silver and gold tables under one folder, external tables of the catalog.
@@ -279,7 +282,8 @@ class Lakehouse:
         """Compute the fact rows of all combinations of ids in ``new`` and in ``gone``, the lines it replaces, anew from ``new`` and ``kept``.
 
         New lines count by themselves, so only older lines are looked for, and among the dates that both have: a batch
-        of dates of its own joins nothing.
+        of dates of its own joins nothing. Sums of many lines need no search: the older lines of those dates
+        are summed by keys along with the new ones, in the same shuffle, and combinations without any new or gone line dropped.
         """
         ids = [spec.source_id for spec in DIMENSIONS]
         date = DATE.source_id
@@ -291,12 +295,19 @@ class Lakehouse:
             # As few rows as days, written down as both sides of the join need them.
             older.select(date).intersect(touched.select(date)).write.parquet(path)
             shared = read_parquet(self.spark, path, StructType([SILVER[date]]))
-            lines = new
+            lines, marks = new, []
             if not shared.isEmpty():
-                lines = new.unionByName(self.lines_of(_of_dates(touched, shared), _of_dates(older, shared)))
-            rows = build_fact(lines, self.dimensions(), sizes=self._sizes())
+                older = _of_dates(older, shared)
+                if on_duplicate == "aggregate" and touched.count() > SEARCHED_LINES:
+                    marks = ["is_touched", "is_line"]
+                    none = [F.lit(None).cast(SILVER[c].dataType).alias(c) for c in ("Revenue", "Units_Sold", "revenuePerUnit")]
+                    lines = _marked(new, True, True).unionByName(_marked(older.select(new.columns), False, True))
+                    lines = lines.unionByName(_marked(gone.select(*ids, *none), True, False), allowMissingColumns=True)
+                else:
+                    lines = new.unionByName(self.lines_of(_of_dates(touched, shared), older))
+            rows = build_fact(lines, self.dimensions(), sizes=self._sizes(), kept=marks)
             if on_duplicate == "aggregate":
-                rows = to_grain(rows)
+                rows = to_grain(rows, *marks)
             touched_keys = None
             if not gone.isEmpty():
                 touched_keys = star_lookup(gone.select(ids).distinct(), key_lookups(self.dimensions()), sizes=self._sizes()).select(FACT_KEYS)
@@ -329,6 +340,11 @@ class Lakehouse:
             table.exists()
 
 
+def _marked(lines: DataFrame, is_touched: bool, is_line: bool) -> DataFrame:
+    """``lines`` with whether their combinations are to be computed anew, and whether they count in the sums."""
+    return lines.withColumns({"is_touched": F.lit(is_touched), "is_line": F.lit(is_line)})
+
+
 def _of_dates(lines: DataFrame, dates: DataFrame) -> DataFrame:
     """The ``lines`` whose date id is one of ``dates``; the planner broadcasts these."""
     return lines.alias("line").join(dates.alias("dates"), same(f"line.{DATE.source_id}", f"dates.{DATE.source_id}"), "left_semi")
