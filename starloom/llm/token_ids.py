@@ -2,8 +2,10 @@
 
 White space between words goes to the word behind it, so a text falls apart at
 each single space between two words into pieces that have the same ids alone as
-within it. A task encodes each distinct piece once and puts texts together from
-them, which needs a fraction of the time that whole texts take.
+within it. A piece falls apart once more where letters, digits and marks meet,
+which the library always cuts from each other. A task encodes each distinct
+part once and puts texts together from them, which needs a fraction of the time
+that whole texts take.
 """
 
 from __future__ import annotations
@@ -23,9 +25,14 @@ END_ID = 0
 # White space, in Python's sense, that is not a space or line feed by itself between two other characters.
 _UNEVEN = "^ | $|  |\n |\\A\\n| \n|[\t\v\f\r\x1C-\x1F\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_MARKS = frozenset(".,!?;:")
-_TAILED = re.compile(r"(\x20?[A-Za-z]+)([.,!?;:]+)")
-_LETTERS = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+# Letters, digits, marks (all but the apostrophe, which goes with letters): an atom is a run of one kind, with a space in front or not.
+_KINDS = "[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+", "[0-9]+", r"[!-&(-/:-@\[-`{-~]+"
+_RUN = f"(?:{'|'.join(_KINDS)})"
+_ATOM = rf"\A(?: ?{_RUN}|\n)\z"
+# Pieces that are made of atoms; a line feed between two of them is one as well.
+_ATOMS = rf"\A ?{_RUN}+(?:\n{_RUN}+)*\z"
+# All atoms but letters behind another atom, which are what is left between these.
+_EDGES, _EDGE = f"( ?(?:{_KINDS[1]}|{_KINDS[2]})|\n)", "\x1E"
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
@@ -60,6 +67,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep = Tokenizer.from_file(path), keep
+        # Words that the library looks for in whole texts.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
     def forget(self) -> None:
@@ -83,73 +92,94 @@ class PieceEncoder:
         # From here on a piece has to come up again to be kept the next time.
         self.uses = np.ones(len(often), np.int64)
 
+    def _added_in(self, keys: pa.Array) -> np.ndarray:
+        """Whether a key holds a word that the library looks for in whole texts."""
+        found = np.zeros(len(keys), bool)
+        for word in self.added:
+            found |= np.asarray(pc.match_substring(keys, word))
+        return found
+
     def _plain(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces one after the other and their numbers. A key with a space in front is a piece without one."""
-        model, ids, counts, other = self.tokenizer.model, [], np.zeros(len(keys), np.int64), []
-        for i, key in enumerate(keys):
-            if (plain := key.isascii() and key.isalpha()) or _LETTERS.fullmatch(key):
-                # Letters behind a space are one word for the library; its model reads them byte for byte.
-                found = model.tokenize("\u0120" + (key if plain else byte_signs(key)))
-                ids += [t.id for t in found]
-                counts[i] = len(found)
-            else:
+        """Ids of keys one after the other and their numbers."""
+        tokenize, ids, counts, other = self.tokenizer.model.tokenize, [], [0] * len(keys), []
+        texts = pa.array(keys, pa.string())
+        atom = np.asarray(pc.match_substring_regex(texts, _ATOM)) & ~self._added_in(texts)
+        for i, (key, alone) in enumerate(zip(keys, atom.tolist())):
+            if not alone:
                 other.append(i)
+                continue
+            # An atom is one word for the library; its model reads it byte for byte.
+            if key.isascii() and key != "\n":
+                found = tokenize("\u0120" + key[1:] if key[0] == " " else key)
+            else:
+                found = tokenize(byte_signs(key))
+            ids += [t.id for t in found]
+            counts[i] = len(found)
+        ids, counts = np.array(ids, np.uint32), np.array(counts, np.int64)
+        if not other:
+            return ids, counts
         places = np.repeat(np.arange(len(keys)), counts)
-        rest = [keys[i][1:] if keys[i][:1] == " " else " " + keys[i] for i in other]
-        found = self.tokenizer.encode(rest, is_pretokenized=True, add_special_tokens=False)
+        found = self.tokenizer.encode([keys[i] for i in other], is_pretokenized=True, add_special_tokens=False)
         if len(found.ids):
             of = np.array(found.word_ids, np.int64)
-            counts[other] = np.bincount(of, minlength=len(rest))
+            counts[other] = np.bincount(of, minlength=len(other))
             places = np.concatenate([places, np.array(other)[of]])
-        both = np.concatenate([np.array(ids, np.uint32), np.array(found.ids, np.uint32)])
+        both = np.concatenate([ids, np.array(found.ids, np.uint32)])
         return both[np.argsort(places, kind="stable")], counts
 
     def _learn(self, known: int) -> None:
-        """Ids of the pieces numbered from ``known`` on."""
-        cut = {}
-        for key in list(islice(self.numbers, known, None)):
-            # A letter and a punctuation mark behind it are never in one token; a head or tail is often known.
-            if key[-1:] in _MARKS and (m := _TAILED.fullmatch(key)):
-                cut[self.numbers[key]] = self.numbers[m[1]], self.numbers[" " + m[2]]
-        keys = list(islice(self.numbers, known, None))
-        plain = [i for i in range(len(keys)) if known + i not in cut]
-        ids, counts = self._plain([keys[i] for i in plain])
-        lengths = np.zeros(len(keys), np.int64)
-        starts = np.zeros(len(keys), np.int64)
-        lengths[plain] = counts
-        starts[plain] = len(self.ids) + np.cumsum(counts) - counts
+        """Ids of the keys numbered from ``known`` on."""
+        ids, counts = self._plain(list(islice(self.numbers, known, None)))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+        self.lengths = np.concatenate([self.lengths, counts])
         self.ids = np.concatenate([self.ids, ids])
-        self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
-        if cut:
-            here, both = np.array(list(cut)), np.array(list(cut.values()))
-            new = self.ids[spread(self.starts[both.ravel()], self.lengths[both.ravel()])]
-            self.lengths[here] = self.lengths[both].sum(1)
-            self.starts[here] = len(self.ids) + np.cumsum(self.lengths[here]) - self.lengths[here]
-            self.ids = np.concatenate([self.ids, new])
-
-    def _numbers_of(self, keys: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.numbers.__getitem__, keys), np.int64, len(keys))
-
-    def _even(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces of texts whose spaces all stand between two words; cut and made distinct outside of Python."""
+
+    def _numbers_of(self, keys: pa.Array) -> np.ndarray:
+        return np.fromiter(map(self.numbers.__getitem__, keys.to_numpy(zero_copy_only=False).tolist()), np.int64, len(keys))
+
+    def _cut(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the parts of pieces one after the other and how many parts each has; cut outside of Python."""
+        cut = np.asarray(pc.match_substring_regex(pieces, _ATOMS)) & ~np.asarray(pc.match_substring_regex(pieces, _ATOM))
+        cut &= ~self._added_in(pieces)
+        lists = pc.split_pattern(pc.replace_substring_regex(pieces.filter(pa.array(cut)), _EDGES, f"{_EDGE}\\1{_EDGE}"), _EDGE)
+        full = np.asarray(pc.binary_length(lists.values)) > 0
+        coded = lists.values.filter(pa.array(full)).dictionary_encode()
+        sizes = np.ones(len(pieces), np.int64)
+        sizes[cut] = np.diff(np.concatenate([[0], np.cumsum(full)])[np.asarray(lists.offsets)])
+        starts = np.cumsum(sizes) - sizes
+        codes = np.empty(int(sizes.sum()), np.int64)
+        codes[starts[~cut]] = self._numbers_of(pieces.filter(pa.array(~cut)))
+        codes[spread(starts[cut], sizes[cut])] = self._numbers_of(coded.dictionary)[np.asarray(coded.indices)]
+        return codes, sizes
+
+    def _even(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Distinct pieces of texts whose spaces all stand between two words, the places there of all pieces, and each text's number."""
         lists = pc.split_pattern(texts, " ")
         offsets = np.asarray(lists.offsets, np.int64)
         coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        offsets = offsets - offsets[0]
-        codes = self._numbers_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[np.asarray(coded.indices)]
-        first = coded.dictionary.take(coded.indices.take(pa.array(offsets[:-1]))).to_pylist()
-        codes[offsets[:-1]] = self._numbers_of([" " + p for p in first])
-        return codes, np.diff(offsets)
-
-    def _uneven(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces of any texts."""
+        starts, which = offsets[:-1] - offsets[0], np.array(coded.indices, np.int64)
+        # The first piece of a text has no space in front.
+        first = coded.dictionary.take(coded.indices.take(pa.array(starts)))
+        which[starts] = len(coded.dictionary) + np.arange(len(texts))
+        space, none = pa.scalar(" ", first.type), pa.scalar("", first.type)
+        return pa.concat_arrays([pc.binary_join_element_wise(space, coded.dictionary, none), first]), which, np.diff(offsets)
+
+    def _uneven(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The same of any texts."""
         pieces, counts = [], []
         for text in texts.to_pylist():
-            own = _SINGLE_SPACE.split(text)
-            own[0] = " " + own[0]
-            pieces += own
-            counts.append(len(own))
-        return self._numbers_of(pieces), np.array(counts, np.int64)
+            first, *others = _SINGLE_SPACE.split(text)
+            pieces.append(first)
+            pieces += [" " + x for x in others]
+            counts.append(len(others) + 1)
+        coded = pa.array(pieces, texts.type).dictionary_encode()
+        return coded.dictionary, np.array(coded.indices, np.int64), np.array(counts, np.int64)
+
+    def _parts(self, pieces: pa.Array, which: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all parts of texts one after the other and how many each text has."""
+        codes, sizes = self._cut(pieces)
+        size = sizes[which]
+        return codes[spread((np.cumsum(sizes) - sizes)[which], size)], np.add.reduceat(size, np.cumsum(counts) - counts)
 
     def encode(self, texts: pa.Array, end: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, each text's followed by ``end``, and the number of ids of each text."""
@@ -160,11 +190,11 @@ class PieceEncoder:
         known = len(self.numbers)
         uneven = np.asarray(pc.match_substring_regex(texts, _UNEVEN))
         if not uneven.any():
-            codes, counts = self._even(texts)
+            codes, counts = self._parts(*self._even(texts))
         elif uneven.all():
-            codes, counts = self._uneven(texts)
+            codes, counts = self._parts(*self._uneven(texts))
         else:
-            parts = self._even(texts.filter(pa.array(~uneven))), self._uneven(texts.filter(pa.array(uneven)))
+            parts = [self._parts(*f(texts.filter(pa.array(x)))) for f, x in ((self._even, ~uneven), (self._uneven, uneven))]
             rows = np.concatenate([np.flatnonzero(~uneven), np.flatnonzero(uneven)])
             both, counts = (np.concatenate(x) for x in zip(*parts))
             back = np.argsort(rows)
