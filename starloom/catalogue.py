@@ -25,6 +25,7 @@ from starloom.session import new_folder
 from starloom.sources import order_lines
 from starloom.sources.drift import reconcile
 from starloom.sources.files import high_water_mark, on_files, read_csv, read_parquet, rows_after
+from starloom.sources.tables import spread
 from starloom.streaming import close_windows, load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -348,12 +349,13 @@ def csv_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of 50 units land with a word for the number: they go into quarantine, all others are loaded."""
+    """Lines of 50 units land, in compressed files, with a word for the number: they go into quarantine, all others are loaded."""
     lakehouse = _lakehouse(spark, "csv-quarantine")
     landing, refused = f"{lakehouse.root}/landing", f"{lakehouse.root}/refused"
     units = F.when(F.col("Units_Sold") == 50, "many").otherwise(F.col("Units_Sold").cast("string"))
     bronze = order_lines.bronze_sales(spark, folder).withColumn("Units_Sold", units)
-    bronze.coalesce(LANDED_FILES).write.option("header", True).option("escape", '"').csv(landing)
+    with spread(bronze):
+        bronze.coalesce(LANDED_FILES).write.option("header", True).option("escape", '"').option("compression", "gzip").csv(landing)
     load_new_files(
         lakehouse, landing, f"{lakehouse.root}/checkpoint", "keep", file_format="csv", quarantine=refused, most_refused=0.1
     )

@@ -19,7 +19,7 @@ from starloom.plans.dimension import apply_members, stage_members, stage_unknown
 from starloom.plans.fact import build_fact, key_lookups, to_grain
 from starloom.plans.marts import key_totals
 from starloom.plans.silver import to_silver
-from starloom.schemas import DATE, DIMENSIONS, FACT, FACT_KEYS, SILVER, DimSpec, same
+from starloom.schemas import BRONZE, DATE, DIMENSIONS, FACT, FACT_KEYS, SILVER, DimSpec, conform, same
 from starloom.session import new_folder
 from starloom.sources.files import read_parquet
 from starloom.sources.tables import CatalogTable, drop_folder, hash_bucket, range_bucket, write_spread
@@ -101,7 +101,15 @@ class Lakehouse:
         name = "all" if batch is None else batch
         if not re.fullmatch(r"[\w-]+", name):
             raise ValueError(f"batch names a folder; use letters, digits, _ and - instead of {name!r}")
-        with self.lines.staged(to_silver(bronze).withColumn("batch", F.lit(name))) as rows:
+        with self._staged(bronze.withColumn("batch", F.lit(name))) as rows:
+            yield rows
+
+    @contextmanager
+    def _staged(self, bronze: DataFrame) -> Iterator[DataFrame]:
+        """Silver rows of the batches that ``batch`` names, written aside. Rows move as bronze: what silver derives would make the shuffle larger."""
+        bucket_of = self.lines.parts[self.bucket][1]
+        together = conform(bronze, BRONZE, "batch").withColumn(self.bucket, bucket_of).hint("rebalance", *self.lines.parts)
+        with self.lines.staged(to_silver(together, "batch"), laid_out=True) as rows:
             yield rows
 
     def silver(self, batch: str | None = None) -> DataFrame:
@@ -240,14 +248,16 @@ class Lakehouse:
         with self._incoming(bronze, batch) as new:
             self._load(new, [batch], on_duplicate)
 
-    def load_files(self, bronze: DataFrame, on_duplicate: str = "raise") -> None:
+    def load_files(self, bronze: DataFrame, on_duplicate: str = "raise", expected: int | None = None) -> None:
         """Like ``load_batch`` for rows of many files, whose paths are in the column ``file_path``.
 
         Each file is a batch of its own, named by a digest of its path, so it makes no
-        difference which files come together, nor whether some come again.
+        difference which files come together, nor whether some come again. Another number of rows than
+        ``expected`` raises, and leaves silver and fact as they were.
         """
-        named = to_silver(bronze.withColumn("batch", F.md5(F.col("file_path").cast("binary"))), "batch")
-        with self.lines.staged(named) as new:
+        with self._staged(bronze.withColumn("batch", F.md5(F.col("file_path").cast("binary")))) as new:
+            if expected is not None and (rows := new.count()) != expected:
+                raise ValueError(f"the files have changed: {rows} rows instead of {expected}")
             # As many names as files that come in now.
             self._load(new, [r["batch"] for r in new.select("batch").distinct().collect()], on_duplicate)
 

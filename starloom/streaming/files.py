@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, Observation, functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from starloom.plans.lakehouse import Lakehouse
 from starloom.schemas import BRONZE
 from starloom.session import new_folder
-from starloom.sources.files import RAW, csv_options, refusal, with_raw_line
+from starloom.sources.files import RAW, csv_options, read_parquet, refusal, with_raw_line
 from starloom.sources.tables import drop_folder
 
 
@@ -36,7 +33,8 @@ def load_new_files(
     changes the result. CSV files have a header that names the bronze columns in order; a
     row that does not fit fails the run. With a folder for ``quarantine`` such rows go there instead, with
     their file, line and reason, and the others are loaded; a micro-batch of which more than the share
-    ``most_refused`` does not fit still fails, and leaves everything as it was.
+    ``most_refused`` does not fit still fails, and leaves everything as it was. The files are then read twice; if they
+    change in between, the run fails before silver and fact do.
     """
     if file_format not in FORMATS:
         raise ValueError(f"file_format must be one of {FORMATS}")
@@ -46,35 +44,35 @@ def load_new_files(
 
     def load(batch: DataFrame, number: int) -> None:
         if quarantine is not None:
-            with parted(batch, number) as good:
-                load_rows(good)
+            load_rows(*parted(batch, number))
         else:
             load_rows(batch)
 
-    def load_rows(rows: DataFrame) -> None:
+    def load_rows(rows: DataFrame, expected: int | None = None) -> None:
         seen = Observation()
-        lakehouse.load_files(rows.observe(seen, F.count(F.lit(1)).alias("rows")), on_duplicate)
+        lakehouse.load_files(rows.observe(seen, F.count(F.lit(1)).alias("rows")), on_duplicate, expected)
         counts.append(seen.get["rows"])
 
-    @contextmanager
-    def parted(batch: DataFrame, number: int) -> Iterator[DataFrame]:
-        """The rows of a micro-batch that could be read; the files are read once, and good and bad rows written apart."""
-        spark, path = lakehouse.spark, new_folder(lakehouse.spark, "landed")
-        refused = F.col(RAW).isNotNull()
+    def parted(batch: DataFrame, number: int) -> tuple[DataFrame, int]:
+        """The rows of a micro-batch that could be read, and their number; the others are put aside first.
+
+        The files are read once for the bad rows and once for the good ones, which takes less disk than a copy of all.
+        """
+        spark, path, seen = lakehouse.spark, new_folder(lakehouse.spark, "refused"), Observation()
         try:
-            # Spark answers from the file alone if no other column is asked for, hence the written copy.
-            batch.withColumn("refused", refused).withColumn("reason", F.when(refused, refusal(BRONZE))).write.partitionBy("refused").parquet(path)
-            fields = [*BRONZE.fields, *(StructField(c, StringType()) for c in (RAW, "file_path", "reason")), StructField("refused", BooleanType())]
-            landed = spark.read.schema(StructType(fields)).parquet(path)
-            rows, bad = landed.select(F.count(F.lit(1)), F.count_if("refused")).first()
+            # All columns are written, as Spark parses no others, and a value that is not parsed is not refused.
+            refused = batch.observe(seen, F.count(F.lit(1)).alias("rows")).where(F.col(RAW).isNotNull())
+            refused.withColumn("reason", refusal(BRONZE)).write.parquet(path)
+            rows = seen.get["rows"]
+            refused = read_parquet(spark, path, StructType([StructField(c, StringType()) for c in ("file_path", RAW, "reason")]))
+            bad = refused.count()
             if bad > most_refused * rows:
-                shown = [tuple(r) for r in landed.where("refused").select("file_path", RAW, "reason").limit(3).collect()]
+                shown = [tuple(r) for r in refused.limit(3).collect()]
                 raise ValueError(f"{bad} of {rows} rows do not fit, e.g. {shown}")
             if bad:
                 # A micro-batch that comes again replaces its own folder.
-                own = landed.where("refused").select("file_path", RAW, "reason")
-                own.write.mode("overwrite").parquet(f"{quarantine}/batch={number}")
-            yield landed.where(~F.col("refused")).drop(RAW, "reason", "refused")
+                refused.write.mode("overwrite").parquet(f"{quarantine}/batch={number}")
+            return batch.where(F.col(RAW).isNull()).drop(RAW), rows - bad
         finally:
             drop_folder(spark, path)
 
